@@ -53,4 +53,4 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from waitcast.plans import queries_core  # noqa: F401
+    from waitcast.plans import queries_core, queries_clean  # noqa: F401

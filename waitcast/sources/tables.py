@@ -50,6 +50,8 @@ def readings_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 11 == 0, F.lit(None).cast("double")).otherwise((k % 41).cast("double")).alias("temperatura"),
         (k % 101).cast("double").alias("humedad"),
         (k % 5 + 1).cast("int").alias("codigo_clima"),
+        F.when(F.col("o_orderstatus") == "O", F.lit(True))
+         .when(F.col("o_orderstatus") == "F", F.lit(False)).alias("abierta"),
     )
 
 
@@ -98,7 +100,8 @@ SQL = {
                     else concat(lpad(cast(8 + o_orderkey % 14 as varchar), 2, '0'), ':',
                                 lpad(cast((o_orderkey % 4) * 15 as varchar), 2, '0')) end hora,
                case when o_orderkey % 11 = 0 then null else cast(o_orderkey % 41 as double) end temperatura,
-               cast(o_orderkey % 101 as double) humedad, cast(o_orderkey % 5 + 1 as integer) codigo_clima
+               cast(o_orderkey % 101 as double) humedad, cast(o_orderkey % 5 + 1 as integer) codigo_clima,
+               case when o_orderstatus = 'O' then true when o_orderstatus = 'F' then false end abierta
         from orders""",
     "readings_lineitem": """
         select concat('z', cast(l_suppkey % 5 as varchar)) zona, concat('s', cast(l_suppkey as varchar)) atraccion,
