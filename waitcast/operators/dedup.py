@@ -76,7 +76,7 @@ def union_aligned(*dfs: DataFrame) -> DataFrame:
 
 
 def precedence_merge(sources: list[DataFrame], keys: list[str] = DEDUP_KEYS,
-                     seq: str = "row_id") -> DataFrame:
+                     seq: str | list[str] = "row_id") -> DataFrame:
     """Union sources in precedence order (later wins), keep the last per key.
 
     Each source gets ``_src`` = its position; the winner per key is the row with
@@ -84,7 +84,8 @@ def precedence_merge(sources: list[DataFrame], keys: list[str] = DEDUP_KEYS,
     """
     tagged = [s.withColumn("_src", F.lit(i)) for i, s in enumerate(sources)]
     u = union_aligned(*tagged)
-    return keep_last(u, keys, ["_src", seq]).drop("_src")
+    seqs = [seq] if isinstance(seq, str) else list(seq)
+    return keep_last(u, keys, ["_src", *seqs]).drop("_src")
 
 
 def append_keep_latest(existing: DataFrame, new: DataFrame, keys: list[str] = DEDUP_KEYS,

@@ -54,4 +54,5 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 def load_all() -> None:
     """Import the modules that register queries."""
     from waitcast.plans import (queries_core, queries_clean, queries_features,  # noqa: F401
-                                queries_explore, queries_history, queries_ml, queries_scoring, queries_sources)
+                                queries_explore, queries_history, queries_io, queries_ml, queries_scoring,
+                                queries_sources)
