@@ -19,7 +19,7 @@ rolled-up key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WAIT = "tiempo_espera"
@@ -83,9 +83,52 @@ def _weighted_stats(value: str, stats: list[str], exact: bool, suffix: str) -> l
     return cols
 
 
+def stats_from_counts(pre: DataFrame, keys: list[str], stats: list[str], suffix: str = "",
+                      value: str = WAIT) -> DataFrame:
+    """Statistics of ``value`` per ``keys`` from pre-counted rows ``(keys, value, _n)``.
+
+    Exact interpolated percentiles without an object aggregate: a running count
+    over the counted rows of each group (a window partitioned by the group keys,
+    sorted by value — one row per distinct value, so a hot group costs its number
+    of distinct values, not its rows), then ``min(value where cum > rank)`` for
+    the two ranks around (N-1)p in a plain hash aggregate on the same keys (no
+    extra shuffle). Interpolation ``lo + (h - floor(h)) * (hi - lo)``.
+    """
+    assert keys, "use history() for key-less (global) statistics"
+    v, n = F.col(value), F.col("_n")
+    w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = pre.withColumns({"_cum": F.sum(n).over(w), "_tot": F.sum(n).over(Window.partitionBy(*keys))})
+    pcts = [p for p in stats if p in _PCT]
+    aggs = [F.sum(n).alias("_cnt"), F.sum(v * n).alias("_s1"), F.sum(v * v * n).alias("_s2")]
+    for p in pcts:
+        h = (F.col("_tot") - 1) * F.lit(_PCT[p])
+        aggs.append(F.min(F.when(F.col("_cum") > F.floor(h), v)).alias(f"_lo_{p}"))
+        aggs.append(F.min(F.when(F.col("_cum") > F.ceil(h), v)).alias(f"_hi_{p}"))
+    g = d.groupBy(*keys).agg(*aggs)
+    cnt, s1, s2 = F.col("_cnt"), F.col("_s1"), F.col("_s2")
+    out = []
+    for st in stats:
+        name = f"{st}_{suffix}" if suffix else st
+        if st == "count":
+            out.append(cnt.alias(name))
+        elif st == "mean":
+            out.append((s1 / cnt).alias(name))
+        elif st == "std":
+            out.append(F.when(cnt > 1, F.sqrt(F.greatest(F.lit(0.0), (s2 - s1 * s1 / cnt) / (cnt - 1)))).alias(name))
+        elif st in _PCT:
+            h = (cnt - 1) * F.lit(_PCT[st])
+            lo, hi = F.col(f"_lo_{st}"), F.col(f"_hi_{st}")
+            out.append((lo + (h - F.floor(h)) * (hi - lo)).alias(name))
+        else:
+            raise ValueError(st)
+    return g.select(*keys, *out)
+
+
 def history(df: DataFrame, keys: list[str], stats: list[str], suffix: str = "",
             value: str = WAIT, exact: bool = True) -> DataFrame:
     """Generic keyed history: pre-count, then weighted statistics."""
+    if exact and keys:
+        return stats_from_counts(precount(df, keys, value), keys, stats, suffix, value)
     if not exact:
         # approximate quantiles need the raw rows; count/mean/std stay exact
         pre = df.where(F.col(value).isNotNull()).withColumn("_n", F.lit(1))
@@ -114,22 +157,24 @@ def global_stats(df: DataFrame, value: str = WAIT) -> DataFrame:
 
 
 def all_histories(df: DataFrame, grains: list[str] | None = None, value: str = WAIT) -> DataFrame:
-    """Every cascade grain in one pass (GROUPING SETS over pre-counted rows).
+    """Every cascade grain in one pass.
+
+    1. pre-count ``(ride, month, hour, weekday, wait) -> n`` (map-side combined);
+    2. GROUPING SETS over ``(grain keys, wait)`` summing ``n`` — a plain hash
+       aggregate whose partial step collapses coarse grains right after the
+       Expand, so the percentile stage never sees 9x the fine rows;
+    3. per (grain, keys): weighted count / mean / std and exact percentiles
+       with the frequency form of ``percentile``.
 
     Output is long: ``grain, atraccion, mes, hora_int, dia_semana_num, n, mean, std,
-    p25, p50, p75, p90, p95``; keys outside the grain are NULL.
+    p25, p50, p75, p90, p95``; keys outside the grain are NULL. The grain is tagged
+    from ``grouping()``, so a NULL key in the data is never mistaken for a rolled-up key.
     """
     grains = grains or list(CASCADE_GRAINS)
     pre = precount(df, KEYS, value)
-    sets = [[F.col(k) for k in CASCADE_GRAINS[g]] for g in grains]
-    v, n = F.col(value), F.col("_n")
-    cnt, s1, s2 = F.sum(n), F.sum(v * n), F.sum(v * v * n)
-    pct = F.percentile(v, F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75, 0.9, 0.95)]), n)
-    agg = (pre.groupingSets(sets, *KEYS)
-           .agg(cnt.alias("n"), (s1 / cnt).alias("mean"),
-                F.when(cnt > 1, F.sqrt(F.greatest(F.lit(0.0), (s2 - s1 * s1 / cnt) / (cnt - 1)))).alias("std"),
-                pct.alias("_p"),
-                *[F.grouping(k).alias(f"_g_{k}") for k in KEYS]))
+    sets = [[F.col(k) for k in CASCADE_GRAINS[g]] + [F.col(value)] for g in grains]
+    mid = (pre.groupingSets(sets, *KEYS, value)
+           .agg(F.sum("_n").alias("_n"), *[F.grouping(k).alias(f"_g_{k}") for k in KEYS]))
     tag = None
     for g in grains:
         ks = set(CASCADE_GRAINS[g])
@@ -137,10 +182,11 @@ def all_histories(df: DataFrame, grains: list[str] | None = None, value: str = W
         for k in KEYS:
             cond = cond & (F.col(f"_g_{k}") == (0 if k in ks else 1))
         tag = F.when(cond, F.lit(g)) if tag is None else tag.when(cond, F.lit(g))
-    return agg.select(
-        tag.alias("grain"), *KEYS, "n", "mean", "std",
-        F.col("_p")[0].alias("p25"), F.col("_p")[1].alias("p50"), F.col("_p")[2].alias("p75"),
-        F.col("_p")[3].alias("p90"), F.col("_p")[4].alias("p95"))
+    mid = mid.select(tag.alias("grain"), *KEYS, value, "_n")
+    out = stats_from_counts(mid, ["grain", *KEYS], ["count", "mean", "std", "p25", "median", "p75", "p90", "p95"],
+                            value=value)
+    return out.select("grain", *KEYS, F.col("count").alias("n"), "mean", "std", "p25",
+                      F.col("median").alias("p50"), "p75", "p90", "p95")
 
 
 def grain_slice(hist: DataFrame, grain: str) -> DataFrame:
