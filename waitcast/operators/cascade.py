@@ -16,7 +16,10 @@ level that has rows, in this order:
   statistics then come from the triple, which may be empty.
 
 Each level is a left equi-join of the requests with one grain slice of the
-history table (at most one row per key, so no row multiplication). The
+history table (at most one row per key, so no row multiplication). ``hist``
+should be materialised (the saved artifact, or a checkpoint — see
+``waitcast.plans.scoring.materialized_histories``): the nine slices then scan
+it instead of re-running the aggregation nine times. The
 slices are aggregates bounded by the key domain; AQE broadcasts them when
 their measured size allows and keeps a shuffle join otherwise.
 """
@@ -27,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waitcast.operators import history as H
+from waitcast.operators.joins import grain_counts, size_checked_join
 
 LEVELS = ["mes_hora_dia", "hora_dia", "mes_hora", "hora", "mes_dia", "dia", "mes"]
 HOURLY = ["mes_hora_dia", "hora_dia", "mes_hora", "hora"]
@@ -41,8 +45,10 @@ def _slice(hist: DataFrame, grain: str, prefix: str, hour_key: str = "hora_int")
     return s.select(*cols, *[F.col(st).alias(f"{prefix}_{st}") for st in STATS])
 
 
-def _join(df: DataFrame, sl: DataFrame, keys: list[str]) -> DataFrame:
-    return df.join(sl, on=keys, how="left")
+def _join(df: DataFrame, sl: DataFrame, keys: list[str], n_rows: int | None = None) -> DataFrame:
+    if n_rows is None:
+        return df.join(sl, on=keys, how="left")
+    return size_checked_join(df, sl, keys, "left", n_rows=n_rows)
 
 
 def global_median(hist: DataFrame) -> DataFrame:
@@ -50,22 +56,28 @@ def global_median(hist: DataFrame) -> DataFrame:
                                                         F.col("mean").alias("global_mean"))
 
 
-def cascade(requests: DataFrame, hist: DataFrame, pair_check: bool = False) -> DataFrame:
+def cascade(requests: DataFrame, hist: DataFrame, pair_check: bool = False, size_check: bool = True) -> DataFrame:
     """Attach per-level statistics and choose the level.
 
     ``requests`` needs atraccion, mes, hora_int, dia_semana_num. Adds
     ``hora_eff``, ``especificidad`` and ``n_hist, p25_hist, p50_hist, p75_hist,
     p90_hist`` (global median for every statistic and n = 0 at the global level),
     plus ``md_*``/``m_*`` columns reused by the low-history fallback (J8).
+
+    ``size_check``: count rows per grain of the (materialised) history once and
+    broadcast each slice only when it fits the broadcast limit; the requests
+    then stream through nine hash probes without being shuffled.
     """
     r = requests
+    counts = grain_counts(hist) if size_check else {}
     for lvl in LEVELS:
         keys = H.CASCADE_GRAINS[lvl]
-        r = _join(r, _slice(hist, lvl, _PFX[lvl]), keys)
+        r = _join(r, _slice(hist, lvl, _PFX[lvl]), keys, counts.get(lvl, 0) if size_check else None)
     # neighbour hours of the ride-hour level
     r = r.withColumns({"_hm1": F.col("hora_int") - 1, "_hp1": F.col("hora_int") + 1})
-    r = _join(r, _slice(hist, "hora", "hm1", "_hm1"), ["atraccion", "_hm1"])
-    r = _join(r, _slice(hist, "hora", "hp1", "_hp1"), ["atraccion", "_hp1"])
+    nh = counts.get("hora", 0) if size_check else None
+    r = _join(r, _slice(hist, "hora", "hm1", "_hm1"), ["atraccion", "_hm1"], nh)
+    r = _join(r, _slice(hist, "hora", "hp1", "_hp1"), ["atraccion", "_hp1"], nh)
     r = r.crossJoin(F.broadcast(global_median(hist)))
 
     h = F.col("hora_int")

@@ -2,30 +2,79 @@
 
 Join strategy: all joins are left equi-joins. History and encoding tables are
 aggregates whose size is bounded by the key domain (rides x months x hours x
-weekdays), not by the row count, but that bound is not proven for every
-deployment; so no static broadcast hint is placed on them. AQE measures the
-materialised aggregate at runtime and switches the sort-merge join to a
-broadcast hash join when it is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``
-(the size check), keeping the shuffle join beyond it. Literal maps of a fixed
-handful of rows are broadcast explicitly.
+weekdays), not by the row count — but that bound is measured, not assumed:
+history tables are materialised once (reliable checkpoint), their rows are
+counted per grain, and a slice is broadcast only when rows x row width fits
+``BROADCAST_LIMIT_BYTES``; beyond it the join stays a shuffle join (AQE skew
+handling applies). One-row frames of global statistics are broadcast
+explicitly (size bound 1 row).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waitcast.operators import history as H
 
 WAIT = H.WAIT
+# Largest side we broadcast after measuring it; beyond it the join stays a shuffle join.
+BROADCAST_LIMIT_BYTES = 128 * 1024 * 1024
 
 
-def attach_histories(df: DataFrame, train: DataFrame, grains: list[str] | None = None) -> DataFrame:
-    """Left-join the six ride histories (fitted on ``train``) onto ``df``."""
+def row_bytes(df: DataFrame) -> int:
+    """Rough in-memory row width from the schema (strings counted as 32 bytes)."""
+    w = 16
+    for f in df.schema.fields:
+        w += 32 if isinstance(f.dataType, (T.StringType, T.BinaryType)) else 8
+    return w
+
+
+def fits_broadcast(n_rows: int, df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
+    return n_rows * row_bytes(df) <= limit
+
+
+def size_checked_join(left: DataFrame, right: DataFrame, on, how: str = "left",
+                      n_rows: int | None = None, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """Join, broadcasting ``right`` only when its measured size is under ``limit``.
+
+    ``n_rows`` is the measured row count of ``right`` (pass it when known; else it
+    is counted, which is cheap only for materialised tables). Beyond the limit the
+    join is left to the planner (shuffle join, AQE skew handling).
+    """
+    if n_rows is None:
+        n_rows = right.count()
+    r = F.broadcast(right) if fits_broadcast(n_rows, right, limit) else right
+    return left.join(r, on=on, how=how)
+
+
+def grain_counts(hist: DataFrame) -> dict[str, int]:
+    """Rows per grain of a materialised one-pass history (one tiny aggregate)."""
+    return {r["grain"]: r["count"] for r in hist.groupBy("grain").count().collect()}
+
+
+_STAT_SRC = {"count": "n", "mean": "mean", "median": "p50", "std": "std", "p75": "p75", "p90": "p90", "p95": "p95"}
+
+
+def attach_histories(df: DataFrame, train: DataFrame, grains: list[str] | None = None,
+                     hist: DataFrame | None = None) -> DataFrame:
+    """Left-join the six ride histories (fitted on ``train``) onto ``df``.
+
+    The six grains come from one pass (:func:`history.all_histories`),
+    materialised once with a reliable checkpoint; each grain slice is joined
+    with a size-checked broadcast, so the big side is never shuffled six times.
+    Columns are named like the reference (``count_mes``, ``median_hora`` ...).
+    """
+    grains = grains or list(H.GRAINS)
+    if hist is None:
+        hist = H.all_histories(train, grains=grains).checkpoint(eager=True)
+    counts = grain_counts(hist)
     out = df
-    for g in grains or list(H.GRAINS):
-        keys, _ = H.GRAINS[g]
-        out = out.join(H.grain_history(train, g), on=keys, how="left")
+    for g in grains:
+        keys, stats = H.GRAINS[g]
+        sl = H.grain_slice(hist, g).select(*keys, *[F.col(_STAT_SRC[st]).alias(f"{st}_{g}") for st in stats])
+        out = size_checked_join(out, sl, keys, "left", n_rows=counts.get(g, 0))
     return out
 
 

@@ -138,6 +138,6 @@ def m23(spark, sf):
     feats = TR.build_features(req, tr, FEATURED)
     pred = model.transform(feats).select("row_id", "pred_base")
     base = req.join(pred, "row_id")
-    c = CA.cascade(base, H.all_histories(tr))
+    c = CA.cascade(base, S.materialized_histories(tr))
     out = B.calendar_ladder(B.history_base(c), featured=FEATURED)
     return rounded(B.result_record(out, keep=["row_id"], featured=FEATURED))

@@ -160,7 +160,7 @@ def j7(spark, sf):
     o = tb.readings_orders(spark, sf)
     train = S.prepare_training(o.where(hash_split_flag("row_id", 0.8)))
     req = S.prepare_requests(o.select("row_id", "atraccion", "fecha", "hora"))
-    c = CA.cascade(req, H.all_histories(train))
+    c = CA.cascade(req, S.materialized_histories(train))
     return rounded(c.select("row_id", F.col("especificidad").alias("espec_cascada"), "n_hist", "p25_hist",
                             "p50_hist", "p75_hist", "p90_hist"))
 
@@ -172,7 +172,7 @@ def j7p(spark, sf):
     o = tb.readings_orders(spark, sf)
     train = S.prepare_training(o.where(hash_split_flag("row_id", 0.8)))
     req = S.prepare_requests(o.select("row_id", "atraccion", "fecha", "hora"))
-    c = CA.cascade(req, H.all_histories(train), pair_check=True)
+    c = CA.cascade(req, S.materialized_histories(train), pair_check=True)
     return rounded(c.select("row_id", F.col("especificidad").alias("espec_cascada"), "n_hist", "p50_hist", "p75_hist"))
 
 
