@@ -93,17 +93,21 @@ def s10(spark, sf):
     return rounded(loaded.unionByName(missing))
 
 
-@query("s14_metrics_json")
+from waitcast.plans.catalog import ORACLES as _OR  # noqa: E402  (explore queries are registered first)
+
+
+@query("s14_metrics_json", _OR["m14_regression_metrics"])
 def s14(spark, sf):
-    """Metrics record written as JSON and read back (rows-only: JSON re-reads longs/doubles)."""
+    """Metrics record written as JSON and read back (JSON re-reads longs and doubles)."""
     path = FS.staging_dir(spark, "metrics")
     FS.write_json(rounded(M.regression_metrics(predictions(spark, sf))), path)
     return spark.read.json(path)
 
 
-@query("s15_quality_report_csv")
+@query("s15_quality_report_csv", "select column_name, cast(nulls as varchar) nulls, cast(duplicates_removed as varchar) "
+       "duplicates_removed from (" + _OR["a12_quality_report"] + ")")
 def s15(spark, sf):
-    """Quality report written as CSV and read back (rows-only)."""
+    """Quality report (all orders columns) written as CSV and read back as text."""
     from waitcast.operators.explore import quality_report
     path = FS.staging_dir(spark, "quality")
     FS.write_csv(quality_report(tb.readings_orders(spark, sf), ["zona", "fecha"]), path)

@@ -88,7 +88,16 @@ def m12(spark, sf):
                             wait_class_bins("pred_base").alias("clase_pred")))
 
 
-@query("m13_class_balancing")
+@query("m13_class_balancing", """
+with o as (select * from @RO),
+c as (select row_id, case when tiempo_espera between 5 and 15 then 'Corto' when tiempo_espera > 15 and tiempo_espera <= 45
+                          then 'Medio' else 'Largo' end clase
+      from o where ((row_id % 2147483648) * 2654435761) % 4294967296 < 0.8 * 4294967296 and tiempo_espera is not null),
+cnt as (select clase, count(*) nc from c group by clase), mx as (select max(nc) nmax from cnt),
+r as (select c.row_id, c.clase, cast(nmax as double) / nc r from c join cnt using (clase) cross join mx),
+cp as (select clase, greatest(cast(floor(r) as integer) + cast(((((row_id + 104729) % 2147483648) * 2654435761) % 4294967296)
+                     / 4294967296.0 < r - floor(r) as integer), 1) copies from r)
+select clase, count(*) n_original, sum(copies) n_balanced, sum(copies - 1) n_synthetic from cp group by clase""")
 def m13(spark, sf):
     """Class counts before and after oversampling the train rows."""
     tr, _ = _split(spark, sf)
