@@ -104,8 +104,9 @@ def orders_split(spark, sf):
     return r.withColumn("is_train", E.hash_split_flag("row_id", 0.8))
 
 
-def _j1_sql() -> str:
-    ctes = [f"o as {RO_FEAT_SQL}", "tr as (select * from o where is_train)", "te as (select * from o where not is_train)",
+def _j1_sql(all_rows: bool = False) -> str:
+    te = "te as (select * from o)" if all_rows else "te as (select * from o where not is_train)"
+    ctes = [f"o as {RO_FEAT_SQL}", "tr as (select * from o where is_train)", te,
             "g as (select avg(tiempo_espera) mean, median(tiempo_espera) median, stddev_samp(tiempo_espera) std, "
             "quantile_cont(tiempo_espera, 0.75) p75, quantile_cont(tiempo_espera, 0.9) p90, "
             "quantile_cont(tiempo_espera, 0.95) p95 from tr where tiempo_espera is not null)"]
@@ -148,3 +149,31 @@ def j11(spark, sf):
     o = orders_split(spark, sf)
     tr, te = o.where("is_train"), o.where("not is_train")
     return J.frequency_lookup(te.select("row_id", "atraccion"), tr, "atraccion")
+
+
+@query("j9_request_history_features", _j1_sql(all_rows=True))
+def j9(spark, sf):
+    """Every orders row as a prediction request (bad hour -> 12): the six history
+    feature groups fitted on train rows, with family defaults (F19) where a request has no history."""
+    o = orders_split(spark, sf)
+    tr = o.where("is_train")
+    out = J.fill_by_family(J.attach_histories(o, tr), tr)
+    stat_cols = [f"{s}_{g}" for g, (_, stats) in H.GRAINS.items() for s in stats]
+    return rounded(out.select("row_id", *stat_cols))
+
+
+@query("j2_target_encoding_lookup", f"""
+with o as {RO_FEAT_SQL}, tr as (select * from o where is_train and tiempo_espera is not null),
+g as (select avg(tiempo_espera) g from tr),
+ez as (select zona, (count(*) * avg(tiempo_espera) + 10 * (select g from g)) / (count(*) + 10) m from tr group by zona),
+ea as (select atraccion, (count(*) * avg(tiempo_espera) + 10 * (select g from g)) / (count(*) + 10) m from tr group by atraccion)
+select o.row_id, round(coalesce(ez.m, g.g), 6) zona_enc, round(coalesce(ea.m, g.g), 6) atraccion_enc
+from o left join ez using (zona) left join ea using (atraccion) cross join g""")
+def j2(spark, sf):
+    """Attach the smoothed target encodings (fitted on train rows) to every request;
+    unseen or NULL categories fall back to the train mean."""
+    o = orders_split(spark, sf)
+    tr = o.where("is_train")
+    out = E.target_mean_encoding(o, tr, "zona", smoothing=E.SMOOTHING)
+    out = E.target_mean_encoding(out, tr, "atraccion", smoothing=E.SMOOTHING)
+    return rounded(out.select("row_id", "zona_enc", "atraccion_enc"))

@@ -150,3 +150,18 @@ def m23(spark, sf):
     c = CA.cascade(base, S.materialized_histories(tr))
     out = B.calendar_ladder(B.history_base(c), featured=FEATURED)
     return rounded(B.result_record(out, keep=["row_id"], featured=FEATURED))
+
+
+@query("s11_pipeline_persist")
+def s11(spark, sf):
+    """The fitted GBT pipeline saved with the MLlib writer into the shared checkpoint
+    folder, loaded back, and used to score the test rows; ``same`` compares with the
+    in-memory model's prediction."""
+    from waitcast.sources import files as FS
+    model, fte, _ = _gbt(spark, sf)
+    path = FS.staging_dir(spark, "pipeline")
+    FS.save_pipeline(model, path)
+    loaded = FS.load_pipeline(path)
+    a = model.transform(fte).select("row_id", F.col("pred_base").alias("pred_mem"))
+    b = loaded.transform(fte).select("row_id", F.col("pred_base").alias("pred_loaded"))
+    return rounded(a.join(b, "row_id").withColumn("same", F.col("pred_mem") == F.col("pred_loaded")))
