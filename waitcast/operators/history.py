@@ -2,16 +2,18 @@
 
 Scale design
 ------------
-Every history first pre-counts ``(keys..., wait) -> n``. That step is a plain
-hash aggregate with map-side combine, so a ride holding a third of all rows
-is reduced to one row per distinct wait value inside each map task before
-anything is shuffled. The statistics are then computed from the counted rows:
-count/mean/std from weighted sums, exact interpolated percentiles with
-``percentile(wait, p, n)`` (frequency form). Percentile state is a map of
-distinct wait values per group — minute-quantised waits keep it tiny. For
-continuous values use ``exact=False`` (``percentile_approx``, bounded memory).
-
-All six grains plus ride-only and global can be produced in one pass
+Every history first pre-counts ``(keys..., wait) -> n``: a plain hash
+aggregate with map-side combine, so a ride holding a third of all rows is
+reduced to one row per distinct wait value inside each map task before
+anything is shuffled. Statistics then come from the counted rows:
+count/mean/std from weighted sums, and exact interpolated percentiles from a
+running count per group (a window partitioned by the group keys over one row
+per distinct value) followed by ``min(value where cum > rank)`` — declarative
+aggregates, no per-group object maps. Key-less (global) statistics use the
+frequency form of ``percentile`` so no window ever runs without a partition
+key. ``exact=False`` switches to ``percentile_approx`` (bounded memory).
+
+All six grains plus ride-only and global come from one pass
 (:func:`all_histories`) with GROUPING SETS over the pre-counted rows; the
 grain is tagged from ``grouping()`` so a NULL key is never mistaken for a
 rolled-up key.
