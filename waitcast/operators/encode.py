@@ -63,7 +63,8 @@ def stratified_split(df: DataFrame, key: str, strata: list[str], train_frac: flo
               .withColumn("_k", F.ceil(F.col("_n") * F.lit(train_frac)))
               .withColumn("_need", F.col("_k") - F.col("_before"))
               .select(*strata, "_b", "_c", "_need"))
-    j = d.join(cnt, on=[*strata, "_b"], how="inner")
+    from waitcast.operators.joins import size_checked_join
+    j = size_checked_join(d, cnt, [*strata, "_b"], "inner", materialize=True)
     rank = F.row_number().over(Window.partitionBy(*strata, "_b").orderBy("_u", key))
     is_train = (F.when(F.col("_need") >= F.col("_c"), F.lit(True))
                 .when(F.col("_need") <= 0, F.lit(False))
@@ -85,7 +86,8 @@ def target_mean_encoding(df: DataFrame, train: DataFrame, col: str, target: str
                   (F.col("_n") + F.lit(float(smoothing)))).alias(name))
     else:
         stats = stats.select(col, F.col("_m").alias(name))
-    out = df.join(stats, on=col, how="left").crossJoin(F.broadcast(g))
+    from waitcast.operators.joins import size_checked_join
+    out = size_checked_join(df, stats, col, "left", materialize=True).crossJoin(F.broadcast(g))
     return out.withColumn(name, F.coalesce(F.col(name), F.col("_g"))).drop("_g")
 
 
@@ -95,7 +97,8 @@ def ride_hour_encoding(df: DataFrame, train: DataFrame, featured: str, target: s
     (the reference only encodes the featured ride)."""
     t = train.where(F.col("atraccion").contains(featured) & F.col(target).isNotNull())
     stats = t.groupBy("atraccion", "hora_int").agg(F.avg(target).alias(name))
-    return df.join(stats, on=["atraccion", "hora_int"], how="left")
+    from waitcast.operators.joins import size_checked_join
+    return size_checked_join(df, stats, ["atraccion", "hora_int"], "left", materialize=True)
 
 
 def _safe(v) -> str:

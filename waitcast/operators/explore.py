@@ -102,7 +102,11 @@ def box_summary(df: DataFrame, keys: list[str] | None = None, value: str = WAIT)
     q = q.select(*keys, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
     q = q.withColumns({"_lo": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
                        "_hi": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
-    j = pre.join(F.broadcast(q), on=keys, how="inner") if keys else pre.crossJoin(F.broadcast(q))
+    if keys:
+        from waitcast.operators.joins import size_checked_join
+        j = size_checked_join(pre, q, keys, "inner", materialize=True)
+    else:
+        j = pre.crossJoin(F.broadcast(q))          # one row
     v = F.col(value)
     inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
     out = (j.groupBy(*keys, "q1", "median", "q3") if keys else j.groupBy("q1", "median", "q3")).agg(

@@ -36,13 +36,18 @@ def fits_broadcast(n_rows: int, df: DataFrame, limit: int = BROADCAST_LIMIT_BYTE
 
 
 def size_checked_join(left: DataFrame, right: DataFrame, on, how: str = "left",
-                      n_rows: int | None = None, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+                      n_rows: int | None = None, limit: int = BROADCAST_LIMIT_BYTES,
+                      materialize: bool = False) -> DataFrame:
     """Join, broadcasting ``right`` only when its measured size is under ``limit``.
 
     ``n_rows`` is the measured row count of ``right`` (pass it when known; else it
-    is counted, which is cheap only for materialised tables). Beyond the limit the
-    join is left to the planner (shuffle join, AQE skew handling).
+    is counted). ``materialize=True`` first checkpoints ``right`` (an aggregate such
+    as an encoding table) so it is computed once and the count is a cheap scan of
+    the checkpoint. Beyond the limit the join is left to the planner (shuffle join,
+    AQE skew handling).
     """
+    if materialize:
+        right = right.checkpoint(eager=True)
     if n_rows is None:
         n_rows = right.count()
     r = F.broadcast(right) if fits_broadcast(n_rows, right, limit) else right
@@ -135,4 +140,5 @@ def frequency_lookup(df: DataFrame, train: DataFrame, col: str, name: str | None
     """Rows per category in ``train``; 0 when unseen."""
     name = name or f"{col}_freq"
     freq = train.groupBy(col).agg(F.count(F.lit(1)).alias(name))
-    return df.join(freq, on=col, how="left").withColumn(name, F.coalesce(F.col(name), F.lit(0)))
+    out = size_checked_join(df, freq, col, "left", materialize=True)
+    return out.withColumn(name, F.coalesce(F.col(name), F.lit(0)))

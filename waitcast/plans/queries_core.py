@@ -37,7 +37,7 @@ def flagship_top_rides(spark, sf):
     -> attached to every reading (J1) -> top 10 rides by mean wait (K1)."""
     r = _events_features(spark, sf)
     hist = H.grain_history(r, "hora")
-    j = r.join(hist, on=["atraccion", "hora_int"], how="left")
+    j = J.size_checked_join(r, hist, ["atraccion", "hora_int"], "left", materialize=True)
     agg = j.groupBy("atraccion").agg(
         F.count(F.lit(1)).alias("n"), F.avg("tiempo_espera").alias("mean_wait"),
         F.avg("es_hora_pico").alias("peak_share"), F.avg("es_fin_de_semana").alias("weekend_share"),
