@@ -62,7 +62,8 @@ def score(requests: DataFrame, train: DataFrame, predict: Callable[[DataFrame],
           hist: DataFrame | None = None) -> DataFrame:
     """Score every request. ``train`` must hold prepared rows (see :func:`prepare_training`);
     ``hist`` is a materialised history table (artifact); computed and checkpointed when absent."""
-    req = prepare_requests(requests)
+    from waitcast.sources.tables import ensure_parallelism
+    req = prepare_requests(ensure_parallelism(requests))
     hist = hist if hist is not None else materialized_histories(train)
     predict = predict or stand_in_model(train)
     c = CA.cascade(predict(req), hist, pair_check=pair_check)
