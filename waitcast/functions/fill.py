@@ -1,8 +1,9 @@
 """Null fills and typed casts.
 
-Fill values that depend on data (medians) are computed in one aggregate for
-all columns and attached with a one-row broadcast cross join; nothing is
-collected to the driver.
+Fill values that depend on data (medians) are computed in one pass for all
+columns (pre-counted per distinct value, so the state is bounded by distinct
+values) and attached with a one-row broadcast cross join; nothing is collected
+to the driver.
 """
 
 from __future__ import annotations
@@ -19,13 +20,14 @@ def median_fill(df: DataFrame, cols: list[str], label_cols: dict[str, str] | Non
                 absent_zero: bool = True) -> DataFrame:
     """NULL -> exact median of the column (one aggregate for all columns);
     ``label_cols`` get a constant label; columns absent from ``df`` are added as 0."""
+    from waitcast.operators.history import column_percentiles
     present = [c for c in cols if c in df.columns]
     out = df
     if present:
-        med = df.agg(*[F.median(F.col(c)).alias(f"_med_{c}") for c in present])
+        med = column_percentiles(df, present, [0.5], prefix="_med_")     # one row
         out = out.crossJoin(F.broadcast(med))
-        out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"_med_{c}").cast(df.schema[c].dataType))
-                               for c in present}).drop(*[f"_med_{c}" for c in present])
+        out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"_med_{c}__0").cast(df.schema[c].dataType))
+                               for c in present}).drop(*[f"_med_{c}__0" for c in present])
     for c, lab in (label_cols or {}).items():
         out = out.withColumn(c, F.coalesce(F.col(c).cast("string"), F.lit(lab)))
     if absent_zero:

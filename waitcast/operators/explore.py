@@ -23,17 +23,25 @@ def _stack(wide: DataFrame, names: list[str], fields: list[str], name_col: str =
 
 
 def describe(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
-    """A10: count, mean, std, min, 25%, 50%, 75%, max per column (long form)."""
+    """A10: count, mean, std, min, 25%, 50%, 75%, max per column (long form).
+
+    Moments come from one aggregate; exact quartiles from
+    :func:`history.column_percentiles` (pre-counted per distinct value).
+    """
+    from waitcast.operators.history import column_percentiles
     aggs = []
     for c in cols:
         x = F.col(c)
-        q = (F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact
-             else F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(10000)))
         aggs += [F.count(x).alias(f"count__{c}"), F.avg(x).alias(f"mean__{c}"), F.stddev_samp(x).alias(f"std__{c}"),
-                 F.min(x).cast("double").alias(f"min__{c}"), q.alias(f"q__{c}"), F.max(x).cast("double").alias(f"max__{c}")]
+                 F.min(x).cast("double").alias(f"min__{c}"), F.max(x).cast("double").alias(f"max__{c}")]
+        if not exact:
+            q = F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(10000))
+            aggs += [q[i].alias(f"{n}__{c}") for i, n in enumerate(["p25", "p50", "p75"])]
     wide = df.agg(*aggs)
-    wide = wide.select("*", *[F.col(f"q__{c}")[i].alias(f"{n}__{c}") for c in cols
-                              for i, n in enumerate(["p25", "p50", "p75"])])
+    if exact:
+        q = column_percentiles(df, cols, [0.25, 0.5, 0.75])
+        q = q.select(*[F.col(f"{c}__{i}").alias(f"{n}__{c}") for c in cols for i, n in enumerate(["p25", "p50", "p75"])])
+        wide = wide.crossJoin(q)                  # one row x one row
     return _stack(wide, cols, ["count", "mean", "std", "min", "p25", "p50", "p75", "max"])
 
 

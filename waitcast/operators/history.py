@@ -195,3 +195,19 @@ def grain_slice(hist: DataFrame, grain: str) -> DataFrame:
     """Rows of one grain from :func:`all_histories`, keyed by that grain's columns only."""
     keys = CASCADE_GRAINS[grain]
     return hist.where(F.col("grain") == grain).select(*keys, "n", "mean", "std", "p25", "p50", "p75", "p90", "p95")
+
+
+def column_percentiles(df: DataFrame, cols: list[str], probs: list[float], prefix: str = "") -> DataFrame:
+    """One row of exact interpolated percentiles for several columns in one pass.
+
+    Columns are stacked to (column, value), pre-counted per distinct value
+    (map-side combined), and the frequency form of ``percentile`` runs per
+    column — the state is the number of distinct values of a column, not its
+    rows. Output columns are ``{prefix}{col}__{i}`` for the i-th probability.
+    """
+    stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    long = df.selectExpr(f"stack({len(cols)}, {stack}) AS (_c, _v)").where(F.col("_v").isNotNull())
+    pre = long.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    q = pre.groupBy("_c").agg(F.percentile(F.col("_v"), F.array(*[F.lit(p) for p in probs]), F.col("_n")).alias("_q"))
+    return q.agg(*[F.max(F.when(F.col("_c") == c, F.col("_q")[i])).alias(f"{prefix}{c}__{i}")
+                   for c in cols for i in range(len(probs))])

@@ -287,8 +287,9 @@ select row_id, {PR('least(180, greatest(5, x))')} serve,
        {PR('least(120, greatest(5, x))')} notebook_a, {PR('least(180, greatest(0, x))')} notebook_b
 from r, m""")
 def f22(spark, sf):
+    from waitcast.operators.history import column_percentiles
     ev = tb.readings_events(spark, sf)
-    gm = ev.agg(F.median("tiempo_espera").alias("gm"))
+    gm = column_percentiles(ev, ["tiempo_espera"], [0.5]).select(F.col("tiempo_espera__0").alias("gm"))
     r = ev.select("row_id", (F.col("tiempo_espera") - 20).alias("x")).crossJoin(F.broadcast(gm))
     rescue = F.greatest(F.col("gm") * 0.5, F.lit(5.0))
     return rounded(r.select(
@@ -334,8 +335,10 @@ m as (select median(temperatura) mt, median(humedad) mh from r)
 select row_id, coalesce(temperatura, mt) temperatura, coalesce(humedad, mh) humedad, coalesce(codigo_clima, 3) codigo_clima,
        coalesce(temperatura, mt) sensacion_termica, coalesce(hn, 12.0) hora_num from r, m""")
 def f26(spark, sf):
+    from waitcast.operators.history import column_percentiles
     r = tb.readings_orders(spark, sf).withColumn("hora_num", parse_hour("hora"))
-    med = r.agg(F.median("temperatura").alias("temperatura"), F.median("humedad").alias("humedad"))
+    med = column_percentiles(r, ["temperatura", "humedad"], [0.5]).select(
+        F.col("temperatura__0").alias("temperatura"), F.col("humedad__0").alias("humedad"))
     out = FL.request_defaults(r, med)
     return rounded(out.select("row_id", "temperatura", "humedad", "codigo_clima", "sensacion_termica", "hora_num"))
 

@@ -23,9 +23,10 @@ _NUM = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.Doubl
 def build_features(df: DataFrame, train: DataFrame, featured: str = "Batman") -> DataFrame:
     """All model features for ``df`` (prepared rows with fecha, hora_num, atraccion, zona,
     weather columns), with every data-dependent piece fitted on ``train``."""
-    med = train.agg(*[F.median(c).alias(f"_m_{c}") for c in WEATHER])
+    from waitcast.operators.history import column_percentiles
+    med = column_percentiles(train, WEATHER, [0.5], prefix="_m_")        # one row
     d = df.crossJoin(F.broadcast(med)).withColumns(
-        {c: F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}")) for c in WEATHER}).drop(*[f"_m_{c}" for c in WEATHER])
+        {c: F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}__0")) for c in WEATHER}).drop(*[f"_m_{c}__0" for c in WEATHER])
     if "sensacion_termica" not in d.columns:
         d = d.withColumn("sensacion_termica", F.lit(0.0))
     d = calendar_features(d, hora="hora_num", featured=featured)
