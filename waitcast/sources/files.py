@@ -48,26 +48,49 @@ def typed_readings(raw: DataFrame) -> DataFrame:
     return raw.select(*out)
 
 
+def _readable(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path).schema  # noqa: B018 - resolves (lists) the path only
+        return True
+    except AnalysisException:
+        return False
+
+
+def file_headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """Header line -> files, from one distributed job: the first line of each file is the
+    first row of its split starting at byte 0. Only (file, header) pairs reach the driver
+    (file-listing metadata, as Spark's own file index)."""
+    lines = spark.read.text(paths).select(F.input_file_name().alias("f"), F.input_file_block_start().alias("b"),
+                                          F.col("value"))
+    heads = lines.where(F.col("b") == 0).groupBy("f").agg(F.first("value").alias("h")).collect()
+    out: dict[str, list[str]] = {}
+    for r in heads:
+        out.setdefault(r["h"], []).append(r["f"])
+    return out
+
+
 def tolerant_scan(spark: SparkSession, paths: list[str], required: tuple[str, ...] = ("zona", "atraccion"),
                   columns=READINGS_COLUMNS) -> DataFrame:
-    """S3: many CSV files whose column sets differ.
+    """S3: many CSV files whose column sets and orders differ.
 
-    Each file is read with its own header as text (no inference); files that
-    cannot be read or lack a ``required`` column are skipped; the rest are
-    unioned by name (missing columns -> NULL), typed with ``try_cast`` and
-    projected to the fixed column order.
+    Unreadable paths are skipped; files are grouped by header layout (one job reads
+    every file's first line); layouts lacking a ``required`` column are skipped; each
+    remaining layout is one multi-file scan read as text (no inference). Layouts are
+    unioned by name (missing columns -> NULL), typed with ``try_cast`` and projected
+    to the fixed column order.
     """
+    import csv
+    ok = [p for p in paths if _readable(spark, p)]
+    if not ok:
+        raise FileNotFoundError("no readable files")
     parts = []
-    for p in paths:
-        try:
-            df = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(p)
-        except AnalysisException:
+    for header, files in sorted(file_headers(spark, ok).items()):
+        names = next(csv.reader([header]))
+        if not all(r in names for r in required):
             continue
-        if not all(r in df.columns for r in required):
-            continue
-        parts.append(df)
+        parts.append(spark.read.option("header", True).option("mode", "PERMISSIVE").csv(sorted(files)))
     if not parts:
-        raise FileNotFoundError("no readable files")
+        raise FileNotFoundError("no file with the required columns")
     u = union_aligned(*parts)
     have = [c for c, _ in columns if c in u.columns]
     typed = typed_readings(u.select(*have))
