@@ -35,9 +35,19 @@ def expand(sql: str) -> str:
 
 
 def query(name: str, sql: str | None = None):
-    """Decorator: register ``fn(spark, sf_dir) -> DataFrame`` and its oracle."""
+    """Decorator: register ``fn(spark, sf_dir) -> DataFrame`` and its oracle.
+
+    The registered callable first points the session at its checkpoint folder
+    (``spark.checkpoint.dir``; a temporary one only when unset), since several
+    jobs materialise intermediate tables with ``checkpoint()``.
+    """
     def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            from waitcast.session import ensure_checkpoint_dir
+            ensure_checkpoint_dir(spark)
+            return fn(spark, sf_dir)
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = expand(sql)
         return fn
