@@ -166,10 +166,17 @@ def keep_numeric(df: DataFrame, also: list[str] | None = None) -> DataFrame:
 def sample_rows(df: DataFrame, n: int, key_cols: list[str], seed: int = 42) -> DataFrame:
     """Repeatable sample of n rows (order by a seeded hash of the row key).
 
-    ``limit`` is the feature here; Spark plans it as TakeOrderedAndProject
-    (per-partition top-n, then a merge of n x partitions rows).
+    A single integer key uses the multiplicative 32-bit hash of the splits (portable:
+    any engine can reproduce the sample); other keys use ``xxhash64``. ``limit`` is
+    the feature here; Spark plans it as TakeOrderedAndProject (per-partition top-n,
+    then a merge of n x partitions rows).
     """
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols])
+    integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    if len(key_cols) == 1 and isinstance(df.schema[key_cols[0]].dataType, integral):
+        from waitcast.operators.encode import hash_u32
+        h = hash_u32(key_cols[0], seed)
+    else:
+        h = F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols])
     return df.withColumn("_h", h).orderBy("_h", *key_cols).limit(n).drop("_h")
 
 

@@ -138,10 +138,12 @@ def p17(spark, sf):
     return C.keep_numeric(_ord(spark, sf))
 
 
-@query("p18_sample_rows")
+@query("p18_sample_rows", """
+select row_id, zona, atraccion, round(tiempo_espera, 6) tiempo_espera, fecha, hora_int, hora, abierta, ts from @RE
+order by (((row_id + 42) % 2147483648) * 2654435761) % 4294967296, row_id limit 100""")
 def p18(spark, sf):
-    """Repeatable 100-row sample (the limit is the operator). Rows-only check."""
-    return C.sample_rows(_ev(spark, sf), 100, ["row_id"])
+    """Repeatable 100-row sample of the events readings (the limit is the operator)."""
+    return rounded(C.sample_rows(_ev(spark, sf), 100, ["row_id"]))
 
 
 @query("p20_validate_requests", """
