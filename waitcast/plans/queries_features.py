@@ -365,7 +365,38 @@ def g4(spark, sf):
                                 "wc_is_holiday(fecha) AS festivo", "wc_is_bridge(fecha) AS puente"))
 
 
-@query("features_full_layer")
+def _full_layer_sql() -> str:
+    h = "cast(trunc(hora_num) as integer)"
+    dow, m = "(isodow(fecha) - 1)", "month(fecha)"
+    finde = f"cast({dow} in (5, 6) as integer)"
+    ap, pico = f"cast({h} between 10 and 10 as integer)", f"cast({h} between 11 and 16 as integer)"
+    puente = f"cast({bridge_sql()} as integer)"
+    temporada = season_sql("a", m)
+    cols = ["row_id", "zona", "atraccion", "round(tiempo_espera, 6) tiempo_espera", "fecha", "hora",
+            "round(temperatura, 6) temperatura", "round(humedad, 6) humedad", "codigo_clima", "abierta",
+            "round(hora_num, 6) hora_num", f"{m} mes", "day(fecha) dia_mes", f"{dow} dia_semana_num",
+            "week(fecha) semana_anio", "quarter(fecha) trimestre", "year(fecha) anio", f"{h} hora_int"]
+    cols += [f"cast({dow} = {i} as integer) {n}" for i, n in enumerate(_WD)]
+    cols += [f"{finde} es_fin_de_semana", f"cast({dow} in (0, 1, 2, 3, 4) as integer) es_dia_laborable"]
+    cols += [f"cast({m} = {i} as integer) es_mes_{i}" for i in range(1, 13)]
+    cols += [f"{temporada} temporada", _cyc_sql()]
+    cols += [f"{ap} es_hora_apertura", f"{pico} es_hora_pico", f"cast({h} < 10 as integer) es_hora_valle_manana",
+             f"cast({h} > 18 as integer) es_hora_valle_tarde", f"cast({h} < 10 or {h} > 18 as integer) es_hora_valle",
+             f"cast({hol_sql('fecha')} as integer) es_festivo", f"{puente} es_puente"]
+    cols += [f"round(hora_num * {m}, 6) hora_mes", f"round(hora_num * {dow}, 6) hora_dia_semana",
+             f"{m} * {dow} mes_dia_semana", f"{finde} * {m} fin_semana_mes", f"{temporada} * {dow} temporada_dia_semana"]
+    cols += [f"{ap} * {finde} hora_apertura_fin_semana", f"{pico} * {puente} hora_pico_puente",
+             f"{puente} * {finde} puente_fin_semana"]
+    cols += [f"cast(coalesce(contains(atraccion, '1-URGENT'), false) and {m} = 10 as integer) is_featured_octubre",
+             f"cast({m} = 10 as integer) is_octubre", f"cast({m} = 11 as integer) is_noviembre",
+             f"cast({m} = 10 and {finde} = 1 as integer) is_octubre_fin_semana",
+             f"cast({m} = 11 and {finde} = 1 as integer) is_noviembre_fin_semana"]
+    cols += ["cast(coalesce(codigo_clima in (1, 2, 3), false) as integer) es_buen_clima",
+             "cast(coalesce(codigo_clima > 3, false) as integer) es_mal_clima"]
+    return f"select {', '.join(cols)} from {RO_H}"
+
+
+@query("features_full_layer", _full_layer_sql())
 def features_full(spark, sf):
-    """All calendar/hour/weather features in one projection over the orders readings (rows-only)."""
-    return calendar_features(_ord_h(spark, sf), featured="1-URGENT")
+    """All calendar/hour/weather features of the orders readings in one projection."""
+    return rounded(calendar_features(_ord_h(spark, sf), featured="1-URGENT"))
