@@ -209,3 +209,38 @@ def test_value_counts_and_null_counts(spark):
     assert [(r.x, r.n) for r in X.value_counts(df, "x").collect()] == [("a", 2), ("b", 1)]
     assert [(r.column_name, r.nulls) for r in X.null_counts(df).collect()] == [("y", 2), ("x", 0)]
     _ = pd  # pandas used by other helpers
+
+
+def test_size_checked_join_falls_back_to_shuffle_join(spark):
+    from waitcast.operators.joins import size_checked_join
+    left = spark.range(0, 2000).withColumnRenamed("id", "k")
+    right = spark.range(0, 500).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 2)
+    small = size_checked_join(left, right, "k", "left", n_rows=500)
+    big = size_checked_join(left, right, "k", "left", n_rows=500, limit=10)   # too large for a 10-byte limit
+    assert "broadcast" in small._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "broadcast" not in big._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert sorted(small.collect()) == sorted(big.collect())
+
+
+def test_column_percentiles_match_numpy(spark):
+    rnd = random.Random(5)
+    rows = [(float(rnd.randint(0, 30)), rnd.choice([None, float(rnd.randint(-5, 5))])) for _ in range(500)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    r = H.column_percentiles(df, ["a", "b"], [0.25, 0.5, 0.9]).collect()[0]
+    a = np.array([x for x, _ in rows])
+    b = np.array([y for _, y in rows if y is not None])
+    for i, q in enumerate([25, 50, 90]):
+        assert r[f"a__{i}"] == pytest.approx(np.percentile(a, q))
+        assert r[f"b__{i}"] == pytest.approx(np.percentile(b, q))
+
+
+def test_weather_fill_only_where_missing(spark):
+    from waitcast.operators.joins import fill_missing_weather, weather_keys_needed
+    df = spark.createDataFrame([(1, dt.date(2024, 1, 1), 10, None, 50.0, 1), (2, dt.date(2024, 1, 1), 10, 20.0, None, 2),
+                                (3, dt.date(2024, 1, 2), 11, None, None, None)],
+                               "row_id long, fecha date, hora_int int, temperatura double, humedad double, codigo_clima int")
+    w = spark.createDataFrame([(dt.date(2024, 1, 1), 10, 5.0, 90.0, 4)],
+                              "fecha date, hora_int int, temperatura double, humedad double, codigo_clima int")
+    got = {r.row_id: (r.temperatura, r.humedad, r.codigo_clima) for r in fill_missing_weather(df, w).collect()}
+    assert got == {1: (5.0, 90.0, 4), 2: (20.0, None, 2), 3: (None, None, None)}   # all columns move together
+    assert [(r.fecha, r.hora_int) for r in weather_keys_needed(df, w).collect()] == [(dt.date(2024, 1, 2), 11)]

@@ -124,3 +124,17 @@ def test_entry_and_registry(spark):
     assert set(sqls) <= set(qs) and len(qs) >= 150
     assert not any(k.lower().startswith("op") for k in qs)
     assert os.path.exists(SF_SMALL)
+
+
+def test_curated_merge_replay_and_precedence(spark):
+    schema = "row_id long, fecha date, hora string, atraccion string, tiempo_espera double"
+    b0 = spark.createDataFrame([(5, dt.date(2024, 1, 1), "10:00", "R", 10.0), (1, dt.date(2024, 2, 1), "10:00", "R", 1.0)], schema)
+    b1 = spark.createDataFrame([(3, dt.date(2024, 1, 1), "10:00", "R", 30.0)], schema)
+    for prefer, expect in [("seq", 10.0), ("arrival", 30.0)]:
+        out = FS.staging_dir(spark, "t-merge")
+        sink = X.CuratedMerge(out, ["fecha", "hora", "atraccion"], "row_id", prefer=prefer)
+        sink(b0, 0)
+        sink(b1, 1)
+        sink(b1.withColumn("tiempo_espera", F.lit(99.0)), 1)     # replayed batch id: ignored
+        got = {r.fecha: r.tiempo_espera for r in X.read_curated(spark, out).collect()}
+        assert got == {dt.date(2024, 1, 1): expect, dt.date(2024, 2, 1): 1.0}, prefer
