@@ -44,9 +44,9 @@ def history_base(df: DataFrame) -> DataFrame:
 
     Needs the cascade columns and ``pred_base``. Adds ``hist_base``, ``w_hist``,
     ``w_model``, ``pred_combinada`` and rewrites ``especificidad`` when the
-    low-history fallback fires.
+    low-history fallback fires (the cascade's own label is kept in ``_espec0``).
     """
-    d = df.withColumns(_band_cols(F.col("hora_eff")))
+    d = df.withColumns(_band_cols(F.col("hora_eff"))).withColumn("_espec0", F.col("especificidad"))
     n, p25, p50, p75 = F.col("n_hist"), F.col("p25_hist"), F.col("p50_hist"), F.col("p75_hist")
     hourly = F.col("especificidad").isin(HOURLY)
     ap, pico = F.col("es_hora_apertura"), F.col("es_hora_pico")

@@ -180,6 +180,16 @@ _profile("hora_int", "hour")
 _profile("dia_mes", "day_of_month")
 
 
+@query("a23_ride_describe", " union all ".join(
+    f"select '{c}' column_name, count({c}) count, avg({c}) mean, stddev_samp({c}) std, cast(min({c}) as double) min, "
+    f"quantile_cont({c}, 0.25) p25, quantile_cont({c}, 0.5) p50, quantile_cont({c}, 0.75) p75, cast(max({c}) as double) max "
+    f"from (select * from {ROC} where atraccion = '{RIDE}')" for c in ["tiempo_espera", "dia_mes"]))
+def a23(spark, sf):
+    """Describe (count, mean, std, min, quartiles, max) of one ride's wait and day of month."""
+    r = _oc(spark, sf).where(F.col("atraccion") == RIDE).withColumn("dia_mes", F.col("dia_mes").cast("double"))
+    return rounded(X.describe(r, ["tiempo_espera", "dia_mes"]))
+
+
 @query("a22_month_profile", f"select mes, min(temporada) temporada, round(avg(tiempo_espera), 6) mean_wait from {ROC} group by mes")
 def a22(spark, sf):
     return rounded(X.month_profile(_oc(spark, sf)))

@@ -183,6 +183,18 @@ def b1(spark, sf):
     return rounded(_score(spark, sf).select("row_id", "especificidad", "hist_base", "w_hist", "w_model"))
 
 
+@query("j8_low_history_fallback", scoring_sql() +
+       "select row_id, espec0 espec_cascada, especificidad, round(p75_hist, 6) p75_hist, n_hist, "
+       "round(hist_base, 6) hist_base, w_hist from fin where especificidad like '%fallback'")
+def j8(spark, sf):
+    """Requests whose peak-hour history was suspiciously low (p75 < 15, n < 20) and was
+    replaced by the larger p75 of ride x month x weekday (else ride x month), relabelled."""
+    s = _score(spark, sf)
+    out = s.where(F.col("especificidad").endswith("fallback"))
+    return rounded(out.select("row_id", F.col("_espec0").alias("espec_cascada"), "especificidad", "p75_hist", "n_hist",
+                              "hist_base", "w_hist"))
+
+
 @query("b3_combined_prediction", scoring_sql() +
        "select row_id, round(pred_base, 6) pred_base, round(pred_combinada, 6) pred_combinada from fin")
 def b3(spark, sf):
