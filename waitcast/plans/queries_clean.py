@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from waitcast.operators import clean as C
 from waitcast.operators import dedup as D

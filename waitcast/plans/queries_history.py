@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from waitcast.functions.hours import parse_hour
 from waitcast.operators import encode as E
 from waitcast.operators import history as H

@@ -12,16 +12,13 @@ from pyspark.sql import types as T
 
 from waitcast.functions import calendar as cal
 from waitcast.functions.hours import parse_hour
-from waitcast.operators import clean as C
 from waitcast.operators import history as H
 from waitcast.operators import metrics as M
 from waitcast.plans.catalog import query, rounded
 from waitcast.plans.features import basic_calendar
 from waitcast.plans.queries_explore import predictions
-from waitcast.plans.queries_history import RL_CAL, history_sql
-from waitcast.schema import FEED
+from waitcast.plans.queries_history import history_sql
 from waitcast.sources import files as FS
-from waitcast.sources import nested as N
 from waitcast.sources import tables as tb
 from waitcast.streaming import ingest as X
 
