@@ -150,7 +150,8 @@ def x3(spark, sf):
     src = _stage_events_stream(spark, sf)
     out = FS.staging_dir(spark, "curated")
     stream = X.read_stream(spark, src, _EV_JSON, "json", max_files_per_trigger=2)
-    sink = X.CuratedMerge(out, ["fecha", "hora_int", "atraccion"], ["ultima_actualizacion", "row_id"])
+    sink = X.CuratedMerge(out, ["fecha", "hora_int", "atraccion"], ["ultima_actualizacion", "row_id"],
+                          partition_format="yyyy-MM")        # a month of backfill per run
     X.run_available_now(stream, sink, FS.staging_dir(spark, "ckpt"))
     cur = X.read_curated(spark, out)
     return rounded(cur.select("row_id", "zona", "atraccion", "tiempo_espera", "fecha", "hora_int"))
@@ -211,7 +212,8 @@ def x4(spark, sf):
     schema = T.StructType([f for f in ORDERS_CSV_SCHEMA.fields])
     out = FS.staging_dir(spark, "curated")
     stream = X.read_stream(spark, d, schema, "json", max_files_per_trigger=2)
-    X.run_available_now(stream, X.CuratedMerge(out, ["fecha", "hora", "atraccion"], "row_id", chain),
+    X.run_available_now(stream, X.CuratedMerge(out, ["fecha", "hora", "atraccion"], "row_id", chain,
+                                               partition_format="yyyy-MM"),   # seven years of backfill
                         FS.staging_dir(spark, "ckpt"))
     return X.read_curated(spark, out)
 

@@ -74,7 +74,7 @@ def clean_batch(batch: DataFrame) -> DataFrame:
 class CuratedMerge:
     """``foreachBatch`` sink that keeps the newest reading per key.
 
-    The curated table is parquet partitioned by the month of ``fecha`` (``_part``;
+    The curated table is parquet partitioned by the day of ``fecha`` (``_part``;
     ``partition_format`` sets the grain). Each micro-batch:
     de-duplicate the batch (keep last by ``seq``), read only the curated
     partitions of the batch's dates, merge, checkpoint, and overwrite just
@@ -87,10 +87,13 @@ class CuratedMerge:
     """
 
     def __init__(self, path: str, keys: list[str], seq: str | list[str] = "row_id", transform=None,
-                 prefer: str = "seq", partition_format: str = "yyyy-MM"):
+                 prefer: str = "seq", partition_format: str = "yyyy-MM-dd"):
         self.path, self.keys, self.transform, self.prefer = path, keys, transform, prefer
         self.seq = [seq] if isinstance(seq, str) else list(seq)
-        self.partition_format = partition_format  # "yyyy-MM-dd" for daily partitions
+        # daily by default: a live tick only touches today's partition; backfills spanning
+        # years pass "yyyy-MM" so each micro-batch rewrites a few month partitions instead
+        # of thousands of small daily ones
+        self.partition_format = partition_format
 
     def _done_marker(self, batch_id: int) -> str:
         return f"{self.path}/_batches/{batch_id:010d}"
@@ -129,7 +132,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 class AppendLog:
     """Sink for update-mode aggregates: append each micro-batch with its batch id; readers
-    keep the row of the latest batch per key (:func:`latest_per_key`)."""
+    keep the row of the latest batch per key (:func:`latest_per_key`). A long-running
+    log is compacted by writing ``latest_per_key`` of it as a new table (same result)."""
 
     def __init__(self, path: str):
         self.path = path
