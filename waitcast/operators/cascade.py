@@ -19,9 +19,10 @@ Each level is a left equi-join of the requests with one grain slice of the
 history table (at most one row per key, so no row multiplication). ``hist``
 should be materialised (the saved artifact, or a checkpoint — see
 ``waitcast.plans.scoring.materialized_histories``): the nine slices then scan
-it instead of re-running the aggregation nine times. The
-slices are aggregates bounded by the key domain; AQE broadcasts them when
-their measured size allows and keeps a shuffle join otherwise.
+it instead of re-running the aggregation nine times. Rows per grain are
+counted once (one small aggregate of the materialised table); each slice is
+broadcast only when its rows x row width fit the broadcast limit, otherwise
+that level stays a shuffle join.
 """
 
 from __future__ import annotations

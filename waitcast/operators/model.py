@@ -1,7 +1,7 @@
 """Model stages on MLlib.
 
-Training is the only place with actions inside the library: MLlib estimators
-run their own jobs. Tree learners checkpoint their node-id cache every 10
+MLlib estimators run their own jobs; the training table is checkpointed once
+before fitting. Tree learners checkpoint their node-id cache every 10
 iterations into the cluster's checkpoint folder (``spark.checkpoint.dir``),
 so a lost executor costs at most 10 iterations of lineage, never the job.
 """

@@ -1,7 +1,8 @@
 """Batch scoring plan (M23): requests table -> features -> model -> cascade -> blend -> ladder.
 
 A request table of any size is scored with joins and one projection per
-stage; nothing is collected. ``predict`` is any function adding ``pred_base``
+stage; no data rows reach the driver (only the history table's row counts per
+grain, for the broadcast decision). ``predict`` is any function adding ``pred_base``
 (the fitted MLlib pipeline, or the deterministic stand-in model used by the
 oracle checks).
 """
