@@ -14,7 +14,8 @@ same flow is a file stream:
       O(table). A replayed batch id is a no-op (idempotent sink);
 * X4  the batch cleaning/enrichment chain applied to each micro-batch;
 * X5  stream-static left joins (weather, histories);
-* X6  15-minute tick rollup per ride with a watermark (append mode).
+* X6  15-minute tick rollup per ride with a watermark (append mode, or update mode into
+      an append log whose newest version per key is the result).
 
 The merged partitions are checkpointed (reliable checkpoint in
 ``spark.checkpoint.dir``) before being written back, so a micro-batch never
@@ -52,7 +53,8 @@ def dedup_within_watermark(stream: DataFrame, keys: list[str], event_time: str =
 
 def tick_rollup(stream: DataFrame, event_time: str = "ts", delay: str = "30 minutes",
                 tick: str = "15 minutes") -> DataFrame:
-    """Per 15-minute tick and ride: readings, mean, max wait (append mode)."""
+    """Per 15-minute tick and ride: readings, mean, max wait. State is bounded by the
+    watermark; use append mode (final windows) or update mode with :class:`AppendLog`."""
     return (stream.withWatermark(event_time, delay)
             .groupBy(F.window(event_time, tick).alias("tick"), "atraccion")
             .agg(F.count(F.lit(1)).alias("n"), F.avg("tiempo_espera").alias("mean_wait"),
