@@ -244,3 +244,30 @@ def test_weather_fill_only_where_missing(spark):
     got = {r.row_id: (r.temperatura, r.humedad, r.codigo_clima) for r in fill_missing_weather(df, w).collect()}
     assert got == {1: (5.0, 90.0, 4), 2: (20.0, None, 2), 3: (None, None, None)}   # all columns move together
     assert [(r.fecha, r.hora_int) for r in weather_keys_needed(df, w).collect()] == [(dt.date(2024, 1, 2), 11)]
+
+
+def test_hot_ride_holding_a_third_of_rows(spark):
+    """One ride with a third of all rows: one-pass histories, keep-last and the exact
+    stratified split still match pandas / exact counts."""
+    rnd = random.Random(11)
+    rows = []
+    for i in range(1500):
+        ride = "hot" if i % 3 == 0 else f"r{rnd.randint(0, 20)}"
+        d = dt.date(2024, rnd.randint(1, 12), rnd.randint(1, 28))
+        rows.append((i, ride, float(5 * rnd.randint(0, 30)), d, rnd.randint(9, 21), d.month, d.weekday()))
+    df = spark.createDataFrame(rows, "row_id long, atraccion string, tiempo_espera double, fecha date, hora_int int, "
+                                     "mes int, dia_semana_num int")
+    pdf = df.toPandas()
+    allh = {(r.grain, r.atraccion, r.mes, r.hora_int, r.dia_semana_num): r for r in H.all_histories(df).collect()}
+    hot = pdf[pdf.atraccion == "hot"].tiempo_espera
+    r = allh[("atraccion", "hot", None, None, None)]
+    assert r.n == len(hot) and r.p75 == pytest.approx(np.percentile(hot, 75)) and r.std == pytest.approx(hot.std())
+    for (m, h), g in pdf[pdf.atraccion == "hot"].groupby(["mes", "hora_int"]):
+        x = allh[("mes_hora", "hot", m, h, None)]
+        assert x.n == len(g) and x.p50 == pytest.approx(np.percentile(g.tiempo_espera, 50))
+    keys = ["atraccion", "fecha"]
+    exp = set(pdf.sort_values("row_id").drop_duplicates(subset=keys, keep="last").row_id)
+    assert {x.row_id for x in D.keep_last(df, keys, ["row_id"]).collect()} == exp
+    split = E.stratified_split(df, "row_id", ["atraccion"], 0.8, buckets=64).toPandas()
+    for _, g in split.groupby("atraccion"):
+        assert g.is_train.sum() == int(np.ceil(0.8 * len(g)))
