@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from waitcast.functions.hours import parse_hour
 from waitcast.operators import encode as E
 from waitcast.operators import history as H
@@ -95,16 +97,32 @@ RO_FEAT_SQL = f"""(select *, cast(trunc(coalesce(case when instr(trim(hora), ':'
       month(fecha) mes, isodow(fecha) - 1 dia_semana_num, {SPLIT_SQL} is_train from @RO)"""
 
 
-def orders_split(spark, sf):
-    r = tb.readings_orders(spark, sf)
-    r = r.withColumn("hora_int", parse_hour("hora", default=12.0).cast("int"))
-    r = basic_calendar(r)
-    return r.withColumn("is_train", E.hash_split_flag("row_id", 0.8))
+_HN = ("(case when instr(trim(hora), ':') > 0 then trunc(try_cast(split_part(trim(hora), ':', 1) as double)) "
+       "+ trunc(try_cast(split_part(trim(hora), ':', 2) as double)) / 60.0 else trunc(try_cast(trim(hora) as double)) end)")
+_RO_HN = f"(select *, {_HN} hn, {SPLIT_SQL} is_train, month(fecha) mes, isodow(fecha) - 1 dia_semana_num from @RO)"
+# training rows: unparsable hours -> median hour of the train rows
+RO_TRAINFEAT_SQL = (f"(select o.*, cast(trunc(coalesce(hn, m.med)) as integer) hora_int from {_RO_HN} o, "
+                    f"(select median(hn) med from {_RO_HN} where is_train and tiempo_espera is not null) m)")
+
+
+def orders_split(spark, sf, hours: str = "training"):
+    """Orders readings with the hash split flag. ``hours="training"``: unparsable hours take
+    the median hour of the train rows; ``"requests"``: 12.0, as for prediction requests."""
+    r = basic_calendar(tb.readings_orders(spark, sf)).withColumn("is_train", E.hash_split_flag("row_id", 0.8))
+    r = r.withColumn("hora_num", parse_hour("hora"))
+    if hours == "requests":
+        r = r.withColumn("hora_num", F.coalesce(F.col("hora_num"), F.lit(12.0)))
+    else:
+        from waitcast.operators.history import column_percentiles
+        med = column_percentiles(r.where("is_train and tiempo_espera is not null"), ["hora_num"], [0.5], "_m_")
+        r = r.crossJoin(F.broadcast(med)).withColumn(
+            "hora_num", F.coalesce(F.col("hora_num"), F.col("_m_hora_num__0"))).drop("_m_hora_num__0")
+    return r.withColumn("hora_int", F.col("hora_num").cast("int")).drop("hora_num")
 
 
 def _j1_sql(all_rows: bool = False) -> str:
-    te = "te as (select * from o)" if all_rows else "te as (select * from o where not is_train)"
-    ctes = [f"o as {RO_FEAT_SQL}", "tr as (select * from o where is_train)", te,
+    te = f"te as (select * from {RO_FEAT_SQL})" if all_rows else "te as (select * from o where not is_train)"
+    ctes = [f"o as {RO_TRAINFEAT_SQL}", "tr as (select * from o where is_train)", te,
             "g as (select avg(tiempo_espera) mean, median(tiempo_espera) median, stddev_samp(tiempo_espera) std, "
             "quantile_cont(tiempo_espera, 0.75) p75, quantile_cont(tiempo_espera, 0.9) p90, "
             "quantile_cont(tiempo_espera, 0.95) p95 from tr where tiempo_espera is not null)"]
@@ -153,8 +171,8 @@ def j11(spark, sf):
 def j9(spark, sf):
     """Every orders row as a prediction request (bad hour -> 12): the six history
     feature groups fitted on train rows, with family defaults (F19) where a request has no history."""
-    o = orders_split(spark, sf)
-    tr = o.where("is_train")
+    o = orders_split(spark, sf, hours="requests")
+    tr = orders_split(spark, sf).where("is_train")
     out = J.fill_by_family(J.attach_histories(o, tr), tr)
     stat_cols = [f"{s}_{g}" for g, (_, stats) in H.GRAINS.items() for s in stats]
     return rounded(out.select("row_id", *stat_cols))

@@ -20,11 +20,9 @@ FEATURED = "1-URGENT"
 
 
 def _split(spark, sf):
-    o = tb.readings_orders(spark, sf)
-    prepared = S.prepare_requests(o)
-    tr, te = E.hash_split(prepared, "row_id")
-    tr = tr.where(F.col("tiempo_espera").isNotNull())
-    return tr, te
+    """Train rows prepared as training data (median hour fill), test rows as requests."""
+    raw_tr, raw_te = E.hash_split(tb.readings_orders(spark, sf), "row_id")
+    return S.prepare_training(raw_tr), S.prepare_requests(raw_te)
 
 
 def _features(spark, sf):

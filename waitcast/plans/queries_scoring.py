@@ -35,9 +35,10 @@ def scoring_sql(req_sql: str = REQ_ORDERS_SQL, variant: str = "predict", pair_ch
                 featured: str = FEATURED) -> str:
     """Oracle twin of :func:`waitcast.plans.scoring.score`; ends with CTE ``fin``."""
     ctes = [
-        f"o as (select *, coalesce({hour_sql('hora')}, 12.0) hora_num from @RO)",
-        f"tr as (select *, cast(trunc(hora_num) as integer) hora_int, month(fecha) mes, isodow(fecha) - 1 dia_semana_num "
-        f"from o where {SPLIT_SQL} and tiempo_espera is not null)",
+        f"o as (select *, {hour_sql('hora')} hn from @RO where {SPLIT_SQL} and tiempo_espera is not null)",
+        "med as (select median(hn) m from o)",
+        "tr as (select o.*, coalesce(hn, m) hora_num, cast(trunc(coalesce(hn, m)) as integer) hora_int, "
+        "month(fecha) mes, isodow(fecha) - 1 dia_semana_num from o, med)",
         "gm as (select median(tiempo_espera) global_median, avg(tiempo_espera) global_mean from tr)",
         "enc as (select atraccion, avg(tiempo_espera) m from tr group by atraccion)",
     ]

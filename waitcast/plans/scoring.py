@@ -33,9 +33,23 @@ def prepare_requests(requests: DataFrame, today: str | None = None, hour_default
                           "dia_semana_num": F.weekday("fecha")})
 
 
-def prepare_training(readings: DataFrame, hour_default: float = 12.0) -> DataFrame:
-    """Training rows keyed like requests (hour text parsed; unparsable -> ``hour_default``)."""
-    return prepare_requests(readings, hour_default=hour_default).where(F.col("tiempo_espera").isNotNull())
+def fill_hours(df: DataFrame, fill: float | str = "median") -> DataFrame:
+    """Fill unparsable hours (T10): ``"median"`` = exact median of the parsed hours of
+    ``df`` (one-row aggregate over distinct values, broadcast), or a constant."""
+    if fill == "median":
+        med = H.column_percentiles(df, ["hora_num"], [0.5], prefix="_med_")
+        df = df.crossJoin(F.broadcast(med)).withColumn(
+            "hora_num", F.coalesce(F.col("hora_num"), F.col("_med_hora_num__0"))).drop("_med_hora_num__0")
+    else:
+        df = df.withColumn("hora_num", F.coalesce(F.col("hora_num"), F.lit(float(fill))))
+    return df.withColumn("hora_int", F.col("hora_num").cast("int"))
+
+
+def prepare_training(readings: DataFrame, hour_fill: float | str = "median") -> DataFrame:
+    """Training rows keyed like requests; rows without a wait are dropped and unparsable
+    hours take the median hour of the training rows (requests take 12.0 instead)."""
+    r = prepare_requests(readings, hour_default=None).where(F.col("tiempo_espera").isNotNull())
+    return fill_hours(r, hour_fill)
 
 
 def stand_in_model(train: DataFrame) -> Callable[[DataFrame], DataFrame]:
