@@ -114,7 +114,8 @@ def orders_split(spark, sf, hours: str = "training"):
         r = r.withColumn("hora_num", F.coalesce(F.col("hora_num"), F.lit(12.0)))
     else:
         from waitcast.operators.history import column_percentiles
-        med = column_percentiles(r.where("is_train and tiempo_espera is not null"), ["hora_num"], [0.5], "_m_")
+        med = column_percentiles(r.where("is_train and tiempo_espera is not null"), ["hora_num"], [0.5],
+                                 "_m_").checkpoint(eager=True)          # one row, computed once
         r = r.crossJoin(F.broadcast(med)).withColumn(
             "hora_num", F.coalesce(F.col("hora_num"), F.col("_m_hora_num__0"))).drop("_m_hora_num__0")
     return r.withColumn("hora_int", F.col("hora_num").cast("int")).drop("hora_num")

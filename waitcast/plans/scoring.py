@@ -37,7 +37,8 @@ def fill_hours(df: DataFrame, fill: float | str = "median") -> DataFrame:
     """Fill unparsable hours (T10): ``"median"`` = exact median of the parsed hours of
     ``df`` (one-row aggregate over distinct values, broadcast), or a constant."""
     if fill == "median":
-        med = H.column_percentiles(df, ["hora_num"], [0.5], prefix="_med_")
+        # one row, computed once: every later materialisation of ``df`` reuses it
+        med = H.column_percentiles(df, ["hora_num"], [0.5], prefix="_med_").checkpoint(eager=True)
         df = df.crossJoin(F.broadcast(med)).withColumn(
             "hora_num", F.coalesce(F.col("hora_num"), F.col("_med_hora_num__0"))).drop("_med_hora_num__0")
     else:
