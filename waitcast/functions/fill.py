@@ -2,14 +2,14 @@
 
 Fill values that depend on data (medians) are computed in one pass for all
 columns (pre-counted per distinct value, so the state is bounded by distinct
-values) and attached with a one-row broadcast cross join; nothing is collected
-to the driver.
+values) and bound as a one-row scalar subquery.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from waitcast.operators.scalars import with_scalars
 
 # Fixed defaults of the reference for prediction requests.
 REQUEST_DEFAULTS = {"temperatura": 20.0, "humedad": 60.0, "codigo_clima": 3, "hora": 12.0}
@@ -25,7 +25,7 @@ def median_fill(df: DataFrame, cols: list[str], label_cols: dict[str, str] | Non
     out = df
     if present:
         med = column_percentiles(df, present, [0.5], prefix="_med_")     # one row
-        out = out.crossJoin(F.broadcast(med))
+        out = with_scalars(out, med)
         out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"_med_{c}__0").cast(df.schema[c].dataType))
                                for c in present}).drop(*[f"_med_{c}__0" for c in present])
     for c, lab in (label_cols or {}).items():
@@ -53,7 +53,7 @@ def request_defaults(df: DataFrame, train_medians: DataFrame | None = None, toda
     out = df
     if train_medians is not None:
         m = train_medians.select(F.col("temperatura").alias("_m_t"), F.col("humedad").alias("_m_h"))
-        out = out.crossJoin(F.broadcast(m))
+        out = with_scalars(out, m)
         t_def, h_def = F.col("_m_t"), F.col("_m_h")
     else:
         t_def, h_def = F.lit(REQUEST_DEFAULTS["temperatura"]), F.lit(REQUEST_DEFAULTS["humedad"])

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from waitcast.operators import history as H
 from waitcast.operators.joins import grain_counts, size_checked_join
+from waitcast.operators.scalars import with_scalars
 
 LEVELS = ["mes_hora_dia", "hora_dia", "mes_hora", "hora", "mes_dia", "dia", "mes"]
 HOURLY = ["mes_hora_dia", "hora_dia", "mes_hora", "hora"]
@@ -79,7 +80,7 @@ def cascade(requests: DataFrame, hist: DataFrame, pair_check: bool = False, size
     nh = counts.get("hora", 0) if size_check else None
     r = _join(r, _slice(hist, "hora", "hm1", "_hm1"), ["atraccion", "_hm1"], nh)
     r = _join(r, _slice(hist, "hora", "hp1", "_hp1"), ["atraccion", "_hp1"], nh)
-    r = r.crossJoin(F.broadcast(global_median(hist)))
+    r = with_scalars(r, global_median(hist))
 
     h = F.col("hora_int")
     has = {p: F.col(f"{p}_n").isNotNull() for p in ["mhd", "hd", "mh", "h0", "md", "d", "m", "hm1", "hp1"]}

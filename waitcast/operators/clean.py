@@ -2,8 +2,7 @@
 
 Filters are plain Catalyst predicates so they push into parquet scans.
 Data-dependent thresholds (quantile trim, IQR) are computed as a one-row
-aggregate that is cross-joined (broadcast, one row) and filtered in the same
-plan: nothing is collected to the driver between the two steps.
+aggregate bound as a scalar subquery and filtered in the same plan.
 """
 
 from __future__ import annotations
@@ -11,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from waitcast.operators.scalars import with_scalars
 
 # Fixed values of the reference.
 EXCLUDED_ZONES = ["Halloween", "Warner Beach"]          # zones dropped by the wrangling scripts
@@ -72,7 +72,7 @@ def quantile_trim(df: DataFrame, col: str = "tiempo_espera", lo: float = 0.005,
                   exact: bool = True) -> DataFrame:
     """Keep rows with ``lo-quantile <= col <= hi-quantile`` (inclusive)."""
     b = quantile_bounds(df, col, lo, hi, exact)
-    return (df.crossJoin(F.broadcast(b))
+    return (with_scalars(df, b)
             .where((F.col(col) >= F.col("_lo")) & (F.col(col) <= F.col("_hi")))
             .drop("_lo", "_hi"))
 
@@ -82,7 +82,7 @@ def iqr_outliers(df: DataFrame, col: str = "tiempo_espera", k: float = 1.5) -> D
     b = quantile_bounds(df, col, 0.25, 0.75)
     b = b.select((F.col("_lo") - k * (F.col("_hi") - F.col("_lo"))).alias("_lo"),
                  (F.col("_hi") + k * (F.col("_hi") - F.col("_lo"))).alias("_hi"))
-    return (df.crossJoin(F.broadcast(b))
+    return (with_scalars(df, b)
             .where((F.col(col) < F.col("_lo")) | (F.col(col) > F.col("_hi")))
             .drop("_lo", "_hi"))
 

@@ -16,6 +16,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from waitcast.operators.scalars import with_scalars
 
 _MULT = 2654435761          # Knuth multiplicative hash constant
 _M31 = 2147483648
@@ -81,13 +82,13 @@ def target_mean_encoding(df: DataFrame, train: DataFrame, col: str, target: str
     g = t.agg(F.avg(target).alias("_g"))
     stats = t.groupBy(col).agg(F.avg(target).alias("_m"), F.count(F.lit(1)).alias("_n"))
     if smoothing is not None:
-        stats = stats.crossJoin(F.broadcast(g)).select(
+        stats = with_scalars(stats, g).select(
             col, ((F.col("_n") * F.col("_m") + F.lit(float(smoothing)) * F.col("_g")) /
                   (F.col("_n") + F.lit(float(smoothing)))).alias(name))
     else:
         stats = stats.select(col, F.col("_m").alias(name))
     from waitcast.operators.joins import size_checked_join
-    out = size_checked_join(df, stats, col, "left", materialize=True).crossJoin(F.broadcast(g))
+    out = with_scalars(size_checked_join(df, stats, col, "left", materialize=True), g)
     return out.withColumn(name, F.coalesce(F.col(name), F.col("_g"))).drop("_g")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waitcast.functions.labels import wait_class_rule
+from waitcast.operators.scalars import with_scalars
 
 WAIT = "tiempo_espera"
 LIMITED_ROWS = 10   # fixed threshold of the reference's data-volume rule
@@ -41,7 +42,7 @@ def describe(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
     if exact:
         q = column_percentiles(df, cols, [0.25, 0.5, 0.75])
         q = q.select(*[F.col(f"{c}__{i}").alias(f"{n}__{c}") for c in cols for i, n in enumerate(["p25", "p50", "p75"])])
-        wide = wide.crossJoin(q)                  # one row x one row
+        wide = with_scalars(wide, q)
     return _stack(wide, cols, ["count", "mean", "std", "min", "p25", "p50", "p75", "max"])
 
 
@@ -59,7 +60,7 @@ def quality_report(df: DataFrame, keys: list[str], target: str = WAIT, order: st
     kept = keep_first(df, keys, [order])
     removed = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.sum(F.col("_n") - 1).alias("_removed"))
     nulls = null_counts(kept)
-    return (nulls.crossJoin(F.broadcast(removed))
+    return (with_scalars(nulls, removed)
             .select("column_name", "nulls",
                     F.when(F.col("column_name") == target, F.col("_removed")).otherwise(F.lit(0)).cast("long")
                     .alias("duplicates_removed")))
@@ -92,7 +93,7 @@ def correlation_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     """Equal-width bins between min and max (last bin closed), like numpy."""
     b = df.agg(F.min(col).alias("_mn"), F.max(col).alias("_mx"))
-    x = df.select(col).where(F.col(col).isNotNull()).crossJoin(F.broadcast(b))
+    x = with_scalars(df.select(col).where(F.col(col).isNotNull()), b)
     idx = F.least(F.floor((F.col(col) - F.col("_mn")) / (F.col("_mx") - F.col("_mn")) * bins), F.lit(bins - 1))
     g = x.groupBy(idx.cast("int").alias("bin"), "_mn", "_mx").agg(F.count(F.lit(1)).alias("n"))
     w = (F.col("_mx") - F.col("_mn")) / bins
@@ -114,7 +115,7 @@ def box_summary(df: DataFrame, keys: list[str] | None = None, value: str = WAIT)
         from waitcast.operators.joins import size_checked_join
         j = size_checked_join(pre, q, keys, "inner", materialize=True)
     else:
-        j = pre.crossJoin(F.broadcast(q))          # one row
+        j = with_scalars(pre, q)
     v = F.col(value)
     inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
     out = (j.groupBy(*keys, "q1", "median", "q3") if keys else j.groupBy("q1", "median", "q3")).agg(

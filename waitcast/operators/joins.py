@@ -6,8 +6,8 @@ weekdays), not by the row count — but that bound is measured, not assumed:
 history tables are materialised once (reliable checkpoint), their rows are
 counted per grain, and a slice is broadcast only when rows x row width fits
 ``BROADCAST_LIMIT_BYTES``; beyond it the join stays a shuffle join (AQE skew
-handling applies). One-row frames of global statistics are broadcast
-explicitly (size bound 1 row).
+handling applies). One-row global statistics are bound as scalar subqueries
+(``operators/scalars.py``).
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waitcast.operators import history as H
+from waitcast.operators.scalars import with_scalars
 
 WAIT = H.WAIT
 # Largest side we broadcast after measuring it; beyond it the join stays a shuffle join.
@@ -88,12 +89,12 @@ def fill_by_family(df: DataFrame, train: DataFrame, value: str = WAIT) -> DataFr
 
     ``count_*`` -> 0; ``*mean*`` -> mean; ``*median*`` -> median; ``*std*`` -> std;
     ``*p75*``/``*p90*``/``*p95*`` -> the global percentile. The one-row global
-    statistics are cross-joined (one row, broadcast), never collected.
+    statistics are bound as a scalar subquery.
     """
     g = H.global_stats(train, value).select(
         F.col("mean").alias("_g_mean"), F.col("median").alias("_g_median"), F.col("std").alias("_g_std"),
         F.col("p75").alias("_g_p75"), F.col("p90").alias("_g_p90"), F.col("p95").alias("_g_p95"))
-    j = df.crossJoin(F.broadcast(g))
+    j = with_scalars(df, g)
     fills = {}
     for c in df.columns:
         if c.startswith("count_"):

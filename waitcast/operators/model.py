@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from waitcast.functions.labels import CLASS_MINUTES, wait_class_rule
 from waitcast.operators.encode import hash_u32
 from waitcast.session import ensure_checkpoint_dir
+from waitcast.operators.scalars import with_scalars
 
 # Boosted-tree configurations of the reference, mapped onto GBTRegressor
 # (iterations, step, depth, subsampling, feature subset, min instances per node).
@@ -94,7 +95,7 @@ def balance_classes(df: DataFrame, key: str, label: str = "clase") -> DataFrame:
     """
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     mx = counts.agg(F.max("_nc").alias("_nmax"))
-    ratios = counts.crossJoin(F.broadcast(mx)).select(label, (F.col("_nmax") / F.col("_nc")).alias("_r"))
+    ratios = with_scalars(counts, mx).select(label, (F.col("_nmax") / F.col("_nc")).alias("_r"))
     j = df.join(F.broadcast(ratios), on=label, how="inner")
     u = hash_u32(key, seed=104729) / F.lit(4294967296.0)
     copies = F.floor(F.col("_r")).cast("int") + (u < (F.col("_r") - F.floor(F.col("_r")))).cast("int")
@@ -122,7 +123,7 @@ def align_columns(df: DataFrame, train_cols: list[str], family_fill: DataFrame |
     have = set(df.columns)
     out = df
     if family_fill is not None:
-        out = out.crossJoin(F.broadcast(family_fill.select([F.col(c).alias(f"_g_{c}") for c in family_fill.columns])))
+        out = with_scalars(out, family_fill.select([F.col(c).alias(f"_g_{c}") for c in family_fill.columns]))
     cols = []
     for c in train_cols:
         if c in have:

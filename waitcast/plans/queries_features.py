@@ -13,6 +13,7 @@ from waitcast.plans.catalog import query, rounded
 from waitcast.plans.features import calendar_features
 from waitcast.plans.sqlhelpers import pyround_sql as PR
 from waitcast.sources import tables as tb
+from waitcast.operators.scalars import with_scalars
 
 
 def hour_sql(x: str) -> str:
@@ -290,7 +291,7 @@ def f22(spark, sf):
     from waitcast.operators.history import column_percentiles
     ev = tb.readings_events(spark, sf)
     gm = column_percentiles(ev, ["tiempo_espera"], [0.5]).select(F.col("tiempo_espera__0").alias("gm"))
-    r = ev.select("row_id", (F.col("tiempo_espera") - 20).alias("x")).crossJoin(F.broadcast(gm))
+    r = with_scalars(ev.select("row_id", (F.col("tiempo_espera") - 20).alias("x")), gm)
     rescue = F.greatest(F.col("gm") * 0.5, F.lit(5.0))
     return rounded(r.select(
         "row_id", L.round_half_even(L.clamp("x", "serve")).alias("serve"),

@@ -11,6 +11,7 @@ from waitcast.operators import joins as J
 from waitcast.plans.catalog import query, rounded
 from waitcast.plans.features import basic_calendar
 from waitcast.sources import tables as tb
+from waitcast.operators.scalars import with_scalars
 
 RL_CAL = "(select *, month(fecha) mes, isodow(fecha) - 1 dia_semana_num from @RL)"
 _AGG_SQL = {
@@ -116,7 +117,7 @@ def orders_split(spark, sf, hours: str = "training"):
         from waitcast.operators.history import column_percentiles
         med = column_percentiles(r.where("is_train and tiempo_espera is not null"), ["hora_num"], [0.5],
                                  "_m_").checkpoint(eager=True)          # one row, computed once
-        r = r.crossJoin(F.broadcast(med)).withColumn(
+        r = with_scalars(r, med).withColumn(
             "hora_num", F.coalesce(F.col("hora_num"), F.col("_m_hora_num__0"))).drop("_m_hora_num__0")
     return r.withColumn("hora_int", F.col("hora_num").cast("int")).drop("hora_num")
 

@@ -20,6 +20,7 @@ from waitcast.operators import blend as B
 from waitcast.operators import cascade as CA
 from waitcast.operators import encode as E
 from waitcast.operators import history as H
+from waitcast.operators.scalars import with_scalars
 
 
 def prepare_requests(requests: DataFrame, today: str | None = None, hour_default: float = 12.0) -> DataFrame:
@@ -39,7 +40,7 @@ def fill_hours(df: DataFrame, fill: float | str = "median") -> DataFrame:
     if fill == "median":
         # one row, computed once: every later materialisation of ``df`` reuses it
         med = H.column_percentiles(df, ["hora_num"], [0.5], prefix="_med_").checkpoint(eager=True)
-        df = df.crossJoin(F.broadcast(med)).withColumn(
+        df = with_scalars(df, med).withColumn(
             "hora_num", F.coalesce(F.col("hora_num"), F.col("_med_hora_num__0"))).drop("_med_hora_num__0")
     else:
         df = df.withColumn("hora_num", F.coalesce(F.col("hora_num"), F.lit(float(fill))))

@@ -14,6 +14,7 @@ from waitcast.operators import encode as E
 from waitcast.operators import joins as J
 from waitcast.operators import model as MD
 from waitcast.plans.features import calendar_features
+from waitcast.operators.scalars import with_scalars
 
 NON_FEATURES = {"tiempo_espera", "row_id", "clase_min", "request_id", "is_train"}
 WEATHER = ["temperatura", "humedad", "codigo_clima"]
@@ -25,7 +26,7 @@ def build_features(df: DataFrame, train: DataFrame, featured: str = "Batman") ->
     weather columns), with every data-dependent piece fitted on ``train``."""
     from waitcast.operators.history import column_percentiles
     med = column_percentiles(train, WEATHER, [0.5], prefix="_m_")        # one row
-    d = df.crossJoin(F.broadcast(med)).withColumns(
+    d = with_scalars(df, med).withColumns(
         {c: F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}__0")) for c in WEATHER}).drop(*[f"_m_{c}__0" for c in WEATHER])
     if "sensacion_termica" not in d.columns:
         d = d.withColumn("sensacion_termica", F.lit(0.0))
