@@ -58,6 +58,12 @@ def lenient_timestamp(col) -> Column:
     return F.try_to_timestamp(_c(col).cast("string"))
 
 
+def utc_wall_clock(ts_ltz, session_tz: str) -> Column:
+    """an instant (e.g. parsed from text with an offset) as its UTC wall-clock time
+    (TIMESTAMP_NTZ), whatever the session time zone: the zone-strip of the reference."""
+    return F.convert_timezone(F.lit(session_tz), F.lit("UTC"), _c(ts_ltz).cast("timestamp_ntz"))
+
+
 def date_parts(fecha) -> dict[str, Column]:
     """month, day, weekday (Mon=0), ISO week, quarter, year."""
     d = _c(fecha)

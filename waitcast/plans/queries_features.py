@@ -106,7 +106,7 @@ select row_id, cast(try_cast(ua as timestamp) as date) fecha_utc, strftime(try_c
 def f6(spark, sf):
     r = tb.readings_events(spark, sf)
     ua = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
-    ts = cal.lenient_timestamp(ua)
+    ts = cal.utc_wall_clock(cal.lenient_timestamp(ua), spark.conf.get("spark.sql.session.timeZone"))
     return r.select("row_id", F.to_date(ts).alias("fecha_utc"), F.date_format(ts, "HH:mm").alias("hhmm"),
                     cal.lenient_timestamp(F.concat_ws(" ", F.col("fecha").cast("string"), F.col("hora")))
                     .cast("timestamp_ntz").alias("ts_compuesto"))
