@@ -163,3 +163,16 @@ def s11(spark, sf):
     a = model.transform(fte).select("row_id", F.col("pred_base").alias("pred_mem"))
     b = loaded.transform(fte).select("row_id", F.col("pred_base").alias("pred_loaded"))
     return rounded(a.join(b, "row_id").withColumn("same", F.col("pred_mem") == F.col("pred_loaded")))
+
+
+@query("m23_train_save_score")
+def m23_artifacts(spark, sf):
+    """Training job -> artifacts (histories, training rows, column list, pipeline) -> a
+    separate serving job that loads them and scores every orders row; returns the result
+    record (the training metrics are computed on the held-out rows)."""
+    from waitcast.sources import files as FS
+    root = FS.staging_dir(spark, "artifacts")
+    TR.run_training(spark, tb.readings_orders(spark, sf), root, FEATURED, key=f"orders:{sf}").collect()
+    req = tb.readings_orders(spark, sf).drop("tiempo_espera")
+    out = S.score_from_artifacts(spark, req, root, FEATURED)
+    return rounded(B.result_record(out, keep=["row_id"], featured=FEATURED))

@@ -86,3 +86,28 @@ def score(requests: DataFrame, train: DataFrame, predict: Callable[[DataFrame],
     c = CA.cascade(predict(req), hist, pair_check=pair_check)
     b = B.history_base(c)
     return B.calendar_ladder(b, variant=variant, featured=featured)
+
+
+def score_from_artifacts(spark, requests: DataFrame, root: str, featured: str = "Batman",
+                         variant: str = "predict") -> DataFrame:
+    """Serving path re-aimed to tables (M23 with S12/S11): load the artifacts written by
+    :func:`waitcast.plans.training.run_training`, build the request features against the
+    saved training rows, align them to the saved column list (M22), predict with the saved
+    pipeline, then cascade, blend and ladder. Only the column list (one row per feature)
+    is read on the driver."""
+    from waitcast.operators import model as MD
+    from waitcast.plans import training as TR
+    from waitcast.sources import files as FS
+    from waitcast.sources.tables import ensure_parallelism
+
+    tr = spark.read.parquet(f"{root}/train_rows")
+    hist = spark.read.parquet(f"{root}/histories")
+    cols = [r["feature"] for r in spark.read.parquet(f"{root}/columns").orderBy("pos").collect()]
+    model = FS.load_pipeline(f"{root}/pipeline")
+    req = prepare_requests(ensure_parallelism(requests))
+    feats = TR.build_features(req, tr, featured)
+    g = H.global_stats(tr).select("mean", "median", "std", "p75", "p90", "p95")
+    feats = MD.align_columns(feats, cols, g)
+    scored = model.transform(feats).drop("features_raw", "features")
+    c = CA.cascade(scored, hist)
+    return B.calendar_ladder(B.history_base(c), variant=variant, featured=featured)

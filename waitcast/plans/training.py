@@ -56,3 +56,30 @@ def fitted_gbt(spark: SparkSession, key: str, train_features: DataFrame, cols: l
         tr = train_features.where(F.col("tiempo_espera").isNotNull())
         _MODELS[k] = MD.fit_pipeline(spark, tr, cols, MD.gbt(config))
     return _MODELS[k]
+
+
+def run_training(spark: SparkSession, readings: DataFrame, root: str, featured: str = "Batman",
+                 config: str = "spark_100_005_8", key: str | None = None) -> DataFrame:
+    """End-to-end training job (the reference's training script as one Spark plan).
+
+    Hash split (M1) -> training rows (median hour fill) / held-out rows -> features fitted
+    on the train rows -> M8+M9+GBT pipeline -> artifacts under ``root`` (S10/S11):
+    ``histories`` (one-pass A7 table), ``train_rows`` (the processed training table the
+    encodings and fills are fitted on), ``columns`` (M22 column list with positions) and
+    ``pipeline``. Returns the held-out regression metrics (M14/M15) as a one-row frame.
+    """
+    from waitcast.operators import history as H
+    from waitcast.operators.metrics import regression_metrics
+    from waitcast.plans import scoring as S
+    from waitcast.sources import files as FS
+
+    raw_tr, raw_te = E.hash_split(readings, "row_id")
+    tr, te = S.prepare_training(raw_tr), S.prepare_requests(raw_te)
+    ftr, fte = build_features(tr, tr, featured), build_features(te, tr, featured)
+    cols = feature_columns(ftr)
+    model = fitted_gbt(spark, key or root, ftr, cols, config)
+    colframe = spark.createDataFrame(list(enumerate(cols)), "pos int, feature string")
+    FS.save_artifacts({"histories": H.all_histories(tr), "train_rows": tr, "columns": colframe}, root)
+    FS.save_pipeline(model, f"{root}/pipeline")
+    pred = model.transform(fte).select(F.col("tiempo_espera").alias("y"), F.col("pred_base").alias("pred"))
+    return regression_metrics(pred)
