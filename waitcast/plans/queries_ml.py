@@ -22,7 +22,7 @@ FEATURED = "1-URGENT"
 def _split(spark, sf):
     """Train rows prepared as training data (median hour fill), test rows as requests."""
     raw_tr, raw_te = E.hash_split(tb.readings_orders(spark, sf), "row_id")
-    return S.prepare_training(raw_tr), S.prepare_requests(raw_te)
+    return S.prepare_training(raw_tr).checkpoint(eager=True), S.prepare_requests(raw_te)
 
 
 def _features(spark, sf):

@@ -74,7 +74,9 @@ def run_training(spark: SparkSession, readings: DataFrame, root: str, featured:
     from waitcast.sources import files as FS
 
     raw_tr, raw_te = E.hash_split(readings, "row_id")
-    tr, te = S.prepare_training(raw_tr), S.prepare_requests(raw_te)
+    # the training rows feed ~8 materialisations (histories, encodings, fills, features):
+    # checkpoint them once instead of re-deriving them from the source each time
+    tr, te = S.prepare_training(raw_tr).checkpoint(eager=True), S.prepare_requests(raw_te)
     ftr, fte = build_features(tr, tr, featured), build_features(te, tr, featured)
     cols = feature_columns(ftr)
     model = fitted_gbt(spark, key or root, ftr, cols, config)
