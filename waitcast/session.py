@@ -38,14 +38,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    return sc.getConf().get("spark.checkpoint.dir", None)
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the shared folder named in ``spark.checkpoint.dir``; invent one only when unset (tests)."""
     sc = spark.sparkContext
