@@ -62,6 +62,21 @@ def p6(spark, sf):
     return rounded(C.quantile_trim(_ev(spark, sf), lo=0.01, hi=0.99).select("row_id", "tiempo_espera"))
 
 
+def _trim_query(lo: float, hi: float, name: str):
+    @query(name, f"""
+with r as (select * from @RE),
+b as (select quantile_cont(tiempo_espera, {lo}) lo, quantile_cont(tiempo_espera, {hi}) hi from r)
+select row_id, round(tiempo_espera, 6) tiempo_espera from r, b where tiempo_espera >= lo and tiempo_espera <= hi""")
+    def q(spark, sf):
+        return rounded(C.quantile_trim(_ev(spark, sf), lo=lo, hi=hi).select("row_id", "tiempo_espera"))
+    q.__doc__ = f"P6: keep events readings with the wait inside its [{lo}, {hi}] quantiles (inclusive)."
+    return q
+
+
+for _lo, _hi, _n in [(0.005, 0.995, "p6_quantile_trim_005_995"), (0.02, 0.995, "p6_quantile_trim_02_995")]:
+    _trim_query(_lo, _hi, _n)
+
+
 @query("p7_iqr_outliers", """
 with r as (select * from @RE),
 q as (select quantile_cont(tiempo_espera, 0.25) q1, quantile_cont(tiempo_espera, 0.75) q3 from r)
