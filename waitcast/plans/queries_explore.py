@@ -269,6 +269,30 @@ def m2(spark, sf):
     return E.stratified_split(o, "row_id", ["temporada", "mes"]).select("row_id", "is_train")
 
 
+def _strat_query(name: str, strata_sql: str, strata_cols, doc: str):
+    @query(name, f"""
+with r as (select row_id, {strata_sql}, ((row_id % 2147483648) * 2654435761) % 4294967296 u from @RO)
+select row_id, row_number() over (partition by {', '.join(c for c in strata_cols)} order by u, row_id)
+       <= ceil(0.8 * count(*) over (partition by {', '.join(strata_cols)})) is_train from r""")
+    def q(spark, sf):
+        o = tb.readings_orders(spark, sf)
+        cols = {"atraccion": F.col("atraccion"), "mes": F.month("fecha"),
+                "clase": wait_class_rule("tiempo_espera"), "temporada": cal.season(F.month("fecha"))}
+        o = o.select("row_id", *[cols[c].alias(c) for c in strata_cols])
+        return E.stratified_split(o, "row_id", list(strata_cols)).select("row_id", "is_train")
+    q.__doc__ = doc
+    return q
+
+
+_CLASS_SQL = ("case when tiempo_espera between 5 and 15 then 'Corto' when tiempo_espera > 15 and tiempo_espera <= 45 "
+              "then 'Medio' when tiempo_espera is not null then 'Largo' end clase")
+_strat_query("m2_stratified_split_ride_month", "atraccion, month(fecha) mes", ["atraccion", "mes"],
+             "M2: exact 80/20 per (ride, month) stratum.")
+_strat_query("m2_stratified_split_class", _CLASS_SQL, ["clase"], "M2: exact 80/20 per wait class.")
+_strat_query("m2_stratified_split_season", f"{season_sql('a', 'month(fecha)')} temporada", ["temporada"],
+             "M2: exact 80/20 per season.")
+
+
 _TE_SQL = f"""with o as (select * from @RO), tr as (select * from o where {SPLIT_SQL} and tiempo_espera is not null),
 te as (select * from o where not {SPLIT_SQL}), g as (select avg(tiempo_espera) g from tr)"""
 
