@@ -322,12 +322,16 @@ def f24(spark, sf):
 
 
 @query("f25_prediction_range", f"""
-select row_id, greatest(5, {PR('tiempo_espera - 6.1')}) rango_min, {PR('tiempo_espera + 6.1')} rango_max
+select row_id, greatest(5, {PR('tiempo_espera - 6.1')}) rango_min, {PR('tiempo_espera + 6.1')} rango_max,
+       greatest(0, {PR('tiempo_espera - 20 - 6.1')}) rango_min_0, {PR('tiempo_espera - 20 + 6.1')} rango_max_0
 from @RE""")
 def f25(spark, sf):
+    """prediction range +-MAE with the two floors of the reference (5 and 0)."""
     r = tb.readings_events(spark, sf)
-    return rounded(r.select("row_id", *[c.alias(n) for n, c in
-                                        L.prediction_range("tiempo_espera", F.lit(6.1)).items()]))
+    a = L.prediction_range("tiempo_espera", F.lit(6.1))
+    b = L.prediction_range(F.col("tiempo_espera") - 20, F.lit(6.1), floor=0.0)
+    return rounded(r.select("row_id", a["rango_min"].alias("rango_min"), a["rango_max"].alias("rango_max"),
+                            b["rango_min"].alias("rango_min_0"), b["rango_max"].alias("rango_max_0")))
 
 
 @query("f26_request_defaults", f"""
