@@ -192,3 +192,13 @@ def test_scoring_matches_brute_force(spark, frames, variant, pair_check):
     if variant == "predict" and not pair_check:
         assert {"mes_hora_dia", "hora_dia", "mes_hora", "hora", "mes_dia", "dia", "mes", "global",
                 "mes_dia_fallback"} <= seen
+
+
+def test_training_hours_take_median_requests_take_noon(spark):
+    rows = [("R", dt.date(2025, 1, 6), h, 10.0) for h in ["10:00", None, "n/d", "14:30", "16:00"]]
+    df = spark.createDataFrame(rows, "atraccion string, fecha date, hora string, tiempo_espera double")
+    tr = S.prepare_training(df).collect()
+    assert sorted(r.hora_num for r in tr) == [10.0, 14.5, 14.5, 14.5, 16.0]      # median of 10, 14.5, 16
+    rq = S.prepare_requests(df.drop("tiempo_espera")).collect()
+    assert sorted(r.hora_num for r in rq) == [10.0, 12.0, 12.0, 14.5, 16.0]
+    assert {r.hora_int for r in tr} == {10, 14, 16}
