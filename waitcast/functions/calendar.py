@@ -38,6 +38,8 @@ SEASONS = {
 # Hour bands: serving definition (also the Spark script's) and the pandas training variant.
 BANDS_SERVE = {"apertura": (10, 10), "pico": (11, 16), "valle_manana_lt": 10, "valle_tarde_gt": 18}
 BANDS_TRAIN = {"apertura": (12, 12), "pico": (12, 16), "valle_manana_lt": 14, "valle_tarde_gt": 18}
+# Name pattern of the featured ride that gets the October rules (substring match).
+FEATURED_RIDE = "Batman"
 # Notebook hour bands (inclusive ranges on the hour).
 NOTEBOOK_BANDS = {"hora_pico_manana": (11, 14), "hora_pico_tarde": (15, 18),
                   "hora_almuerzo": (13, 15), "hora_noche": (19, 22)}
@@ -194,7 +196,7 @@ def bridge_interactions(apertura, pico, puente, finde) -> dict[str, Column]:
     }
 
 
-def ride_month_flags(atraccion, mes, finde, featured: str = "Batman") -> dict[str, Column]:
+def ride_month_flags(atraccion, mes, finde, featured: str = FEATURED_RIDE) -> dict[str, Column]:
     """featured-ride-in-October and month flags (the ride pattern is a parameter)."""
     a, m, w = _c(atraccion), _c(mes), _c(finde)
     hit = F.coalesce(a.contains(featured), F.lit(False))

@@ -83,7 +83,7 @@ def history_base(df: DataFrame) -> DataFrame:
     return d.withColumn("pred_combinada", F.col("pred_base") * F.col("w_model") + F.col("hist_base") * F.col("w_hist"))
 
 
-def calendar_ladder(df: DataFrame, variant: str = "predict", featured: str = "Batman",
+def calendar_ladder(df: DataFrame, variant: str = "predict", featured: str = cal.FEATURED_RIDE,
                     global_median: Column | None = None) -> DataFrame:
     """B4 (``predict``), B5 (``train``: milder featured rule) and the serverless ladder
     (``lambda``: opening / peak / valley / weekend / workday only, clamp [1,180] with rescue).
@@ -145,7 +145,7 @@ def calendar_ladder(df: DataFrame, variant: str = "predict", featured: str = "Ba
     return d.drop("_dow", "_mes", "_finde", "_puente", "_feat")
 
 
-def simple_adjust(df: DataFrame, featured: str = "Batman") -> DataFrame:
+def simple_adjust(df: DataFrame, featured: str = cal.FEATURED_RIDE) -> DataFrame:
     """Featured ride in October -> max(pred, 0.8 * p90_mes); elif p90_mes > 1.5 * pred
     -> mean of the two; else the model. Clamp [5, 180]. ``p90_mes`` may be NULL."""
     pred, p90 = F.col("pred_base"), F.col("p90_mes")
@@ -165,7 +165,7 @@ RESULT_COLUMNS = ["minutos_predichos", "prediccion_base", "p75_historico", "medi
                   "count_historico"]
 
 
-def result_record(df: DataFrame, keep: list[str] | None = None, featured: str = "Batman") -> DataFrame:
+def result_record(df: DataFrame, keep: list[str] | None = None, featured: str = cal.FEATURED_RIDE) -> DataFrame:
     """The 18-column result record (values rounded like the reference)."""
     d = df.withColumns(_band_cols(F.col("hora_eff")))
     return d.select(

@@ -15,7 +15,7 @@ from waitcast.functions.hours import hour_int as _hour_int
 
 
 def calendar_features(df: DataFrame, fecha: str = "fecha", hora: str = "hora_num",
-                      bands: str = "serve", featured: str = "Batman") -> DataFrame:
+                      bands: str = "serve", featured: str = cal.FEATURED_RIDE) -> DataFrame:
     """Add F4, F7-F15, F17 features. ``hora`` must be a numeric (fractional) hour column."""
     parts = cal.date_parts(fecha)
     layer1 = dict(parts)

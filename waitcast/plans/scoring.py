@@ -75,7 +75,7 @@ def materialized_histories(train: DataFrame) -> DataFrame:
 
 
 def score(requests: DataFrame, train: DataFrame, predict: Callable[[DataFrame], DataFrame] | None = None,
-          variant: str = "predict", featured: str = "Batman", pair_check: bool = False,
+          variant: str = "predict", featured: str = cal.FEATURED_RIDE, pair_check: bool = False,
           hist: DataFrame | None = None) -> DataFrame:
     """Score every request. ``train`` must hold prepared rows (see :func:`prepare_training`);
     ``hist`` is a materialised history table (artifact); computed and checkpointed when absent."""
@@ -88,7 +88,7 @@ def score(requests: DataFrame, train: DataFrame, predict: Callable[[DataFrame],
     return B.calendar_ladder(b, variant=variant, featured=featured)
 
 
-def score_from_artifacts(spark, requests: DataFrame, root: str, featured: str = "Batman",
+def score_from_artifacts(spark, requests: DataFrame, root: str, featured: str = cal.FEATURED_RIDE,
                          variant: str = "predict") -> DataFrame:
     """Serving path re-aimed to tables (M23 with S12/S11): load the artifacts written by
     :func:`waitcast.plans.training.run_training`, build the request features against the

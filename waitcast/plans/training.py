@@ -15,13 +15,14 @@ from waitcast.operators import joins as J
 from waitcast.operators import model as MD
 from waitcast.plans.features import calendar_features
 from waitcast.operators.scalars import with_scalars
+from waitcast.functions.calendar import FEATURED_RIDE
 
 NON_FEATURES = {"tiempo_espera", "row_id", "clase_min", "request_id", "is_train"}
 WEATHER = ["temperatura", "humedad", "codigo_clima"]
 _NUM = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 
 
-def build_features(df: DataFrame, train: DataFrame, featured: str = "Batman") -> DataFrame:
+def build_features(df: DataFrame, train: DataFrame, featured: str = FEATURED_RIDE) -> DataFrame:
     """All model features for ``df`` (prepared rows with fecha, hora_num, atraccion, zona,
     weather columns), with every data-dependent piece fitted on ``train``."""
     from waitcast.operators.history import column_percentiles
@@ -58,7 +59,7 @@ def fitted_gbt(spark: SparkSession, key: str, train_features: DataFrame, cols: l
     return _MODELS[k]
 
 
-def run_training(spark: SparkSession, readings: DataFrame, root: str, featured: str = "Batman",
+def run_training(spark: SparkSession, readings: DataFrame, root: str, featured: str = FEATURED_RIDE,
                  config: str = "spark_100_005_8", key: str | None = None) -> DataFrame:
     """End-to-end training job (the reference's training script as one Spark plan).
 
