@@ -202,3 +202,11 @@ def test_training_hours_take_median_requests_take_noon(spark):
     rq = S.prepare_requests(df.drop("tiempo_espera")).collect()
     assert sorted(r.hora_num for r in rq) == [10.0, 12.0, 12.0, 14.5, 16.0]
     assert {r.hora_int for r in tr} == {10, 14, 16}
+
+
+def test_features_for_requests_without_weather(spark, frames):
+    from waitcast.plans import training as TR
+    _, train, _, req = frames
+    feats = TR.build_features(S.prepare_requests(req), train, FEAT)
+    r = feats.select("temperatura", "humedad", "codigo_clima", "count_mes", "zona_enc").limit(1).collect()
+    assert r and r[0].count_mes is not None

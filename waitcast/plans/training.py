@@ -25,18 +25,34 @@ _NUM = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.Doubl
 def build_features(df: DataFrame, train: DataFrame, featured: str = FEATURED_RIDE) -> DataFrame:
     """All model features for ``df`` (prepared rows with fecha, hora_num, atraccion, zona,
     weather columns), with every data-dependent piece fitted on ``train``."""
+    from waitcast.functions.fill import REQUEST_DEFAULTS
     from waitcast.operators.history import column_percentiles
-    med = column_percentiles(train, WEATHER, [0.5], prefix="_m_")        # one row
-    d = with_scalars(df, med).withColumns(
-        {c: F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}__0")) for c in WEATHER}).drop(*[f"_m_{c}__0" for c in WEATHER])
+    # requests may come without weather: absent columns are NULL and take the training median;
+    # a weather column absent from the training rows takes the reference's fixed default
+    df = df.withColumns({c: F.lit(None).cast("double") for c in WEATHER if c not in df.columns})
+    in_train = [c for c in WEATHER if c in train.columns]
+    d = df
+    if in_train:
+        med = column_percentiles(train, in_train, [0.5], prefix="_m_")    # one row
+        d = with_scalars(d, med)
+    fills = {c: F.coalesce(F.col(c).cast("double"),
+                           F.col(f"_m_{c}__0") if c in in_train else F.lit(float(REQUEST_DEFAULTS[c])))
+             for c in WEATHER}
+    d = d.withColumns(fills).drop(*[f"_m_{c}__0" for c in in_train])
     if "sensacion_termica" not in d.columns:
         d = d.withColumn("sensacion_termica", F.lit(0.0))
     d = calendar_features(d, hora="hora_num", featured=featured)
     tr = calendar_features(train, hora="hora_num", featured=featured)
     d = J.fill_by_family(J.attach_histories(d, tr), tr)
     for col in ("zona", "atraccion"):
-        d = E.target_mean_encoding(d, train, col, smoothing=E.SMOOTHING)
-        d = J.frequency_lookup(d, train.where(F.col("tiempo_espera").isNotNull()), col)
+        if col not in d.columns:
+            d = d.withColumn(col, F.lit(None).cast("string"))
+        if col in train.columns:
+            d = E.target_mean_encoding(d, train, col, smoothing=E.SMOOTHING)
+            d = J.frequency_lookup(d, train.where(F.col("tiempo_espera").isNotNull()), col)
+        else:                      # no training column: global mean encoding, zero frequency
+            g = train.agg(F.avg("tiempo_espera").alias(f"{col}_enc"))
+            d = with_scalars(d, g).withColumn(f"{col}_freq", F.lit(0))
     return d
 
 
