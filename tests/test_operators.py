@@ -271,3 +271,20 @@ def test_hot_ride_holding_a_third_of_rows(spark):
     split = E.stratified_split(df, "row_id", ["atraccion"], 0.8, buckets=64).toPandas()
     for _, g in split.groupby("atraccion"):
         assert g.is_train.sum() == int(np.ceil(0.8 * len(g)))
+
+
+def test_one_pass_approx_close_to_exact(spark):
+    """The approximate form returns actual elements (inverted-CDF quantiles), counts and
+    means are exact."""
+    df = _readings(spark, n=800)
+    ex = {(r.grain, r.atraccion, r.mes, r.hora_int, r.dia_semana_num): r for r in H.all_histories(df).collect()}
+    ap = {(r.grain, r.atraccion, r.mes, r.hora_int, r.dia_semana_num): r for r in
+          H.all_histories(df, exact=False).collect()}
+    assert ex.keys() == ap.keys()
+    for k, r in ex.items():
+        assert ap[k].n == r.n and ap[k].mean == pytest.approx(r.mean)
+    pdf = df.toPandas()
+    for ride, g in pdf.groupby("atraccion"):
+        a = ap[("atraccion", ride, None, None, None)]
+        for col, q in [("p25", 25), ("p50", 50), ("p90", 90)]:
+            assert a[col] == np.percentile(g.tiempo_espera, q, method="inverted_cdf"), (ride, col)

@@ -158,7 +158,8 @@ def global_stats(df: DataFrame, value: str = WAIT) -> DataFrame:
         .withColumnRenamed("count", "n").withColumnRenamed("median", "median")
 
 
-def all_histories(df: DataFrame, grains: list[str] | None = None, value: str = WAIT) -> DataFrame:
+def all_histories(df: DataFrame, grains: list[str] | None = None, value: str = WAIT,
+                  exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """Every cascade grain in one pass.
 
     1. pre-count ``(ride, month, hour, weekday, wait) -> n`` (map-side combined);
@@ -173,6 +174,8 @@ def all_histories(df: DataFrame, grains: list[str] | None = None, value: str = W
     from ``grouping()``, so a NULL key in the data is never mistaken for a rolled-up key.
     """
     grains = grains or list(CASCADE_GRAINS)
+    if not exact:
+        return _all_histories_approx(df, grains, value, accuracy)
     pre = precount(df, KEYS, value)
     sets = [[F.col(k) for k in CASCADE_GRAINS[g]] + [F.col(value)] for g in grains]
     mid = (pre.groupingSets(sets, *KEYS, value)
@@ -191,6 +194,32 @@ def all_histories(df: DataFrame, grains: list[str] | None = None, value: str = W
                       F.col("median").alias("p50"), "p75", "p90", "p95")
 
 
+def _grain_tag(grains: list[str]) -> Column:
+    tag = None
+    for g in grains:
+        ks = set(CASCADE_GRAINS[g])
+        cond = F.lit(True)
+        for k in KEYS:
+            cond = cond & (F.col(f"_g_{k}") == (0 if k in ks else 1))
+        tag = F.when(cond, F.lit(g)) if tag is None else tag.when(cond, F.lit(g))
+    return tag
+
+
+def _all_histories_approx(df: DataFrame, grains: list[str], value: str, accuracy: int) -> DataFrame:
+    """A7 with ``percentile_approx`` (T3 option for continuous values): GROUPING SETS over the
+    raw rows; every aggregate has bounded, mergeable state, so no group's distinct values are
+    ever held. Same output columns as the exact form."""
+    v = F.col(value)
+    probs = F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75, 0.9, 0.95)])
+    sets = [[F.col(k) for k in CASCADE_GRAINS[g]] for g in grains]
+    agg = (df.where(v.isNotNull()).groupingSets(sets, *KEYS)
+           .agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+                F.percentile_approx(v, probs, F.lit(accuracy)).alias("_p"),
+                *[F.grouping(k).alias(f"_g_{k}") for k in KEYS]))
+    return agg.select(_grain_tag(grains).alias("grain"), *KEYS, "n", "mean", "std",
+                      *[F.col("_p")[i].cast("double").alias(n) for i, n in enumerate(["p25", "p50", "p75", "p90", "p95"])])
+
+
 def grain_slice(hist: DataFrame, grain: str) -> DataFrame:
     """Rows of one grain from :func:`all_histories`, keyed by that grain's columns only."""
     keys = CASCADE_GRAINS[grain]
