@@ -210,3 +210,20 @@ def test_features_for_requests_without_weather(spark, frames):
     feats = TR.build_features(S.prepare_requests(req), train, FEAT)
     r = feats.select("temperatura", "humedad", "codigo_clima", "count_mes", "zona_enc").limit(1).collect()
     assert r and r[0].count_mes is not None
+
+
+def test_training_artifacts_then_serving(spark, frames):
+    """run_training writes histories / training rows / column list / pipeline; a separate
+    serving call scores requests from those artifacts alone."""
+    from waitcast.plans import training as TR
+    from waitcast.sources import files as FS
+    raw = spark.createDataFrame([(i, a, d, h, w) for i, (a, d, h, w) in enumerate(TRAIN)],
+                                "row_id long, atraccion string, fecha date, hora string, tiempo_espera double")
+    root = FS.staging_dir(spark, "t-art")
+    m = TR.run_training(spark, raw, root, FEAT).collect()[0]
+    assert m.n >= 1 and m.rmse is not None
+    _, _, reqs, req = frames
+    out = S.score_from_artifacts(spark, req, root, FEAT).select("request_id", "minutos_predichos",
+                                                               "especificidad").collect()
+    assert len(out) == len(reqs)
+    assert all(5.0 <= r.minutos_predichos <= 180.0 for r in out)
