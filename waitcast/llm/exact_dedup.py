@@ -53,7 +53,7 @@ class DigestIndex:
         """
         batch = docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest().alias("digest"))
         batch = batch.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        known = self.spark.table(self.table).select("digest").alias("known")
+        known = self.spark.table(self.table).select(F.col("digest").alias("known"))
         held = F.col("digest") == F.col("known")
         fresh = batch.join(known.hint("merge"), held, "left_anti").withColumn("fresh", F.lit(True))
         again = batch.join(known.hint("merge"), held, "left_semi").withColumn("fresh", F.lit(False))

@@ -52,7 +52,7 @@ FROM d WINDOW g AS (PARTITION BY t)
 ORACLES["op10_line_dedup"] = r"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at FROM documents),
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place FROM documents),
 k AS (
   SELECT *, translate(trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '),
                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
@@ -60,6 +60,6 @@ f AS (
   SELECT key, max(doc_id) AS last_doc FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
 j AS (SELECT k.*, f.key IS NOT NULL AND k.doc_id <> f.last_doc AS gone FROM k LEFT JOIN f ON k.key = f.key)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '')) AS kept_sha256
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM j GROUP BY doc_id
 """
