@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitcast.llm import exact_dedup, line_dedup, mixing
+from waitcast.llm import exact_dedup, line_dedup, mixing, quality
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +35,13 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.lookup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with its measures, the base rules and the verdict of the weakly supervised rules."""
+    scored = quality.score(documents(spark, sf_dir).select("doc_id", "text"), keep_text=False)
+    return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
+
+
 @query
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with its lines counted, dropped, and the kept text's digest."""
