@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitcast.llm import exact_dedup, line_dedup, mixing, quality
+from waitcast.llm import exact_dedup, line_dedup, mixing, near_dedup, quality
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -42,6 +42,13 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
 
 
+@query
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with its near-duplicate component over two-word shingles at a similarity of 0.8."""
+    found = near_dedup.near_duplicates(documents(spark, sf_dir), near_dedup.Params(shingle=2))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with its lines counted, dropped, and the kept text's digest."""
