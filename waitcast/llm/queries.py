@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitcast.llm import exact_dedup, line_dedup, mixing, near_dedup, quality
+from waitcast.llm import exact_dedup, line_dedup, mixing, near_dedup, quality, substring_dedup
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +35,13 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.lookup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document without the words that repeated windows of 35 words cover."""
+    kept = substring_dedup.dedup_substrings(documents(spark, sf_dir).select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with its measures, the base rules and the verdict of the weakly supervised rules."""
