@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitcast.llm import exact_dedup, line_dedup, mixing, near_dedup, quality, substring_dedup
+from waitcast.llm import exact_dedup, licenses, line_dedup, mixing, near_dedup, quality, substring_dedup
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,12 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with its license statements."""
+    return licenses.scan(documents(spark, sf_dir)).drop("spans")
+
+
 @query
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with the largest doc_id that has its text."""
