@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitcast.llm import exact_dedup, licenses, line_dedup, mixing, near_dedup, quality, substring_dedup
+from waitcast.llm import bpe, exact_dedup, licenses, line_dedup, mixing, near_dedup, quality, substring_dedup
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +27,15 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document encoded by the ranks of a public vocabulary, and decoded again."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    decoded = bpe.decode(bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN), ranks)
+    return decoded.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with its license statements."""
