@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitcast.llm import bpe, exact_dedup, licenses, line_dedup, mixing, near_dedup, quality, substring_dedup
+from waitcast.llm import bpe, exact_dedup, licenses, line_dedup, mixing, near_dedup, quality, substring_dedup, token_files
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -65,6 +65,14 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
 
 
+@query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document as read back from bit-packed token files of the whole table."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        files = token_files.write(documents(spark, sf_dir), f.read())
+    return files.read().select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with its near-duplicate component over two-word shingles at a similarity of 0.8."""
