@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitcast.llm import bpe, exact_dedup, licenses, line_dedup, mixing, near_dedup, quality, substring_dedup, token_files
+from waitcast.llm import bpe, exact_dedup, licenses, line_dedup, lm_scoring, mixing, near_dedup, quality, substring_dedup, token_files
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -80,6 +81,13 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's cross-entropy difference between documents labelled good and all documents."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return lm_scoring.score(documents(spark, sf_dir), labels.where("quality = 1"))
+
+
 @query
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with its lines counted, dropped, and the kept text's digest."""
@@ -88,6 +96,15 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the training-data pipeline over the whole table."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 ORACLES["op4_exact_dedup"] = """
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
