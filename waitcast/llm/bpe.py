@@ -92,8 +92,8 @@ def unpack(data: bytes) -> np.ndarray:
 class Batch:
     """Documents cut into chunks, by number."""
 
-    def __init__(self) -> None:
-        self.numbers, self.ids, self.documents, self.n = Numbered(), [], [], 0
+    def __init__(self, most_chunks: int) -> None:
+        self.numbers, self.ids, self.documents, self.n, self.most_chunks = Numbered(), [], [], 0, most_chunks
 
     def add(self, doc_id: int | None, text: str) -> None:
         first, *rest = chunks(text)
@@ -104,7 +104,7 @@ class Batch:
 
     @property
     def full(self) -> bool:
-        return len(self.numbers) >= BATCH_CHUNKS or self.n >= BATCH_WORDS
+        return len(self.numbers) >= self.most_chunks or self.n >= BATCH_WORDS
 
     def rows(self, name: int, pattern: str) -> Iterator[pa.RecordBatch]:
         find, words = regex.compile(pattern).findall, Numbered()
@@ -127,7 +127,7 @@ class Batch:
                 names=["batch", "ids", "sizes", "positions", "words"])
 
 
-def split(docs: DataFrame, pattern: str) -> DataFrame:
+def split(docs: DataFrame, pattern: str, batch_chunks: int = BATCH_CHUNKS) -> DataFrame:
     """Positions of the pre-tokens of ``docs`` (doc_id, text), batch by batch, as a table bucketed by batch.
 
     batch; ids, sizes: doc_id and number of pre-tokens of some documents; positions: the numbers of their
@@ -137,13 +137,13 @@ def split(docs: DataFrame, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = TaskContext.get().partitionId() << 32
-        batch = Batch()
+        batch = Batch(batch_chunks)
         for b in batches:
             for doc_id, text in zip(b.column(0), b.column(1), strict=True):
                 batch.add(doc_id.as_py(), text.as_py() or "")
                 if batch.full:
                     yield from batch.rows(name, pattern)
-                    name, batch = name + 1, Batch()
+                    name, batch = name + 1, Batch(batch_chunks)
         if batch.ids:
             yield from batch.rows(name, pattern)
 
@@ -214,14 +214,14 @@ def _reassemble(positions: pa.Table, words: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.array(names, pa.int64()), "ids": pa.array(out, pa.binary())})
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, batch_chunks: int = BATCH_CHUNKS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id and ids.
 
     ids: little-endian unsigned 32-bit integers, as the tiktoken library gives them for the whole text with
     these ranks and pattern and no special tokens. A null text is empty and has no ids. The pattern must let
     a space go with what follows it and leave the last one of several to it, as patterns of byte-level BPE do.
     """
-    rows = split(docs, pattern)
+    rows = split(docs, pattern, batch_chunks)
     found = encode_words(rows, ranks, pattern)
     both = rows.select("batch", "ids", "sizes", "positions").groupBy("batch").cogroup(found.groupBy("batch"))
     return both.applyInArrow(_reassemble, "doc_id long, ids binary")

@@ -70,8 +70,8 @@ class DigestIndex:
         """
         clash = [c for c in ("keep_id", "group_size", "kept", "text_sha256") if c in docs.columns]
         rows = docs.drop(*clash).withColumn("text_sha256", digest())
-        groups = self.groups()
-        out = rows.join(groups, F.col("text_sha256") == F.col("digest"), "left").drop("digest")
+        groups = materialise(self.groups(), "digest-groups").withColumnRenamed("digest", "_llm_digest")  # else a large group is one task's
+        out = rows.join(groups, F.col("text_sha256") == F.col("_llm_digest"), "left").drop("_llm_digest")
         return out.withColumn("kept", F.col("doc_id").cast("long").eqNullSafe(F.col("keep_id")))
 
     def close(self) -> None:
@@ -86,7 +86,7 @@ def dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     only texts new to it stay.
     """
     index = index or DigestIndex(docs.sparkSession)
-    fresh = index.add(docs).select(F.col("digest").alias("d_digest"), "keep_id")
-    rows = docs.withColumn("d_text", digest())
-    kept = rows.join(fresh, (F.col("d_text") == F.col("d_digest")) & F.col("doc_id").cast("long").eqNullSafe(F.col("keep_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "d_text"]).select(*docs.columns)
+    fresh = index.add(docs).select(F.col("digest").alias("_llm_digest"), F.col("keep_id").alias("_llm_keep"))
+    rows = docs.withColumn("_llm_text", digest())
+    stays = (F.col("_llm_text") == F.col("_llm_digest")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_llm_keep"))
+    return rows.join(fresh, stays, "left_semi").dropDuplicates(["doc_id", "_llm_text"]).drop("_llm_text")

@@ -101,27 +101,27 @@ class LineRuns:
         names = rows.columns
         text = text_or_empty()
         # rows are told apart by id and text; rows alike in both fare alike
-        alike = [F.col("doc_id").cast("long").alias("r_id"), F.xxhash64(text).alias("r_1"), F.xxhash64(F.lit(1), text).alias("r_2")]
+        alike = [F.col("doc_id").cast("long").alias("_llm_r_id"), F.xxhash64(text).alias("_llm_r_1"), F.xxhash64(F.lit(1), text).alias("_llm_r_2")]
         lines = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("at"), line_key(x).alias("key")))
         long_lines = F.filter(lines, lambda x: F.char_length(x["key"]) >= self.min_chars)
         hashed = F.transform(long_lines, lambda x: F.struct(x["at"].alias("at"), _hashes(x["key"]).alias("h")))
-        found = docs.select(*alike, F.explode(hashed).alias("l")).select("r_id", "r_1", "r_2", "l.at", "l.h.h1", "l.h.h2")
+        found = docs.select(*alike, F.explode(hashed).alias("l")).select("_llm_r_id", "_llm_r_1", "_llm_r_2", "l.at", "l.h.h1", "l.h.h2")
         often = self.keys().where((F.col("n_docs") >= min_docs) & F.col("last_doc").isNotNull()).select(
             F.col("h1").alias("f1"), F.col("h2").alias("f2"), "last_doc")
-        goes = (F.col("h1") == F.col("f1")) & (F.col("h2") == F.col("f2")) & ~F.col("r_id").eqNullSafe(F.col("last_doc"))
+        goes = (F.col("h1") == F.col("f1")) & (F.col("h2") == F.col("f2")) & ~F.col("_llm_r_id").eqNullSafe(F.col("last_doc"))
         stay = found.join(often.hint("merge"), goes, "left_anti")
-        stay = stay.groupBy("r_id", "r_1", "r_2").agg(F.collect_set("at").alias("stay"))
-        stay = stay.select(F.col("r_id").alias("s_id"), F.col("r_1").alias("s_1"), F.col("r_2").alias("s_2"), "stay")
+        stay = stay.groupBy("_llm_r_id", "_llm_r_1", "_llm_r_2").agg(F.collect_set("at").alias("_llm_stay"))
+        stay = stay.select(F.col("_llm_r_id").alias("_llm_s_id"), F.col("_llm_r_1").alias("_llm_s_1"), F.col("_llm_r_2").alias("_llm_s_2"), "_llm_stay")
         rows = rows.select(*names, *alike)
-        same = F.col("r_id").eqNullSafe(F.col("s_id")) & (F.col("r_1") == F.col("s_1")) & (F.col("r_2") == F.col("s_2"))
+        same = F.col("_llm_r_id").eqNullSafe(F.col("_llm_s_id")) & (F.col("_llm_r_1") == F.col("_llm_s_1")) & (F.col("_llm_r_2") == F.col("_llm_s_2"))
         rows = rows.join(stay, same, "left").select(
-            *names, F.coalesce("stay", F.array().cast("array<int>")).alias("stay"), F.split(text, "\n").alias("l_all"))
-        is_long = F.filter(F.transform(F.col("l_all"), lambda x, i: F.when(F.char_length(F.btrim(x, F.lit(SPACES))) >= self.min_chars, i)),
+            *names, F.coalesce("_llm_stay", F.array().cast("array<int>")).alias("_llm_stay"), F.split(text, "\n").alias("_llm_l_all"))
+        is_long = F.filter(F.transform(F.col("_llm_l_all"), lambda x, i: F.when(F.char_length(F.btrim(x, F.lit(SPACES))) >= self.min_chars, i)),
                            lambda i: i.isNotNull())
-        rows = rows.withColumn("l_gone", F.array_except(is_long, F.col("stay")))
-        places = F.array_except(F.sequence(F.lit(0), F.size("l_all") - 1), F.col("l_gone"))
-        kept = F.array_join(F.transform(places, lambda i: F.element_at(F.col("l_all"), i + 1)), "\n")
-        return rows.select(*names, F.size("l_all").cast("long").alias("n_lines"), F.size("l_gone").cast("long").alias("n_dropped"),
+        rows = rows.withColumn("_llm_l_gone", F.array_except(is_long, F.col("_llm_stay")))
+        places = F.array_except(F.sequence(F.lit(0), F.size("_llm_l_all") - 1), F.col("_llm_l_gone"))
+        kept = F.array_join(F.transform(places, lambda i: F.element_at(F.col("_llm_l_all"), i + 1)), "\n")
+        return rows.select(*names, F.size("_llm_l_all").cast("long").alias("n_lines"), F.size("_llm_l_gone").cast("long").alias("n_dropped"),
                            kept.alias("kept_text"))
 
 

@@ -125,11 +125,11 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, share: float = SHARE,
         seed: int = 42) -> DataFrame:
     """The rows of ``docs`` that the mix takes, all columns, each as often as it is taken."""
     mixed = plan(docs, weights, share, epochs, seed)
-    taken = mixed.where("copies > 0").select(F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"),
-                                             F.col("place").alias("m_place"), F.col("copies").alias("m_copies")).distinct()
+    taken = mixed.where("copies > 0").select(F.col("doc_id").alias("_llm_id"), F.col("source").alias("_llm_source"),
+                                             F.col("place").alias("_llm_place"), F.col("copies").alias("_llm_copies")).distinct()
     place = F.xxhash64(F.lit(seed), F.col("doc_id"), text_or_empty())
-    same = (F.col("doc_id").eqNullSafe(F.col("m_id")) & F.col("source").eqNullSafe(F.col("m_source"))
-            & (place == F.col("m_place")))
+    same = (F.col("doc_id").eqNullSafe(F.col("_llm_id")) & F.col("source").eqNullSafe(F.col("_llm_source"))
+            & (place == F.col("_llm_place")))
     rows = docs.join(taken, same)
-    times = F.explode(F.sequence(F.lit(1), F.col("m_copies"))).alias("m_copy")
-    return rows.select(*[docs[c] for c in docs.columns], times).drop("m_copy")
+    times = F.explode(F.sequence(F.lit(1), F.col("_llm_copies"))).alias("_llm_copy")
+    return rows.select(*[docs[c] for c in docs.columns], times).drop("_llm_copy")

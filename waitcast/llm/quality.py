@@ -186,8 +186,8 @@ def score(docs: DataFrame, threshold: float = 0.5, keep_text: bool = True) -> Da
     and a posterior of at least ``threshold``. The votes are counted over all rows, repeated ones too.
     """
     spark = docs.sparkSession
-    named = {f"vote_{k}": v for k, v in votes().items()}
-    docs = docs.drop(*[c for c in (*named, "base_failed", "posterior", "kept") if c in docs.columns])
+    named = {f"_llm_vote_{k}": v for k, v in votes().items()}
+    docs = docs.drop(*[c for c in ("base_failed", "posterior", "kept") if c in docs.columns])
     if keep_text:
         rows = measure(docs).withColumns(named)
         voted = measure(docs.select("text"), keep_text=False).withColumns(named)
@@ -196,9 +196,9 @@ def score(docs: DataFrame, threshold: float = 0.5, keep_text: bool = True) -> Da
     table = voted.groupBy(*named).count().toPandas()  # at most 3 ** rules rows
     posterior, _, _ = estimate(table[list(named)].to_numpy(), table["count"].to_numpy(float))
     known = [(*map(int, votes_), float(p)) for votes_, p in zip(table[list(named)].itertuples(index=False), posterior, strict=True)]
-    known = spark.createDataFrame(known, ", ".join(f"p_{k} int" for k in named) + ", posterior double")
-    same = [F.col(k) == F.col(f"p_{k}") for k in named]
-    rows = rows.join(F.broadcast(known), same, "left").drop(*named, *[f"p_{k}" for k in named])
+    known = spark.createDataFrame(known, ", ".join(f"_llm_p{k} int" for k in named) + ", posterior double")
+    same = [F.col(k) == F.col(f"_llm_p{k}") for k in named]
+    rows = rows.join(F.broadcast(known), same, "left").drop(*named, *[f"_llm_p{k}" for k in named])
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     return rows.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= threshold))
 

@@ -151,10 +151,10 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, node: int = NODE) ->
     fewer words than a window stays whole.
     """
     docs = docs.drop(*[c for c in ("n_words", "n_removed", "kept_text") if c in docs.columns])
-    spans = repeated_spans(docs, window, node).groupBy("doc_id", "r").agg(F.collect_list(F.struct("first", "size")).alias("s_spans"))
-    spans = spans.select(F.col("doc_id").alias("s_id"), F.col("r").alias("s_r"), "s_spans")
+    spans = repeated_spans(docs, window, node).groupBy("doc_id", "r").agg(F.collect_list(F.struct("first", "size")).alias("_llm_spans"))
+    spans = spans.select(F.col("doc_id").alias("_llm_id"), F.col("r").alias("_llm_r"), "_llm_spans")
     text = text_or_empty()
-    rows = docs.join(spans, F.col("doc_id").cast("long").eqNullSafe(F.col("s_id")) & (F.xxhash64(text) == F.col("s_r")), "left").drop("s_id", "s_r")
+    rows = docs.join(spans, F.col("doc_id").cast("long").eqNullSafe(F.col("_llm_id")) & (F.xxhash64(text) == F.col("_llm_r")), "left").drop("_llm_id", "_llm_r")
     schema = T.StructType(docs.schema.fields[:]).add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
     at, width, names = docs.columns.index("text"), len(docs.columns), schema.names
 
