@@ -6,11 +6,12 @@ that a hash sequence of its own picks, until one is not empty. Bands of the sign
 keys. Inside a bucket each set is paired with the bucket's centre only, so pairs grow with the
 number of rows, not with its square. Pairs are confirmed on the full sets.
 
-A star can miss a link between two sets that are both unlike the centre. So later rounds look at
-the buckets that still hold sets of several components: each round draws new centres among them,
-and a last round pairs every set with all others of its bucket that are in other components, which
-leaves no pair of a bucket open. These rounds see only what earlier ones didn't join; a large group
-of near copies is one component by then.
+A star can miss a link between two sets that are both unlike the centre. So further rounds draw new
+centres in the buckets that still hold sets of several components. What is still apart then is
+compared completely, but not as pairs: a bucket's sets are dealt into blocks, a task takes two blocks
+and multiplies their incidence matrices, and only links come out. So no pair that shares a bucket is
+left open, a large bucket is spread over many tasks, and no list of its pairs is ever made. Sets that
+are in the bucket's main component already are not compared with each other.
 """
 
 from __future__ import annotations
@@ -32,13 +33,14 @@ from waitcast.llm.scratch import materialise
 class Params:
     """shingle: words per shingle. Sets are linked with 100 * intersection >= percent * union. bands of rows
     values each: two sets of similarity 0.8 share no bucket with a chance of (1 - 0.8 ** 6) ** 40 = 5e-6.
-    rounds: of drawn centres before the last, complete one."""
+    rounds: of drawn centres. block: sets of a bucket that a task compares with as many others."""
 
     shingle: int = 5
     percent: int = 80
     bands: int = 40
     rows: int = 6
-    rounds: int = 3
+    rounds: int = 1
+    block: int = 256
 
     @property
     def bins(self) -> int:
@@ -158,6 +160,60 @@ def _pairs(rows: DataFrame, a: str, n_a: str, b: str, n_b: str, p: Params) -> Da
     return rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a < b").distinct()
 
 
+def _shared(numbers: list[np.ndarray]) -> np.ndarray:
+    """Numbers that each two of the lists share: their incidence matrix times its transpose, some columns at a time."""
+    n = len(numbers)
+    row = np.repeat(np.arange(n), [len(x) for x in numbers])
+    _, column, times = np.unique(np.concatenate(numbers), return_inverse=True, return_counts=True)
+    several = times[column] > 1
+    row, column = row[several], np.unique(column[several], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out, width = np.zeros((n, n), np.float32), 4096
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, (lo, lo + width))
+        part = np.zeros((n, width), np.float32)
+        part[row[a:b], column[a:b] - lo] = 1
+        out += part @ part.T
+    return out
+
+
+def _blockwise(apart: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+    """Pairs (a, b) of sets in a bucket (bucket, rep, part) but in different parts that may be linked.
+
+    Compares 32-bit halves of the shingle hashes, which is enough to rule nearly all other pairs out.
+    """
+    sizes = apart.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("members"))
+    main = sizes.groupBy("bucket").agg(F.max(F.struct("members", "part")).alias("main"), F.sum("members").alias("members"))
+    main = materialise(main.select("bucket", F.col("main.part").alias("main"), F.ceil(F.col("main.members") / p.block).cast("int").alias("main_blocks"),
+                                   F.ceil((F.col("members") - F.col("main.members")) / p.block).cast("int").alias("rest_blocks")), "near-main")
+    rows = apart.join(main, "bucket").withColumn("in_main", F.col("part") == F.col("main"))
+    own = F.pmod(F.xxhash64("rep"), F.when(F.col("in_main"), F.col("main_blocks")).otherwise(F.col("rest_blocks"))).cast("int")
+    pair = lambda kind, x, y: F.struct(F.lit(kind).alias("kind"), x.cast("int").alias("x"), y.cast("int").alias("y"))
+    rest = F.sequence(F.lit(0), F.col("rest_blocks") - 1)
+    with_main = F.transform(F.sequence(F.lit(0), F.col("main_blocks") - 1), lambda y: pair("main", own, y))
+    with_rest = F.transform(rest, lambda y: pair("rest", F.least(own, y), F.greatest(own, y)))
+    blocks = F.when(F.col("in_main"), F.transform(rest, lambda x: pair("main", x, own))).otherwise(F.concat(with_main, with_rest))
+    rows = rows.select("bucket", "rep", "part", F.explode(blocks).alias("block"))
+    half = sets.select(F.col("doc_id").alias("rep"), F.transform("shingles", lambda x: F.shiftright(x, 32).cast("int")).alias("halves"))
+    rows = rows.join(half, "rep").select("bucket", "block.*", "rep", "part", "halves")
+
+    def compare(group: pa.Table) -> pa.Table:
+        rep, part = (group.column(c).to_numpy() for c in ("rep", "part"))
+        full, numbers = np.zeros(len(rep), np.int64), []
+        for i, x in enumerate(group.column("halves")):
+            x = x.values.to_numpy()
+            full[i] = len(x)
+            numbers.append(np.unique(x))
+        lost = full - np.array([len(x) for x in numbers])  # shingles of one set with the same half
+        most = _shared(numbers) + np.minimum(lost[:, None], lost[None])
+        near = (100 * most >= p.percent * (full[:, None] + full[None] - most)) & (part[:, None] < part[None])
+        a, b = np.nonzero(near)
+        return pa.table({"a": np.minimum(rep[a], rep[b]), "b": np.maximum(rep[a], rep[b])})
+
+    return rows.groupBy("bucket", "kind", "x", "y").applyInArrow(compare, "a long, b long").distinct()
+
+
 def links(docs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
     """Links (a, b) between representatives of different sets that join what is linked: (rep, n, keys) in.
 
@@ -166,7 +222,8 @@ def links(docs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
     members = classes.select("rep", "n", F.explode("keys").alias("bucket"))
     draw = F.struct(F.xxhash64("rep").alias("by"), "rep", "n")
     crowd = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.min(draw).alias("centre")).where("members > 1")
-    members = materialise(members.join(crowd, "bucket").select("bucket", "rep", "n", "centre.rep", "centre.n").toDF("bucket", "rep", "n", "centre", "centre_n"), "near-buckets")
+    crowd = materialise(crowd.select("bucket", F.col("centre.rep").alias("centre"), F.col("centre.n").alias("centre_n")), "near-centres")
+    members = materialise(members.join(crowd, "bucket").select("bucket", "rep", "n", "centre", "centre_n"), "near-buckets")
     asked = members.select(F.col("rep").alias("doc_id")).distinct()
     sets = _sets(docs.join(asked, "doc_id", "left_semi"), p)
     # rows that share a doc_id are searched by the largest of their sets
@@ -177,22 +234,20 @@ def links(docs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
     for step in range(p.rounds + 1):
         parts = components(found)
         apart = members.select("bucket", "rep", "n").join(parts, F.col("rep") == F.col("node"), "left")
-        apart = apart.select("bucket", "rep", "n", F.coalesce("component", "rep").alias("part"))
-        mixed = apart.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("rep", "bucket", F.lit(step)).alias("by"), "rep", "n", "part")).alias("c"),
-                                            F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi")
-        apart = materialise(apart.join(mixed.select("bucket", "c"), "bucket").select(
-            "bucket", "rep", "n", "part", F.col("c.rep").alias("centre"), F.col("c.n").alias("centre_n"), F.col("c.part").alias("centre_part")), "near-apart")
-        if apart.isEmpty():
-            break
+        apart = materialise(apart.select("bucket", "rep", "n", F.coalesce("component", "rep").alias("part")), "near-parts")
+        drawn = F.struct(F.xxhash64("rep", "bucket", F.lit(step)).alias("by"), "rep", "n", "part")
+        mixed = apart.groupBy("bucket").agg(F.min(drawn).alias("c"), F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi")
+        mixed = materialise(mixed.select("bucket", F.col("c.rep").alias("centre"), F.col("c.n").alias("centre_n"), F.col("c.part").alias("centre_part")), "near-centres")
+        apart = apart.join(mixed, "bucket")
         if step < p.rounds:
+            apart = materialise(apart, "near-apart")
             pairs = _pairs(apart.where("part <> centre_part"), "rep", "n", "centre", "centre_n", p)
         else:
-            other = apart.select("bucket", F.col("rep").alias("other"), F.col("n").alias("other_n"), F.col("part").alias("other_part"))
-            pairs = _pairs(apart.join(other, "bucket").where("part < other_part"), "rep", "n", "other", "other_n", p)
+            pairs = _blockwise(materialise(apart.select("bucket", "rep", "part"), "near-apart"), sets, p)
         pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
         tested = tested.union(pairs)
         found = found.union(materialise(_confirm(pairs, sets, p), "near-links"))
-        members = apart.select("bucket", "rep", "n")
+        members = apart
     return found
 
 
@@ -228,5 +283,5 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
 
 def dedup(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """The rows of ``docs`` that stay, columns unchanged: one document of each component, and all texts without words."""
-    kept = near_duplicates(docs, p).where("kept").select(F.col("doc_id").alias("k_id")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("k_id")), "left_semi")
+    kept = near_duplicates(docs, p).where("kept").select(F.col("doc_id").alias("_llm_id")).distinct()
+    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_llm_id")), "left_semi")
