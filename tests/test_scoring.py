@@ -1,11 +1,10 @@
-"""Cascade (J6-J8), blend (B1-B3) and ladder (B4/B5/lambda) against a brute-force
-row-scan implementation on a small scenario fixture."""
+"""Cascade (J6-J8), blend (B1-B3) and ladder (B4/B5/lambda): tables of cases with results worked out by hand."""
 
 import datetime as dt
 import itertools
 
-import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from waitcast.plans import scoring as S
 
@@ -31,136 +30,9 @@ DATES = [dt.date(2025, 10, 25), dt.date(2025, 10, 26), dt.date(2025, 10, 27), dt
          dt.date(2025, 10, 12), dt.date(2025, 3, 3), dt.date(2025, 1, 1)]
 HOURS = ["12:15", "10:00", "14:00", "0:10", "19:30", "16:00"]
 
-HOL = {(1, 1), (1, 6), (5, 1), (10, 12), (11, 1), (12, 6), (12, 8), (12, 25)}
-
-
-def hol(d):
-    return (d.month, d.day) in HOL
-
-
-def bridge(d):
-    if hol(d):
-        return True
-    wd = d.weekday()
-    return (wd == 4 and hol(d + dt.timedelta(days=1))) or (wd in (0, 6) and hol(d - dt.timedelta(days=1)))
-
-
-def pct(v, q):
-    return float(np.percentile(np.asarray(v, dtype=float), q))
-
-
-def parse(h):
-    a, b = h.split(":")
-    return int(a) + int(b) / 60.0
-
-
-def brute(atr, fecha, hora_txt, rows, pair_check=False, variant="predict"):
-    """Scan-based model of the scoring rules for one request."""
-    mes, dow, finde = fecha.month, fecha.weekday(), fecha.weekday() in (5, 6)
-    hn = parse(hora_txt)
-    h = int(hn)
-    rr = [r for r in rows if r["atraccion"] == atr]
-
-    def sel(**c):
-        return [r["w"] for r in rr if all(r[k] == v for k, v in c.items())]
-
-    all_w = [r["w"] for r in rows]
-    gmed, gmean = pct(all_w, 50), float(np.mean(all_w))
-    pred = float(np.mean([r["w"] for r in rr])) if rr else gmean
-    top = (bool(sel(mes=mes, h=h)) and bool(sel(mes=mes, dow=dow))) if pair_check else bool(sel(mes=mes, h=h, dow=dow))
-    has_hd, has_mh, has_h = bool(sel(h=h, dow=dow)), bool(sel(mes=mes, h=h)), bool(sel(h=h))
-    if not has_h and h > 0:
-        for hh in (h - 1, h + 1):
-            if 0 <= hh < 24 and sel(h=hh):
-                h, has_h = hh, True
-                break
-    if top:
-        ref, esp = sel(mes=mes, h=h, dow=dow), "mes_hora_dia"
-    elif has_hd:
-        ref, esp = sel(h=h, dow=dow), "hora_dia"
-    elif has_mh:
-        ref, esp = sel(mes=mes, h=h), "mes_hora"
-    elif has_h:
-        ref, esp = sel(h=h), "hora"
-    elif sel(mes=mes, dow=dow):
-        ref, esp = sel(mes=mes, dow=dow), "mes_dia"
-    elif sel(dow=dow):
-        ref, esp = sel(dow=dow), "dia"
-    elif sel(mes=mes):
-        ref, esp = sel(mes=mes), "mes"
-    else:
-        ref, esp = [], "global"
-    p75, med, n = (pct(ref, 75), pct(ref, 50), len(ref)) if ref else (gmed, gmed, 0)
-    ap, pico, valle = h == 10, 11 <= h <= 16, h < 10 or h > 18
-    if esp in ("mes_hora_dia", "hora_dia", "mes_hora", "hora"):
-        if ref:
-            if ap:
-                base, wh, wm = (pct(ref, 25) if n > 10 else med), 0.80, 0.20
-            elif pico:
-                base = p75
-                if p75 < 15 and n < 20:
-                    md, m = sel(mes=mes, dow=dow), sel(mes=mes)
-                    if md:
-                        if pct(md, 75) > p75:
-                            base, esp = pct(md, 75), "mes_dia_fallback"
-                    elif m:
-                        if pct(m, 75) > p75:
-                            base, esp = pct(m, 75), "mes_fallback"
-                    wh, wm = (0.30, 0.70) if base < 15 else (0.50, 0.50)
-                else:
-                    wh, wm = 0.70, 0.30
-            else:
-                base, wh, wm = med, 0.75, 0.25
-        else:
-            base, wh, wm = med, 0.60, 0.40
-    else:
-        base, wh, wm = (p75 if pico else med), 0.40, 0.60
-    c = pred * wm + base * wh
-    feat = FEAT in atr and mes == 10
-    if ap:
-        x, lab = c * (0.50 if finde else 0.60), "apertura_"
-    elif feat and variant == "predict":
-        if finde:
-            if pico:
-                x = max(pred * 1.50, c * 1.40, 25.0) if (p75 < 15 or base < 15) else max(c * 1.30, p75 * 1.25, base * 1.35, pred * 1.25)
-            else:
-                x = max(pred * 1.30, c * 1.20, 15.0) if base < 10 else max(c * 1.20, base * 1.25)
-        else:
-            if pico:
-                x = max(pred * 1.35, c * 1.25, 20.0) if base < 15 else max(c * 1.15, base * 1.20)
-            else:
-                x = max(c * 1.10, base * 1.15)
-        lab = "batman_octubre_" + ("fin_semana_" if finde else "laborable_")
-    elif feat and variant == "train":
-        x, lab = (max(c, base * 1.20) if pico else max(c, base * 1.10)), "batman_octubre_"
-    elif bridge(fecha) and variant != "lambda":
-        x, lab = c * (1.15 if finde else 1.10), "puente_"
-    elif mes == 10 and dow == 6 and variant != "lambda":
-        x, lab = (c * 1.10 if pico else c), "octubre_domingo_"
-    elif mes == 11 and dow == 6 and variant != "lambda":
-        x, lab = (c * 1.08 if pico else c), "noviembre_domingo_"
-    elif pico:
-        x, lab = c * 1.05, "hora_pico_"
-    elif valle:
-        x, lab = c * 0.90, "hora_valle_"
-    elif finde:
-        x, lab = c, "fin_semana_"
-    else:
-        x, lab = c, "laborable_"
-    if variant == "lambda":
-        if x < 1:
-            x = max(gmed * 0.5, 5)
-        x = min(180, max(1, x))
-    else:
-        x = max(5, min(180, x))
-    return {"especificidad": esp, "hora_eff": h, "n_hist": n, "hist_base": base, "pred_combinada": c,
-            "minutos_predichos": round(x, 1), "ajuste_aplicado": lab + esp}
-
-
 @pytest.fixture(scope="module")
 def frames(spark):
-    rows = [{"atraccion": a, "fecha": d, "hora": h, "w": w, "mes": d.month, "dow": d.weekday(), "h": int(parse(h))}
-            for a, d, h, w in TRAIN]
+    rows = TRAIN
     train = spark.createDataFrame([(a, d, h, w) for a, d, h, w in TRAIN],
                                   "atraccion string, fecha date, hora string, tiempo_espera double")
     train = S.prepare_training(train)
@@ -170,28 +42,164 @@ def frames(spark):
     return rows, train, reqs, req
 
 
-@pytest.mark.parametrize("variant,pair_check", [("predict", False), ("predict", True), ("train", False), ("lambda", True)])
-def test_scoring_matches_brute_force(spark, frames, variant, pair_check):
-    rows, train, reqs, req = frames
-    out = S.score(req, train, variant=variant, featured=FEAT, pair_check=pair_check)
-    got = {r.request_id: r for r in out.collect()}
-    seen = set()
-    for i, (a, d, h) in enumerate(reqs):
-        exp = brute(a, d, h, rows, pair_check=pair_check, variant=variant)
+# (ride, date, hour) -> (level, hour used, rows, p75), worked out by hand from TRAIN
+CASCADE = [
+    ("R1", "2025-10-25", "12:15", "mes_hora_dia", 12, 4, 32.5),          # 20 25 30 40
+    ("R1", "2025-10-27", "12:15", "mes_hora", 12, 4, 32.5),              # same month and hour, another weekday
+    ("R1", "2025-03-01", "12:15", "hora_dia", 12, 4, 32.5),              # a Saturday of another month
+    ("R1", "2025-03-03", "12:15", "hora", 12, 4, 32.5),
+    ("R2", "2025-10-27", "14:00", "hora", 15, 1, 35.0),                  # nearest hour: 13 has none, 15 has
+    ("R3", "2025-03-04", "14:00", "hora", 13, 2, 17.5),                  # the hour before comes first
+    ("R4", "2025-03-04", "14:00", "hora", 15, 2, 45.0),                  # then the hour after
+    ("R5", "2025-10-25", "14:00", "mes_dia", 14, 2, 52.5),               # Saturdays of October
+    ("R5", "2025-11-01", "14:00", "dia", 14, 2, 52.5),
+    ("R5", "2025-10-27", "14:00", "mes", 14, 2, 52.5),
+    ("R8", "2025-03-03", "0:10", "hora", 0, 1, 12.0),
+    ("R4", "2025-03-03", "0:10", "mes_dia", 0, 2, 45.0),                 # no neighbour hour at midnight
+    ("R_unknown", "2025-10-25", "12:15", "global", 12, 0, None),
+]
+
+
+def test_cascade_levels(spark, frames):
+    from waitcast.operators import cascade as CA
+    _, train, _, _ = frames
+    req = spark.createDataFrame([(i, *c[:3]) for i, c in enumerate(CASCADE)], "request_id long, atraccion string, fecha string, hora string")
+    got = {r.request_id: r for r in CA.cascade(S.prepare_requests(req), S.materialized_histories(train)).collect()}
+    for i, (ride, day, hour, level, used, n, p75) in enumerate(CASCADE):
         g = got[i]
-        seen.add(exp["especificidad"])
-        ctx = (a, d, h, variant, pair_check)
-        assert g.especificidad == exp["especificidad"], ctx
-        assert g.hora_eff == exp["hora_eff"], ctx
-        assert g.n_hist == exp["n_hist"], ctx
-        assert g.hist_base == pytest.approx(exp["hist_base"]), ctx
-        assert g.pred_combinada == pytest.approx(exp["pred_combinada"]), ctx
-        assert g.minutos_predichos == exp["minutos_predichos"], ctx
-        assert g.ajuste_aplicado == exp["ajuste_aplicado"], ctx
-    # the fixture reaches every level of the cascade and the low-history fallback
-    if variant == "predict" and not pair_check:
-        assert {"mes_hora_dia", "hora_dia", "mes_hora", "hora", "mes_dia", "dia", "mes", "global",
-                "mes_dia_fallback"} <= seen
+        assert (g.especificidad, g.hora_eff, g.n_hist) == (level, used, n), (ride, day, hour)
+        assert p75 is None or g.p75_hist == pytest.approx(p75), (ride, day, hour)
+
+
+def test_pair_check_takes_both_pairs_for_the_triple(spark, frames):
+    """R1 has rows at 12 h and, apart from them, on Saturdays of October, but 10 h on Saturday is a real triple."""
+    from waitcast.operators import cascade as CA
+    _, train, _, _ = frames
+    req = S.prepare_requests(spark.createDataFrame([(1, "R2", "2025-10-27", "9:00")], "request_id long, atraccion string, fecha string, hora string"))
+    hist = S.materialized_histories(train)
+    # R2: (October, 9 h) from the 4th and (October, Monday) from the 27th, never together
+    assert CA.cascade(req, hist).first().especificidad == "mes_hora"
+    g = CA.cascade(req, hist, pair_check=True).first()
+    assert (g.especificidad, g.n_hist) == ("mes_hora_dia", 0)
+
+
+# level, hour, n, p25, p50, p75, (n, p75) of ride x month x weekday, of ride x month
+# -> base, history weight, label; with a model of 10 minutes
+BASE = [
+    (("mes_hora_dia", 10, 12, 8, 20, 30, None, None), 8, .80, "mes_hora_dia"),         # opening, more than 10 rows: p25
+    (("mes_hora_dia", 10, 10, 8, 20, 30, None, None), 20, .80, "mes_hora_dia"),        # opening, few rows: median
+    (("hora", 12, 50, 8, 20, 30, None, None), 30, .70, "hora"),                        # peak: p75
+    (("hora", 12, 19, 5, 8, 14, (9, 40), (9, 50)), 40, .50, "mes_dia_fallback"),       # low and few: the larger p75
+    (("hora", 12, 19, 5, 8, 14, (9, 12), (9, 50)), 14, .30, "hora"),                   # month-weekday there, not larger
+    (("hora", 12, 19, 5, 8, 14, None, (9, 50)), 50, .50, "mes_fallback"),
+    (("hora", 12, 19, 5, 8, 12, None, (9, 14)), 14, .30, "mes_fallback"),              # still low
+    (("hora", 12, 20, 5, 8, 14, (9, 40), None), 14, .70, "hora"),                      # 20 rows are enough
+    (("hora", 12, 19, 5, 8, 15, (9, 40), None), 15, .70, "hora"),                      # 15 minutes are not low
+    (("hora", 17, 50, 8, 20, 30, None, None), 20, .75, "hora"),                        # neither opening nor peak
+    (("mes_hora_dia", 12, 0, 25, 25, 25, None, None), 25, .60, "mes_hora_dia"),        # empty set
+    (("mes_dia", 12, 5, 8, 20, 30, None, None), 30, .40, "mes_dia"),                   # no hourly rows, peak
+    (("mes", 19, 5, 8, 20, 30, None, None), 20, .40, "mes"),
+]
+
+
+@pytest.mark.parametrize("low_fallback", [True, False])
+def test_history_base(spark, low_fallback):
+    from waitcast.operators import blend as B
+    rows = [(i, lv, h, n, float(a), float(b), float(c), *(md or (None, None)), *(m or (None, None)), 10.0)
+            for i, ((lv, h, n, a, b, c, md, m), *_) in enumerate(BASE)]
+    df = spark.createDataFrame(rows, "i int, especificidad string, hora_eff int, n_hist long, p25_hist double, p50_hist double, p75_hist double, "
+                                     "md_n int, md_p75 int, m_n int, m_p75 int, pred_base double")
+    got = {r.i: r for r in B.history_base(df, low_fallback=low_fallback).collect()}
+    for i, (given, base, weight, label) in enumerate(BASE):
+        if not low_fallback and weight in (.30, .50):   # the training script takes p75 as it is
+            base, weight, label = given[5], .70, given[0]
+        g = got[i]
+        assert (g.hist_base, g.especificidad) == (base, label), given
+        assert (g.w_hist, g.w_model) == pytest.approx((weight, 1 - weight)), given
+        assert g.pred_combinada == pytest.approx(base * weight + 10 * (1 - weight)), given
+
+
+# ride, day, hour, model, blend, base, p75 -> minutes and rule, for predict and lambda | for train
+LADDER = [
+    (("R", "2025-10-25", 10, 9, 40, 40, 40), 20.0, "apertura_x"),                       # Saturday, opening: half
+    (("R", "2025-10-27", 10, 9, 40, 40, 40), 24.0, "apertura_x"),
+    (("Batman", "2025-10-25", 12, 20, 20, 14, 30), 30.0, "batman_octubre_fin_semana_x"),   # low base: 20*1.5, 20*1.4, 25
+    (("Batman", "2025-10-25", 12, 10, 10, 20, 14), 25.0, "batman_octubre_fin_semana_x"),   # low p75: the floor
+    (("Batman", "2025-10-25", 12, 20, 30, 40, 40), 54.0, "batman_octubre_fin_semana_x"),   # 39, 50, 54, 25
+    (("Batman", "2025-10-25", 17, 20, 20, 9, 40), 26.0, "batman_octubre_fin_semana_x"),    # 26, 24, 15
+    (("Batman", "2025-10-25", 17, 20, 30, 20, 40), 36.0, "batman_octubre_fin_semana_x"),   # 36, 25
+    (("Batman", "2025-10-27", 12, 20, 20, 14, 40), 27.0, "batman_octubre_laborable_x"),    # 27, 25, 20
+    (("Batman", "2025-10-27", 12, 20, 20, 30, 40), 36.0, "batman_octubre_laborable_x"),    # 23, 36
+    (("Batman", "2025-10-27", 17, 20, 20, 30, 40), 34.5, "batman_octubre_laborable_x"),    # 22, 34.5
+    (("Batman", "2025-10-27", 10, 20, 40, 30, 40), 24.0, "apertura_x"),                    # opening comes first
+    (("R", "2025-11-01", 17, 9, 40, 40, 40), 46.0, "puente_x"),                            # holiday on a Saturday
+    (("R", "2025-01-06", 17, 9, 40, 40, 40), 44.0, "puente_x"),                            # holiday on a Monday
+    (("R", "2025-10-12", 12, 9, 40, 40, 40), 46.0, "puente_x"),                            # a holiday Sunday of October
+    (("R", "2025-10-26", 12, 9, 40, 40, 40), 44.0, "octubre_domingo_x"),
+    (("R", "2025-10-26", 17, 9, 40, 40, 40), 40.0, "octubre_domingo_x"),
+    (("R", "2025-11-09", 12, 9, 40, 40, 40), 43.2, "noviembre_domingo_x"),
+    (("R", "2025-11-09", 17, 9, 40, 40, 40), 40.0, "noviembre_domingo_x"),
+    (("R", "2025-03-04", 16, 9, 40, 40, 40), 42.0, "hora_pico_x"),
+    (("R", "2025-03-04", 19, 9, 40, 40, 40), 36.0, "hora_valle_x"),
+    (("R", "2025-03-01", 17, 9, 40, 40, 40), 40.0, "fin_semana_x"),
+    (("R", "2025-03-04", 17, 9, 40, 40, 40), 40.0, "laborable_x"),
+    (("R", "2025-03-04", 12, 9, 300, 40, 40), 180.0, "hora_pico_x"),                       # the upper bound
+]
+TRAIN_FEATURED = {  # the training script's featured rule: 1.2 times the base at peak, else 1.1 times, or the blend
+    2: 20.0, 3: 24.0, 4: 48.0, 5: 20.0, 6: 30.0, 7: 20.0, 8: 36.0, 9: 33.0,
+}
+
+
+def _ladder(spark, variant, cases, median=8.0):
+    from waitcast.operators import blend as B
+    rows = [(i, r, dt.date.fromisoformat(d), h, float(p), float(c), float(b), float(q), "x") for i, (r, d, h, p, c, b, q) in enumerate(cases)]
+    df = spark.createDataFrame(rows, "i int, atraccion string, fecha date, hora_eff int, pred_base double, pred_combinada double, hist_base double, "
+                                     "p75_hist double, especificidad string").withColumn("global_median", F.lit(median))
+    return {r.i: r for r in B.calendar_ladder(df, variant=variant, featured=FEAT).collect()}
+
+
+@pytest.mark.parametrize("variant", ["predict", "lambda", "train"])
+def test_ladder(spark, variant):
+    got = _ladder(spark, variant, [c[0] for c in LADDER])
+    for i, (given, minutes, rule) in enumerate(LADDER):
+        if variant == "train" and i in TRAIN_FEATURED:
+            minutes, rule = TRAIN_FEATURED[i], "batman_octubre_x"
+        assert got[i].minutos_predichos == pytest.approx(minutes), given
+        assert got[i].ajuste_aplicado == rule, given
+
+
+def test_lower_bounds(spark):
+    low = [("R", "2025-03-04", 17, 1, c, 1, 1) for c in (0.5, 1.0, 4.0)]
+    assert [r.minutos_predichos for _, r in sorted(_ladder(spark, "predict", low).items())] == [5.0, 5.0, 5.0]
+    # serverless: under a minute is rescued by half the global median, at least 5; else what it is
+    assert [r.minutos_predichos for _, r in sorted(_ladder(spark, "lambda", low, median=30.0).items())] == [15.0, 1.0, 4.0]
+    assert [r.minutos_predichos for _, r in sorted(_ladder(spark, "lambda", low, median=4.0).items())] == [5.0, 1.0, 4.0]
+
+
+def test_score_applies_the_variants(spark, frames):
+    """The whole plan: R7 on a Saturday of October at 13 h has a low p75 from 3 rows (5 5 10 -> 7.5), and 55 over all its
+    six rows of that weekday and month (5 5 10 40 60 80); its mean wait is the model."""
+    _, train, _, _ = frames
+    req = spark.createDataFrame([(1, "R7", "2025-10-18", "13:00")], "request_id long, atraccion string, fecha string, hora string")
+    mean = 200 / 6
+    g = S.score(req, train, variant="predict", featured=FEAT).first()
+    assert (g.especificidad, g.hist_base) == ("mes_dia_fallback", 55.0)
+    assert g.minutos_predichos == pytest.approx(round((mean * .5 + 55 * .5) * 1.05, 1))
+    t = S.score(req, train, variant="train", featured=FEAT).first()
+    assert (t.especificidad, t.hist_base) == ("mes_hora_dia", 7.5)
+    assert t.minutos_predichos == pytest.approx(round((mean * .3 + 7.5 * .7) * 1.05, 1))
+
+
+def test_bad_dates_become_today_and_missing_weather_its_defaults(spark, frames):
+    from waitcast.plans import training as TR
+    _, train, _, _ = frames
+    req = spark.createDataFrame([(1, "R1", "not a date", "12:15"), (2, "R1", None, None)], "request_id long, atraccion string, fecha string, hora string")
+    got = S.prepare_requests(req, today="2025-10-25").orderBy("request_id").collect()
+    assert [(str(r.fecha), r.hora_num) for r in got] == [("2025-10-25", 12.25), ("2025-10-25", 12.0)]
+    assert {r.fecha for r in S.prepare_requests(req).collect()} == {None}
+    weather = train.withColumns({"temperatura": F.lit(10.0), "humedad": F.lit(50.0), "codigo_clima": F.lit(61.0)})
+    f = TR.build_features(S.prepare_requests(req, today="2025-10-25"), weather, FEAT, serving=True).first()
+    assert (f.temperatura, f.humedad, f.codigo_clima, f.sensacion_termica) == (10.0, 50.0, 3.0, 10.0)
 
 
 def test_training_hours_take_median_requests_take_noon(spark):

@@ -84,14 +84,14 @@ def day_name(fecha, lang: str = "en") -> Column:
     d = _c(fecha)
     if lang == "en":
         return F.date_format(d, "EEEE")
-    return F.element_at(F.array(*[F.lit(x) for x in DAYS_ES]), F.weekday(d) + 1)
+    return F.when(d.isNotNull(), F.element_at(F.array(*[F.lit(x) for x in DAYS_ES]), F.weekday(d) + 1))
 
 
 def month_name(fecha, lang: str = "en") -> Column:
     d = _c(fecha)
     if lang == "en":
         return F.date_format(d, "MMMM")
-    return F.element_at(F.array(*[F.lit(x) for x in MONTHS_ES]), F.month(d))
+    return F.when(d.isNotNull(), F.element_at(F.array(*[F.lit(x) for x in MONTHS_ES]), F.month(d)))
 
 
 def season(mes, variant: str = "a") -> Column:

@@ -29,6 +29,22 @@ LOW_P75, LOW_N, OPENING_MIN_N = 15, 20, 10
 OPENING_MULT = {"weekend": 0.50, "workday": 0.60}
 BRIDGE_MULT = {"weekend": 1.15, "workday": 1.10}
 OCT_SUNDAY_PEAK, NOV_SUNDAY_PEAK, PEAK_MULT, VALLEY_MULT = 1.10, 1.08, 1.05, 0.90
+# Featured ride in its month: the largest of these multiples of the model, the blend, the history
+# base and the p75, and a floor in minutes. "low" rules hold below the thresholds.
+FEATURED_LOW_PEAK, FEATURED_LOW_OTHER = 15, 10
+FEATURED_WEEKEND_PEAK_LOW = {"pred": 1.50, "comb": 1.40, "floor": 25.0}
+FEATURED_WEEKEND_PEAK = {"comb": 1.30, "p75": 1.25, "base": 1.35, "pred": 1.25}
+FEATURED_WEEKEND_LOW = {"pred": 1.30, "comb": 1.20, "floor": 15.0}
+FEATURED_WEEKEND = {"comb": 1.20, "base": 1.25}
+FEATURED_WORKDAY_PEAK_LOW = {"pred": 1.35, "comb": 1.25, "floor": 20.0}
+FEATURED_WORKDAY_PEAK = {"comb": 1.15, "base": 1.20}
+FEATURED_WORKDAY = {"comb": 1.10, "base": 1.15}
+FEATURED_TRAIN_PEAK = {"comb": 1.0, "base": 1.20}
+FEATURED_TRAIN = {"comb": 1.0, "base": 1.10}
+# Serverless variant: a result under 1 minute becomes this share of the global median, or the floor
+RESCUE_SHARE, RESCUE_FLOOR = 0.5, 5.0
+# Share of p90 for the featured ride; p90 above this multiple of the model is averaged in
+SIMPLE_FEATURED_SHARE, SIMPLE_RATIO = 0.8, 1.5
 FEATURED_LABEL = "batman_octubre"     # label prefix the reference uses for the featured-ride rule
 # ---------------------------------------------------------------------------
 
@@ -39,9 +55,12 @@ def _band_cols(hour: Column) -> dict[str, Column]:
             "es_hora_valle": (hour < 10) | (hour > 18)}
 
 
-def history_base(df: DataFrame) -> DataFrame:
+def history_base(df: DataFrame, low_fallback: bool = True) -> DataFrame:
     """B1 + J8 + B2: base history value, history/model weights, final specificity label.
 
+    ``low_fallback=False`` is the training script's form, which has no rule for suspiciously low
+    histories: a peak hour always takes p75.
+
     Needs the cascade columns and ``pred_base``. Adds ``hist_base``, ``w_hist``,
     ``w_model``, ``pred_combinada`` and rewrites ``especificidad`` when the
     low-history fallback fires (the cascade's own label is kept in ``_espec0``).
@@ -51,7 +70,7 @@ def history_base(df: DataFrame) -> DataFrame:
     hourly = F.col("especificidad").isin(HOURLY)
     ap, pico = F.col("es_hora_apertura"), F.col("es_hora_pico")
     filled = hourly & (n > 0)
-    low = filled & ~ap & pico & (p75 < LOW_P75) & (n < LOW_N)
+    low = filled & ~ap & pico & (p75 < LOW_P75) & (n < LOW_N) & F.lit(low_fallback)
     md_ok, m_ok = F.col("md_n").isNotNull(), F.col("m_n").isNotNull()
     alt_md = md_ok & (F.col("md_p75") > p75)
     alt_m = ~md_ok & m_ok & (F.col("m_p75") > p75)
@@ -86,7 +105,7 @@ def history_base(df: DataFrame) -> DataFrame:
 def calendar_ladder(df: DataFrame, variant: str = "predict", featured: str = cal.FEATURED_RIDE,
                     global_median: Column | None = None) -> DataFrame:
     """B4 (``predict``), B5 (``train``: milder featured rule) and the serverless ladder
-    (``lambda``: opening / peak / valley / weekend / workday only, clamp [1,180] with rescue).
+    (``lambda``: the rules of ``predict``, but clamp [1,180] with rescue).
 
     Needs ``pred_base``, ``pred_combinada``, ``hist_base``, ``p75_hist``, ``hora_eff``,
     ``especificidad``, ``fecha``, ``atraccion``. First matching rule wins; adds
@@ -104,29 +123,29 @@ def calendar_ladder(df: DataFrame, variant: str = "predict", featured: str = cal
 
     rules: list[tuple[Column, Column, Column]] = [
         (ap, F.when(finde, comb * OPENING_MULT["weekend"]).otherwise(comb * OPENING_MULT["workday"]), lab("apertura_"))]
-    if variant == "predict":
-        feat_val = (F.when(finde & pico & ((p75 < 15) | (base < 15)), F.greatest(pred * 1.50, comb * 1.40, F.lit(25.0)))
-                    .when(finde & pico, F.greatest(comb * 1.30, p75 * 1.25, base * 1.35, pred * 1.25))
-                    .when(finde & (base < 10), F.greatest(pred * 1.30, comb * 1.20, F.lit(15.0)))
-                    .when(finde, F.greatest(comb * 1.20, base * 1.25))
-                    .when(pico & (base < 15), F.greatest(pred * 1.35, comb * 1.25, F.lit(20.0)))
-                    .when(pico, F.greatest(comb * 1.15, base * 1.20))
-                    .otherwise(F.greatest(comb * 1.10, base * 1.15)))
+    def largest(factors: dict[str, float]) -> Column:
+        of = {"pred": pred, "comb": comb, "base": base, "p75": p75}
+        return F.greatest(*[F.lit(f) if k == "floor" else of[k] * f for k, f in factors.items()])
+
+    if variant == "train":
+        rules.append((F.col("_feat"), F.when(pico, largest(FEATURED_TRAIN_PEAK)).otherwise(largest(FEATURED_TRAIN)), lab(FEATURED_LABEL + "_")))
+    else:
+        low_peak = base < FEATURED_LOW_PEAK
+        feat_val = (F.when(finde & pico & ((p75 < FEATURED_LOW_PEAK) | low_peak), largest(FEATURED_WEEKEND_PEAK_LOW))
+                    .when(finde & pico, largest(FEATURED_WEEKEND_PEAK))
+                    .when(finde & (base < FEATURED_LOW_OTHER), largest(FEATURED_WEEKEND_LOW))
+                    .when(finde, largest(FEATURED_WEEKEND))
+                    .when(pico & low_peak, largest(FEATURED_WORKDAY_PEAK_LOW))
+                    .when(pico, largest(FEATURED_WORKDAY_PEAK))
+                    .otherwise(largest(FEATURED_WORKDAY)))
         feat_lab = F.concat(F.lit(FEATURED_LABEL + "_"),
                             F.when(finde, F.lit("fin_semana_")).otherwise(F.lit("laborable_")), esp)
         rules.append((F.col("_feat"), feat_val, feat_lab))
-    elif variant == "train":
-        rules.append((F.col("_feat"), F.when(pico, F.greatest(comb, base * 1.20)).otherwise(F.greatest(comb, base * 1.10)),
-                      lab(FEATURED_LABEL + "_")))
-    if variant in ("predict", "train"):
-        rules += [
-            (F.col("_puente"), F.when(finde, comb * BRIDGE_MULT["weekend"]).otherwise(comb * BRIDGE_MULT["workday"]),
-             lab("puente_")),
-            ((F.col("_mes") == 10) & (F.col("_dow") == 6), F.when(pico, comb * OCT_SUNDAY_PEAK).otherwise(comb),
-             lab("octubre_domingo_")),
-            ((F.col("_mes") == 11) & (F.col("_dow") == 6), F.when(pico, comb * NOV_SUNDAY_PEAK).otherwise(comb),
-             lab("noviembre_domingo_")),
-        ]
+    rules += [
+        (F.col("_puente"), F.when(finde, comb * BRIDGE_MULT["weekend"]).otherwise(comb * BRIDGE_MULT["workday"]), lab("puente_")),
+        ((F.col("_mes") == 10) & (F.col("_dow") == 6), F.when(pico, comb * OCT_SUNDAY_PEAK).otherwise(comb), lab("octubre_domingo_")),
+        ((F.col("_mes") == 11) & (F.col("_dow") == 6), F.when(pico, comb * NOV_SUNDAY_PEAK).otherwise(comb), lab("noviembre_domingo_")),
+    ]
     rules += [(pico, comb * PEAK_MULT, lab("hora_pico_")),
               (valle, comb * VALLEY_MULT, lab("hora_valle_")),
               (finde, comb, lab("fin_semana_"))]
@@ -137,7 +156,7 @@ def calendar_ladder(df: DataFrame, variant: str = "predict", featured: str = cal
     val, label = val.otherwise(comb), label.otherwise(lab("laborable_"))
     d = d.withColumns({"minutos_raw": val, "ajuste_aplicado": label})
     if variant == "lambda":
-        rescue = F.greatest((global_median if global_median is not None else F.col("global_median")) * 0.5, F.lit(5.0))
+        rescue = F.greatest((global_median if global_median is not None else F.col("global_median")) * RESCUE_SHARE, F.lit(RESCUE_FLOOR))
         final = clamp("minutos_raw", "lambda", rescue)
     else:
         final = clamp("minutos_raw", "serve")
@@ -150,11 +169,11 @@ def simple_adjust(df: DataFrame, featured: str = cal.FEATURED_RIDE) -> DataFrame
     -> mean of the two; else the model. Clamp [5, 180]. ``p90_mes`` may be NULL."""
     pred, p90 = F.col("pred_base"), F.col("p90_mes")
     feat = F.coalesce(F.col("atraccion").contains(featured), F.lit(False)) & (F.month("fecha") == 10)
-    val = (F.when(feat & p90.isNotNull(), F.greatest(pred, p90 * 0.8))
-           .when(p90.isNotNull() & (p90 > pred * 1.5), (pred + p90) / 2)
+    val = (F.when(feat & p90.isNotNull(), F.greatest(pred, p90 * SIMPLE_FEATURED_SHARE))
+           .when(p90.isNotNull() & (p90 > pred * SIMPLE_RATIO), (pred + p90) / 2)
            .otherwise(pred))
     lab = (F.when(feat & p90.isNotNull(), F.lit(FEATURED_LABEL + "_p90"))
-           .when(p90.isNotNull() & (p90 > pred * 1.5), F.lit("blend_p90_mes"))
+           .when(p90.isNotNull() & (p90 > pred * SIMPLE_RATIO), F.lit("blend_p90_mes"))
            .otherwise(F.lit("modelo_base")))
     return df.withColumns({"minutos_predichos": round_half_even(clamp(val, "serve"), 1), "ajuste_aplicado": lab})
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from waitcast.operators.quantiles import exact_percentiles
 from waitcast.operators.scalars import with_scalars
 
 # Fixed values of the reference.
@@ -56,16 +57,14 @@ def domain_filter(df: DataFrame, bounds: dict = DOMAIN) -> DataFrame:
 def quantile_bounds(df: DataFrame, col: str, lo: float, hi: float, exact: bool = True) -> DataFrame:
     """One-row frame with ``_lo``/``_hi`` quantiles of ``col``.
 
-    Exact mode pre-counts values (map-side) and uses the frequency form of
-    ``percentile``, so state is per distinct value, not per row.
+    Exact mode pre-counts values (map-side) and ranks them by value range over many tasks
+    (:mod:`waitcast.operators.quantiles`).
     """
     if exact:
         pre = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-        q = F.percentile(F.col(col), F.array(F.lit(lo), F.lit(hi)), F.col("_n"))
-    else:
-        pre = df
-        q = F.percentile_approx(F.col(col), F.array(F.lit(lo), F.lit(hi)), F.lit(10000))
-    return pre.agg(q.alias("_q")).select(F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
+        return exact_percentiles(pre, [], col, [lo, hi]).select(F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
+    q = F.percentile_approx(F.col(col), F.array(F.lit(lo), F.lit(hi)), F.lit(10000))
+    return df.agg(q.alias("_q")).select(F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
 
 
 def quantile_trim(df: DataFrame, col: str = "tiempo_espera", lo: float = 0.005, hi: float = 0.995,

@@ -20,7 +20,9 @@ DEDUP_KEYS = ["fecha", "hora", "atraccion"]
 
 def _pick(df: DataFrame, keys: list[str], order: list[str], last: bool) -> DataFrame:
     others = [c for c in df.columns if c not in keys]
-    ordkey = F.struct(*[F.col(c) for c in order]) if len(order) > 1 else F.col(order[0])
+    # a struct even for one column: min_by / max_by skip rows whose order value is NULL, and a struct never
+    # is. A row without a sequence loses against any row with one.
+    ordkey = F.struct(*[x for c in order for x in ((F.col(c).isNull() != F.lit(last)).alias(f"_null_{c}"), F.col(c))])
     row = F.struct(*[F.col(c) for c in others])
     agg = (F.max_by if last else F.min_by)(row, ordkey).alias("_r")
     out = df.groupBy(*keys).agg(agg)

@@ -65,12 +65,13 @@ def stratified_split(df: DataFrame, key: str, strata: list[str], train_frac: flo
               .withColumn("_need", F.col("_k") - F.col("_before"))
               .select(*strata, "_b", "_c", "_need"))
     from waitcast.operators.joins import size_checked_join
-    j = size_checked_join(d, cnt, [*strata, "_b"], "inner", materialize=True)
+    j = size_checked_join(d, cnt, [*strata, "_b"], "inner", materialize=True, null_safe=True)
+    # only the boundary bucket of each stratum is ranked; all other rows are decided where they are
+    whole = (F.col("_need") >= F.col("_c")) | (F.col("_need") <= 0)
     rank = F.row_number().over(Window.partitionBy(*strata, "_b").orderBy("_u", key))
-    is_train = (F.when(F.col("_need") >= F.col("_c"), F.lit(True))
-                .when(F.col("_need") <= 0, F.lit(False))
-                .otherwise(rank <= F.col("_need")))
-    return j.withColumn("is_train", is_train).drop("_u", "_b", "_c", "_need")
+    decided = j.where(whole).withColumn("is_train", F.col("_need") > 0)
+    ranked = j.where(~whole).withColumn("is_train", rank <= F.col("_need"))
+    return decided.unionByName(ranked).drop("_u", "_b", "_c", "_need")
 
 
 def target_mean_encoding(df: DataFrame, train: DataFrame, col: str, target: str = "tiempo_espera",
@@ -106,15 +107,26 @@ def _safe(v) -> str:
     return re.sub(r"[^0-9A-Za-z]+", "_", str(v)).strip("_")
 
 
+def one_hot_names(categories: list, col: str) -> dict[str, object]:
+    """Column name -> category, in sorted order; categories that clean to the same name get a number."""
+    names: dict[str, object] = {}
+    for v in sorted(categories):
+        base = name = f"{col}_{_safe(v)}"
+        i = 2
+        while name.lower() in {n.lower() for n in names}:
+            name, i = f"{base}_{i}", i + 1
+        names[name] = v
+    return names
+
+
 def one_hot(df: DataFrame, train: DataFrame, col: str) -> DataFrame:
     """M7: one int column per category seen in ``train``; unseen categories are all-zero.
 
     The category list (the domain, not the rows) is read on the driver, as
     ``StringIndexer`` does; use :func:`one_hot_vector` for the MLlib form.
     """
-    cats = sorted(r[0] for r in train.where(F.col(col).isNotNull()).select(col).distinct().collect())
-    return df.withColumns({f"{col}_{_safe(v)}": (F.col(col) == F.lit(v)).cast("int") for v in cats}) \
-        .fillna(0, subset=[f"{col}_{_safe(v)}" for v in cats])
+    cats = one_hot_names([r[0] for r in train.where(F.col(col).isNotNull()).select(col).distinct().collect()], col)
+    return df.withColumns({name: F.col(col).eqNullSafe(F.lit(v)).cast("int") for name, v in cats.items()})
 
 
 def one_hot_vector(train: DataFrame, col: str):

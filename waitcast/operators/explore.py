@@ -2,8 +2,8 @@
 
 All are single aggregations (map-side combined) over the readings; wide
 per-column statistics are computed in one ``agg`` and turned long with
-``stack`` rather than one job per column. Exact quantiles use ``percentile``
-(state per distinct value); pass ``exact=False`` for ``percentile_approx``.
+``stack`` rather than one job per column. Exact quantiles are ranked by value range
+(:mod:`waitcast.operators.quantiles`); pass ``exact=False`` for ``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from waitcast.operators.quantiles import exact_percentiles
 from waitcast.functions.labels import wait_class_rule
 from waitcast.operators.scalars import with_scalars
 
@@ -106,14 +107,12 @@ def box_summary(df: DataFrame, keys: list[str] | None = None, value: str = WAIT)
     keys = keys or []
     base = df.where(F.col(value).isNotNull())
     pre = base.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    g = pre.groupBy(*keys) if keys else pre.groupBy()
-    q = g.agg(F.percentile(F.col(value), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("_n")).alias("_q"))
-    q = q.select(*keys, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    q = exact_percentiles(pre, keys, value, [0.25, 0.5, 0.75]).select(*keys, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
     q = q.withColumns({"_lo": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
                        "_hi": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
     if keys:
         from waitcast.operators.joins import size_checked_join
-        j = size_checked_join(pre, q, keys, "inner", materialize=True)
+        j = size_checked_join(pre, q, keys, "inner", materialize=True, null_safe=True)
     else:
         j = with_scalars(pre, q)
     v = F.col(value)

@@ -9,9 +9,9 @@ anything is shuffled. Statistics then come from the counted rows:
 count/mean/std from weighted sums, and exact interpolated percentiles from a
 running count per group (a window partitioned by the group keys over one row
 per distinct value) followed by ``min(value where cum > rank)`` — declarative
-aggregates, no per-group object maps. Key-less (global) statistics use the
-frequency form of ``percentile`` so no window ever runs without a partition
-key. ``exact=False`` switches to ``percentile_approx`` (bounded memory).
+aggregates, no per-group object maps. Key-less (global) statistics rank by value
+range (:mod:`waitcast.operators.quantiles`), so no window runs over a whole table.
+``exact=False`` switches to ``percentile_approx`` (bounded memory).
 
 All six grains plus ride-only and global come from one pass
 (:func:`all_histories`) with GROUPING SETS over the pre-counted rows; the
@@ -24,6 +24,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from waitcast.operators.quantiles import exact_percentiles
+from waitcast.operators.scalars import with_scalars
+
 WAIT = "tiempo_espera"
 KEYS = ["atraccion", "mes", "hora_int", "dia_semana_num"]
 
@@ -57,32 +60,11 @@ def precount(df: DataFrame, keys: list[str], value: str = WAIT) -> DataFrame:
             .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")))
 
 
-def _weighted_stats(value: str, stats: list[str], exact: bool, suffix: str) -> list[Column]:
-    v, n = F.col(value), F.col("_n")
-    cnt = F.sum(n)
-    s1 = F.sum(v * n)
-    s2 = F.sum(v * v * n)
-    cols: list[Column] = []
-    pcts = [p for p in stats if p in _PCT]
-    if exact and pcts:
-        arr = F.percentile(v, F.array(*[F.lit(_PCT[p]) for p in pcts]), n)
-    for st in stats:
-        name = f"{st}_{suffix}" if suffix else st
-        if st == "count":
-            cols.append(cnt.alias(name))
-        elif st == "mean":
-            cols.append((s1 / cnt).alias(name))
-        elif st == "std":
-            var = F.greatest(F.lit(0.0), (s2 - s1 * s1 / cnt) / (cnt - 1))
-            cols.append(F.when(cnt > 1, F.sqrt(var)).alias(name))
-        elif st in _PCT:
-            if exact:
-                cols.append(arr[pcts.index(st)].alias(name))
-            else:
-                cols.append(F.percentile_approx(v, F.lit(_PCT[st]), F.lit(10000)).alias(name))
-        else:
-            raise ValueError(st)
-    return cols
+def _raw_stats(value: str, stats: list[str], suffix: str, quantile) -> list[Column]:
+    """Aggregates over raw rows; ``quantile(stat)`` gives a percentile's column."""
+    v = F.col(value)
+    plain = {"count": F.count(v), "mean": F.avg(v), "std": F.stddev_samp(v)}
+    return [(plain[st] if st in plain else quantile(st)).alias(f"{st}_{suffix}" if suffix else st) for st in stats]
 
 
 def stats_from_counts(pre: DataFrame, keys: list[str], stats: list[str], suffix: str = "",
@@ -99,9 +81,12 @@ def stats_from_counts(pre: DataFrame, keys: list[str], stats: list[str], suffix:
     assert keys, "use history() for key-less (global) statistics"
     v, n = F.col(value), F.col("_n")
     w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = pre.withColumns({"_cum": F.sum(n).over(w), "_tot": F.sum(n).over(Window.partitionBy(*keys))})
+    group = Window.partitionBy(*keys)
+    d = pre.withColumns({"_cum": F.sum(n).over(w), "_tot": F.sum(n).over(group), "_c": F.min(v).over(group)})
+    # sums around the group's smallest value: squares of raw values cancel when they are large
+    x = v - F.col("_c")
     pcts = [p for p in stats if p in _PCT]
-    aggs = [F.sum(n).alias("_cnt"), F.sum(v * n).alias("_s1"), F.sum(v * v * n).alias("_s2")]
+    aggs = [F.sum(n).alias("_cnt"), F.min("_c").alias("_c"), F.sum(x * n).alias("_s1"), F.sum(x * x * n).alias("_s2")]
     for p in pcts:
         h = (F.col("_tot") - 1) * F.lit(_PCT[p])
         aggs.append(F.min(F.when(F.col("_cum") > F.floor(h), v)).alias(f"_lo_{p}"))
@@ -114,7 +99,7 @@ def stats_from_counts(pre: DataFrame, keys: list[str], stats: list[str], suffix:
         if st == "count":
             out.append(cnt.alias(name))
         elif st == "mean":
-            out.append((s1 / cnt).alias(name))
+            out.append((F.col("_c") + s1 / cnt).alias(name))
         elif st == "std":
             out.append(F.when(cnt > 1, F.sqrt(F.greatest(F.lit(0.0), (s2 - s1 * s1 / cnt) / (cnt - 1)))).alias(name))
         elif st in _PCT:
@@ -128,16 +113,22 @@ def stats_from_counts(pre: DataFrame, keys: list[str], stats: list[str], suffix:
 
 def history(df: DataFrame, keys: list[str], stats: list[str], suffix: str = "",
             value: str = WAIT, exact: bool = True) -> DataFrame:
-    """Generic keyed history: pre-count, then weighted statistics."""
+    """Generic keyed history: pre-count, then weighted statistics; without keys, moments of the raw rows
+    and percentiles split over tasks (:mod:`waitcast.operators.quantiles`)."""
     if exact and keys:
         return stats_from_counts(precount(df, keys, value), keys, stats, suffix, value)
+    rows = df.where(F.col(value).isNotNull())
     if not exact:
-        # approximate quantiles need the raw rows; count/mean/std stay exact
-        pre = df.where(F.col(value).isNotNull()).withColumn("_n", F.lit(1))
-    else:
-        pre = precount(df, keys, value)
-    g = pre.groupBy(*keys) if keys else pre.groupBy()
-    return g.agg(*_weighted_stats(value, stats, exact, suffix))
+        return rows.groupBy(*keys).agg(*_raw_stats(value, stats, suffix, lambda st: F.percentile_approx(value, F.lit(_PCT[st]), F.lit(10000))))
+    pcts = [p for p in stats if p in _PCT]
+    moments = rows.agg(*_raw_stats(value, [s for s in stats if s not in _PCT], suffix, None))
+    q = exact_percentiles(precount(df, [], value), [], value, [_PCT[p] for p in pcts]) if pcts else None
+    named = {f"{p}_{suffix}" if suffix else p: i for i, p in enumerate(pcts)}
+    if q is None:
+        return moments
+    both = with_scalars(moments, q)
+    return both.select(*[(F.col("_q")[named[c]].alias(c) if c in named else F.col(c))
+                         for c in (f"{st}_{suffix}" if suffix else st for st in stats)])
 
 
 def grain_history(df: DataFrame, grain: str, stats: list[str] | None = None, exact: bool = True) -> DataFrame:
@@ -166,8 +157,8 @@ def all_histories(df: DataFrame, grains: list[str] | None = None, value: str = W
     2. GROUPING SETS over ``(grain keys, wait)`` summing ``n`` — a plain hash
        aggregate whose partial step collapses coarse grains right after the
        Expand, so the percentile stage never sees 9x the fine rows;
-    3. per (grain, keys): weighted count / mean / std and exact percentiles
-       with the frequency form of ``percentile``.
+    3. per (grain, keys): weighted count / mean / std and exact percentiles from running counts;
+       the global grain, one group of all rows, comes from :func:`history` without keys.
 
     Output is long: ``grain, atraccion, mes, hora_int, dia_semana_num, n, mean, std,
     p25, p50, p75, p90, p95``; keys outside the grain are NULL. The grain is tagged
@@ -176,6 +167,8 @@ def all_histories(df: DataFrame, grains: list[str] | None = None, value: str = W
     grains = grains or list(CASCADE_GRAINS)
     if not exact:
         return _all_histories_approx(df, grains, value, accuracy)
+    whole = "global" in grains
+    grains = [g for g in grains if g != "global"]
     pre = precount(df, KEYS, value)
     sets = [[F.col(k) for k in CASCADE_GRAINS[g]] + [F.col(value)] for g in grains]
     mid = (pre.groupingSets(sets, *KEYS, value)
@@ -188,8 +181,13 @@ def all_histories(df: DataFrame, grains: list[str] | None = None, value: str = W
             cond = cond & (F.col(f"_g_{k}") == (0 if k in ks else 1))
         tag = F.when(cond, F.lit(g)) if tag is None else tag.when(cond, F.lit(g))
     mid = mid.select(tag.alias("grain"), *KEYS, value, "_n")
-    out = stats_from_counts(mid, ["grain", *KEYS], ["count", "mean", "std", "p25", "median", "p75", "p90", "p95"],
-                            value=value)
+    wanted = ["count", "mean", "std", "p25", "median", "p75", "p90", "p95"]
+    out = stats_from_counts(mid, ["grain", *KEYS], wanted, value=value)
+    if whole:                  # one group of all rows: no window over it
+        types = {k: df.schema[k].dataType for k in KEYS}
+        one = history(df, [], wanted, value=value).where(F.col("count") > 0).select(
+            F.lit("global").alias("grain"), *[F.lit(None).cast(t).alias(k) for k, t in types.items()], *wanted)
+        out = out.unionByName(one)
     return out.select("grain", *KEYS, F.col("count").alias("n"), "mean", "std", "p25",
                       F.col("median").alias("p50"), "p75", "p90", "p95")
 
@@ -230,13 +228,12 @@ def column_percentiles(df: DataFrame, cols: list[str], probs: list[float], prefi
     """One row of exact interpolated percentiles for several columns in one pass.
 
     Columns are stacked to (column, value), pre-counted per distinct value
-    (map-side combined), and the frequency form of ``percentile`` runs per
-    column — the state is the number of distinct values of a column, not its
-    rows. Output columns are ``{prefix}{col}__{i}`` for the i-th probability.
+    (map-side combined), and ranked by value range over many tasks
+    (:mod:`waitcast.operators.quantiles`). Output columns are ``{prefix}{col}__{i}`` for the i-th probability.
     """
     stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
     long = df.selectExpr(f"stack({len(cols)}, {stack}) AS (_c, _v)").where(F.col("_v").isNotNull())
     pre = long.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    q = pre.groupBy("_c").agg(F.percentile(F.col("_v"), F.array(*[F.lit(p) for p in probs]), F.col("_n")).alias("_q"))
+    q = exact_percentiles(pre, ["_c"], "_v", probs)
     return q.agg(*[F.max(F.when(F.col("_c") == c, F.col("_q")[i])).alias(f"{prefix}{c}__{i}")
                    for c in cols for i in range(len(probs))])

@@ -12,6 +12,9 @@ handling applies). One-row global statistics are bound as scalar subqueries
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,21 +41,26 @@ def fits_broadcast(n_rows: int, df: DataFrame, limit: int = BROADCAST_LIMIT_BYTE
 
 def size_checked_join(left: DataFrame, right: DataFrame, on, how: str = "left",
                       n_rows: int | None = None, limit: int = BROADCAST_LIMIT_BYTES,
-                      materialize: bool = False) -> DataFrame:
+                      materialize: bool = False, null_safe: bool = False) -> DataFrame:
     """Join, broadcasting ``right`` only when its measured size is under ``limit``.
 
     ``n_rows`` is the measured row count of ``right`` (pass it when known; else it
     is counted). ``materialize=True`` first checkpoints ``right`` (an aggregate such
     as an encoding table) so it is computed once and the count is a cheap scan of
     the checkpoint. Beyond the limit the join is left to the planner (shuffle join,
-    AQE skew handling).
+    AQE skew handling). ``null_safe=True`` joins NULL keys with NULL keys.
     """
     if materialize:
         right = right.checkpoint(eager=True)
     if n_rows is None:
         n_rows = right.count()
-    r = F.broadcast(right) if fits_broadcast(n_rows, right, limit) else right
-    return left.join(r, on=on, how=how)
+    fits = fits_broadcast(n_rows, right, limit)
+    if not null_safe:
+        return left.join(F.broadcast(right) if fits else right, on=on, how=how)
+    keys = [on] if isinstance(on, str) else list(on)
+    r = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(F.broadcast(r) if fits else r, on=same, how=how).drop(*[f"_right_{k}" for k in keys])
 
 
 def grain_counts(hist: DataFrame) -> dict[str, int]:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from waitcast.functions.labels import CLASS_MINUTES, wait_class_rule
 from waitcast.operators.encode import hash_u32
+from waitcast.operators.joins import size_checked_join
 from waitcast.session import ensure_checkpoint_dir
 from waitcast.operators.scalars import with_scalars
 
@@ -96,7 +97,7 @@ def balance_classes(df: DataFrame, key: str, label: str = "clase") -> DataFrame:
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     mx = counts.agg(F.max("_nc").alias("_nmax"))
     ratios = with_scalars(counts, mx).select(label, (F.col("_nmax") / F.col("_nc")).alias("_r"))
-    j = df.join(F.broadcast(ratios), on=label, how="inner")
+    j = size_checked_join(df, ratios, label, "inner", materialize=True, null_safe=True)
     u = hash_u32(key, seed=104729) / F.lit(4294967296.0)
     copies = F.floor(F.col("_r")).cast("int") + (u < (F.col("_r") - F.floor(F.col("_r")))).cast("int")
     out = j.withColumn("_i", F.explode(F.sequence(F.lit(1), F.greatest(copies, F.lit(1)))))

@@ -51,7 +51,7 @@ def m9(spark, sf):
 
 def _gbt(spark, sf):
     _, ftr, fte, cols = _features(spark, sf)
-    model = TR.fitted_gbt(spark, f"orders:{sf}", ftr, cols)
+    model = TR.fitted_gbt(spark, ftr, cols)
     return model, fte, cols
 
 
@@ -139,7 +139,7 @@ def m22(spark, sf):
 def m23(spark, sf):
     """Requests -> features -> fitted GBT -> cascade -> blend -> ladder -> result record."""
     tr, ftr, _, cols = _features(spark, sf)
-    model = TR.fitted_gbt(spark, f"orders:{sf}", ftr, cols)
+    model = TR.fitted_gbt(spark, ftr, cols)
     o = tb.readings_orders(spark, sf).drop("tiempo_espera")
     req = S.prepare_requests(o)
     feats = TR.build_features(req, tr, FEATURED)
@@ -172,7 +172,7 @@ def m23_artifacts(spark, sf):
     record (the training metrics are computed on the held-out rows)."""
     from waitcast.sources import files as FS
     root = FS.staging_dir(spark, "artifacts")
-    TR.run_training(spark, tb.readings_orders(spark, sf), root, FEATURED, key=f"orders:{sf}").collect()
+    TR.run_training(spark, tb.readings_orders(spark, sf), root, FEATURED).collect()
     req = tb.readings_orders(spark, sf).drop("tiempo_espera")
     out = S.score_from_artifacts(spark, req, root, FEATURED)
     return rounded(B.result_record(out, keep=["row_id"], featured=FEATURED))

@@ -86,7 +86,8 @@ def scoring_sql(req_sql: str = REQ_ORDERS_SQL, variant: str = "predict", pair_ch
                 "(hora_eff < 10 or hora_eff > 18) valle, "
                 "espec0 in ('mes_hora_dia', 'hora_dia', 'mes_hora', 'hora') hourly from c3)")
     ctes.append("b2 as (select *, hourly and n_hist > 0 filled from b)")
-    ctes.append("b3 as (select *, filled and not ap and pico and p75_hist < 15 and n_hist < 20 low, "
+    low = "false" if variant == "train" else "filled and not ap and pico and p75_hist < 15 and n_hist < 20"
+    ctes.append(f"b3 as (select *, {low} low, "
                 "md_n is not null and md_p75 > p75_hist alt_md, "
                 "md_n is null and m_n is not null and m_p75 > p75_hist alt_m from b2)")
     ctes.append("b4 as (select *, case when filled and ap then (case when n_hist > 10 then p25_hist else p50_hist end) "
@@ -94,10 +95,11 @@ def scoring_sql(req_sql: str = REQ_ORDERS_SQL, variant: str = "predict", pair_ch
                 "when filled and pico then p75_hist when filled then p50_hist when hourly then p50_hist "
                 "when pico then p75_hist else p50_hist end hist_base from b3)")
 
-    def weights(i: int) -> str:
-        return (f"case when filled and ap then {_d(B.W_OPENING[i])} when low then (case when hist_base < 15 then "
-                f"{_d(B.W_LOW_STILL_LOW[i])} else {_d(B.W_LOW_RESCUED[i])} end) when filled and pico then {_d(B.W_PEAK[i])} "
-                f"when filled then {_d(B.W_OTHER[i])} when hourly then {_d(B.W_EMPTY[i])} else {_d(B.W_NO_HOURLY[i])} end")
+    def weights(i: int) -> str:  # written out, not taken from the code under test
+        opening, still_low, rescued, peak, other, empty, no_hourly = [
+            _d(w) for w in ((0.80, 0.30, 0.50, 0.70, 0.75, 0.60, 0.40), (0.20, 0.70, 0.50, 0.30, 0.25, 0.40, 0.60))[i]]
+        return (f"case when filled and ap then {opening} when low then (case when hist_base < 15 then {still_low} else {rescued} end) "
+                f"when filled and pico then {peak} when filled then {other} when hourly then {empty} else {no_hourly} end")
     ctes.append(f"b5 as (select *, {weights(0)} w_hist, {weights(1)} w_model, "
                 "case when low and alt_md then 'mes_dia_fallback' when low and alt_m then 'mes_fallback' "
                 "else espec0 end especificidad from b4)")
@@ -107,7 +109,7 @@ def scoring_sql(req_sql: str = REQ_ORDERS_SQL, variant: str = "predict", pair_ch
                 "from b6)")
     c, p, hb, p75 = "pred_combinada", "pred_base", "hist_base", "p75_hist"
     rules = [("ap", f"case when finde then {c} * {_d(0.5)} else {c} * {_d(0.6)} end", "'apertura_' || especificidad")]
-    if variant == "predict":
+    if variant != "train":
         rules.append(("feat",
                       f"case when finde and pico and ({p75} < 15 or {hb} < 15) then greatest({p} * {_d(1.5)}, {c} * {_d(1.4)}, {_d(25.0)}) "
                       f"when finde and pico then greatest({c} * {_d(1.3)}, {p75} * {_d(1.25)}, {hb} * {_d(1.35)}, {p} * {_d(1.25)}) "
@@ -116,14 +118,13 @@ def scoring_sql(req_sql: str = REQ_ORDERS_SQL, variant: str = "predict", pair_ch
                       f"when pico and {hb} < 15 then greatest({p} * {_d(1.35)}, {c} * {_d(1.25)}, {_d(20.0)}) "
                       f"when pico then greatest({c} * {_d(1.15)}, {hb} * {_d(1.2)}) "
                       f"else greatest({c} * {_d(1.1)}, {hb} * {_d(1.15)}) end",
-                      f"'{B.FEATURED_LABEL}_' || case when finde then 'fin_semana_' else 'laborable_' end || especificidad"))
-    elif variant == "train":
+                      f"'batman_octubre_' || case when finde then 'fin_semana_' else 'laborable_' end || especificidad"))
+    else:
         rules.append(("feat", f"case when pico then greatest({c}, {hb} * {_d(1.2)}) else greatest({c}, {hb} * {_d(1.1)}) end",
-                      f"'{B.FEATURED_LABEL}_' || especificidad"))
-    if variant in ("predict", "train"):
-        rules += [("puente", f"case when finde then {c} * {_d(1.15)} else {c} * {_d(1.1)} end", "'puente_' || especificidad"),
-                  ("mes_f = 10 and dow = 6", f"case when pico then {c} * {_d(1.1)} else {c} end", "'octubre_domingo_' || especificidad"),
-                  ("mes_f = 11 and dow = 6", f"case when pico then {c} * {_d(1.08)} else {c} end", "'noviembre_domingo_' || especificidad")]
+                      f"'batman_octubre_' || especificidad"))
+    rules += [("puente", f"case when finde then {c} * {_d(1.15)} else {c} * {_d(1.1)} end", "'puente_' || especificidad"),
+              ("mes_f = 10 and dow = 6", f"case when pico then {c} * {_d(1.1)} else {c} end", "'octubre_domingo_' || especificidad"),
+              ("mes_f = 11 and dow = 6", f"case when pico then {c} * {_d(1.08)} else {c} end", "'noviembre_domingo_' || especificidad")]
     rules += [("pico", f"{c} * {_d(1.05)}", "'hora_pico_' || especificidad"),
               ("valle", f"{c} * {_d(0.9)}", "'hora_valle_' || especificidad"),
               ("finde", c, "'fin_semana_' || especificidad")]
@@ -211,14 +212,14 @@ def b4(spark, sf):
 @query("b5_ladder_train_variant", scoring_sql(variant="train") +
        "select row_id, minutos_predichos, ajuste_aplicado from fin")
 def b5(spark, sf):
-    """Milder featured-ride rule of the training script."""
+    """Milder featured-ride rule of the training script, and no low-history fallback."""
     return rounded(_score(spark, sf, variant="train").select("row_id", "minutos_predichos", "ajuste_aplicado"))
 
 
 @query("b4_ladder_lambda_variant", scoring_sql(variant="lambda", pair_check=True) +
        "select row_id, minutos_predichos, ajuste_aplicado, especificidad from fin")
 def b4l(spark, sf):
-    """Serverless variant: pair check, short ladder, clamp [1,180] with low rescue."""
+    """Serverless variant: pair check, the full ladder, clamp [1,180] with low rescue."""
     return rounded(_score(spark, sf, variant="lambda", pair_check=True)
                    .select("row_id", "minutos_predichos", "ajuste_aplicado", "especificidad"))
 
@@ -233,7 +234,7 @@ r as (select o.row_id, o.atraccion, o.fecha, coalesce(enc.m, gm.g) pred, hm.p90_
       cross join gm left join hm on hm.atraccion = o.atraccion and hm.mes = month(o.fecha)),
 r2 as (select *, coalesce(contains(atraccion, '{FEATURED}'), false) and month(fecha) = 10 and p90_mes is not null feat from r)
 select row_id, {PR("least(180.0, greatest(5.0, case when feat then greatest(pred, p90_mes * 0.8) when p90_mes > pred * 1.5 then (pred + p90_mes) / 2 else pred end))", 1)} minutos_predichos,
-       case when feat then '{B.FEATURED_LABEL}_p90' when p90_mes > pred * 1.5 then 'blend_p90_mes' else 'modelo_base' end ajuste_aplicado
+       case when feat then 'batman_octubre_p90' when p90_mes > pred * 1.5 then 'blend_p90_mes' else 'modelo_base' end ajuste_aplicado
 from r2""")
 def b6(spark, sf):
     """Plain model adjusted by the ride-month p90 (notebook variant)."""

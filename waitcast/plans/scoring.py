@@ -9,6 +9,7 @@ oracle checks).
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -76,38 +77,38 @@ def materialized_histories(train: DataFrame) -> DataFrame:
 
 def score(requests: DataFrame, train: DataFrame, predict: Callable[[DataFrame], DataFrame] | None = None,
           variant: str = "predict", featured: str = cal.FEATURED_RIDE, pair_check: bool = False,
-          hist: DataFrame | None = None) -> DataFrame:
+          hist: DataFrame | None = None, today: str | None = None) -> DataFrame:
     """Score every request. ``train`` must hold prepared rows (see :func:`prepare_training`);
-    ``hist`` is a materialised history table (artifact); computed and checkpointed when absent."""
-    from waitcast.sources.tables import ensure_parallelism
-    req = prepare_requests(ensure_parallelism(requests))
+    ``hist`` is a materialised history table (artifact); computed and checkpointed when absent.
+    ``today`` replaces bad dates (F26); without it they stay NULL."""
+    req = prepare_requests(requests, today=today)
     hist = hist if hist is not None else materialized_histories(train)
     predict = predict or stand_in_model(train)
     c = CA.cascade(predict(req), hist, pair_check=pair_check)
-    b = B.history_base(c)
+    b = B.history_base(c, low_fallback=variant != "train")
     return B.calendar_ladder(b, variant=variant, featured=featured)
 
 
 def score_from_artifacts(spark, requests: DataFrame, root: str, featured: str = cal.FEATURED_RIDE,
-                         variant: str = "predict") -> DataFrame:
+                         variant: str = "predict", today: str | None = None) -> DataFrame:
     """Serving path re-aimed to tables (M23 with S12/S11): load the artifacts written by
     :func:`waitcast.plans.training.run_training`, build the request features against the
     saved training rows, align them to the saved column list (M22), predict with the saved
     pipeline, then cascade, blend and ladder. Only the column list (one row per feature)
-    is read on the driver."""
+    is read on the driver. Request defaults are F26's: a bad date becomes ``today`` (by default the
+    day of the call), a bad hour 12.0, a missing weather code 3, missing feels-like the temperature."""
     from waitcast.operators import model as MD
     from waitcast.plans import training as TR
     from waitcast.sources import files as FS
-    from waitcast.sources.tables import ensure_parallelism
 
     tr = spark.read.parquet(f"{root}/train_rows")
     hist = spark.read.parquet(f"{root}/histories")
     cols = [r["feature"] for r in spark.read.parquet(f"{root}/columns").orderBy("pos").collect()]
     model = FS.load_pipeline(f"{root}/pipeline")
-    req = prepare_requests(ensure_parallelism(requests))
-    feats = TR.build_features(req, tr, featured)
+    req = prepare_requests(requests, today=today or str(datetime.date.today()))
+    feats = TR.build_features(req, tr, featured, serving=True)
     g = H.global_stats(tr).select("mean", "median", "std", "p75", "p90", "p95")
     feats = MD.align_columns(feats, cols, g)
     scored = model.transform(feats).drop("features_raw", "features")
     c = CA.cascade(scored, hist)
-    return B.calendar_ladder(B.history_base(c), variant=variant, featured=featured)
+    return B.calendar_ladder(B.history_base(c, low_fallback=variant != "train"), variant=variant, featured=featured)

@@ -22,9 +22,11 @@ WEATHER = ["temperatura", "humedad", "codigo_clima"]
 _NUM = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 
 
-def build_features(df: DataFrame, train: DataFrame, featured: str = FEATURED_RIDE) -> DataFrame:
+def build_features(df: DataFrame, train: DataFrame, featured: str = FEATURED_RIDE, serving: bool = False) -> DataFrame:
     """All model features for ``df`` (prepared rows with fecha, hora_num, atraccion, zona,
-    weather columns), with every data-dependent piece fitted on ``train``."""
+    weather columns), with every data-dependent piece fitted on ``train``. ``serving``: rows are
+    requests, whose missing weather code takes the fixed default, not the median (F26). Missing
+    feels-like is the temperature."""
     from waitcast.functions.fill import REQUEST_DEFAULTS
     from waitcast.operators.history import column_percentiles
     # requests may come without weather: absent columns are NULL and take the training median;
@@ -36,11 +38,11 @@ def build_features(df: DataFrame, train: DataFrame, featured: str = FEATURED_RID
         med = column_percentiles(train, in_train, [0.5], prefix="_m_")    # one row
         d = with_scalars(d, med)
     fills = {c: F.coalesce(F.col(c).cast("double"),
-                           F.col(f"_m_{c}__0") if c in in_train else F.lit(float(REQUEST_DEFAULTS[c])))
+                           F.col(f"_m_{c}__0") if c in in_train and not (serving and c == "codigo_clima") else F.lit(float(REQUEST_DEFAULTS[c])))
              for c in WEATHER}
     d = d.withColumns(fills).drop(*[f"_m_{c}__0" for c in in_train])
-    if "sensacion_termica" not in d.columns:
-        d = d.withColumn("sensacion_termica", F.lit(0.0))
+    felt = [F.col("sensacion_termica").cast("double")] if "sensacion_termica" in d.columns else []
+    d = d.withColumn("sensacion_termica", F.coalesce(*felt, F.col("temperatura")))
     d = calendar_features(d, hora="hora_num", featured=featured)
     tr = calendar_features(train, hora="hora_num", featured=featured)
     d = J.fill_by_family(J.attach_histories(d, tr), tr)
@@ -62,21 +64,14 @@ def feature_columns(features: DataFrame) -> list[str]:
             if isinstance(f.dataType, _NUM) and f.name not in NON_FEATURES]
 
 
-_MODELS: dict = {}
-
-
-def fitted_gbt(spark: SparkSession, key: str, train_features: DataFrame, cols: list[str],
-               config: str = "spark_100_005_8"):
-    """Fit (memoised per session, data key and config) the M8+M9+M10 pipeline."""
-    k = (spark.sparkContext.applicationId, key, config)
-    if k not in _MODELS:
-        tr = train_features.where(F.col("tiempo_espera").isNotNull())
-        _MODELS[k] = MD.fit_pipeline(spark, tr, cols, MD.gbt(config))
-    return _MODELS[k]
+def fitted_gbt(spark: SparkSession, train_features: DataFrame, cols: list[str], config: str = "spark_100_005_8"):
+    """Fit the M8+M9+M10 pipeline on the rows that have a wait."""
+    tr = train_features.where(F.col("tiempo_espera").isNotNull())
+    return MD.fit_pipeline(spark, tr, cols, MD.gbt(config))
 
 
 def run_training(spark: SparkSession, readings: DataFrame, root: str, featured: str = FEATURED_RIDE,
-                 config: str = "spark_100_005_8", key: str | None = None) -> DataFrame:
+                 config: str = "spark_100_005_8") -> DataFrame:
     """End-to-end training job (the reference's training script as one Spark plan).
 
     Hash split (M1) -> training rows (median hour fill) / held-out rows -> features fitted
@@ -96,7 +91,7 @@ def run_training(spark: SparkSession, readings: DataFrame, root: str, featured:
     tr, te = S.prepare_training(raw_tr).checkpoint(eager=True), S.prepare_requests(raw_te)
     ftr, fte = build_features(tr, tr, featured), build_features(te, tr, featured)
     cols = feature_columns(ftr)
-    model = fitted_gbt(spark, key or root, ftr, cols, config)
+    model = fitted_gbt(spark, ftr, cols, config)
     colframe = spark.createDataFrame(list(enumerate(cols)), "pos int, feature string")
     FS.save_artifacts({"histories": H.all_histories(tr), "train_rows": tr, "columns": colframe}, root)
     FS.save_pipeline(model, f"{root}/pipeline")

@@ -39,13 +39,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the shared folder named in ``spark.checkpoint.dir``; invent one only when unset (tests)."""
+    """Use the shared folder named in ``spark.checkpoint.dir``; invent one only when unset (tests).
+
+    A machine-local folder would be lost with its executor, so off a local master an unset folder
+    is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="waitcast-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return conf_dir

@@ -104,7 +104,7 @@ def build_weather_replies(hourly: DataFrame) -> DataFrame:
 
 # ---- S7: chart pages -------------------------------------------------------
 
-_CHART_RE = r'"chart-1",\s*(\[.*\])\s*,\s*\{"colors"'
+_CHART_RE = r'(?s)"chart-1",\s*(\[.*\])\s*,\s*\{"colors"'
 
 
 def extract_chart_series(pages: DataFrame, html_col: str = "html") -> DataFrame:

@@ -12,19 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan over at least ``min_partitions`` tasks (default: the session's
-    parallelism). A file with a single row group is one split however much per-row
-    work follows; such inputs are small, so one round-robin shuffle of them is cheap.
-    Inputs that already have enough splits (any cluster-scale table) are returned
-    unchanged. Used before row-heavy stages (batch scoring); aggregations do not need
-    it because their partial step is cheap and the shuffle spreads the rest."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

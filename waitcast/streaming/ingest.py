@@ -10,7 +10,7 @@ same flow is a file stream:
       (keep-first; bounded state);
 * X3  keep-last merge into the curated table inside ``foreachBatch``: only the
       date-range partitions present in the micro-batch are read, merged and
-      overwritten (dynamic partition overwrite), so a tick costs O(batch), not
+      overwritten (dynamic partition overwrite, set on the write), so a tick costs O(batch), not
       O(table). A replayed batch id is a no-op (idempotent sink);
 * X4  the batch cleaning/enrichment chain applied to each micro-batch;
 * X5  stream-static left joins (weather, histories);
@@ -80,7 +80,7 @@ class CuratedMerge:
     ``partition_format`` sets the grain). Each micro-batch:
     de-duplicate the batch (keep last by ``seq``), read only the curated
     partitions of the batch's dates, merge, checkpoint, and overwrite just
-    those partitions. A marker file per batch id makes a replayed batch a no-op.
+    those partitions. The id of the last batch is kept, so a replayed batch is a no-op.
 
     ``prefer="seq"`` (default) keeps the row with the largest ``seq`` whatever
     batch it came in: the result does not depend on file arrival order.
@@ -97,30 +97,36 @@ class CuratedMerge:
         # of thousands of small daily ones
         self.partition_format = partition_format
 
-    def _done_marker(self, batch_id: int) -> str:
-        return f"{self.path}/_batches/{batch_id:010d}"
+    def _last_batch(self, spark: SparkSession) -> int:
+        marker = f"{self.path}/_last_batch"
+        if not _exists(spark, marker):
+            return -1
+        return spark.read.schema("batch_id long").parquet(marker).agg(F.max("batch_id")).first()[0]
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        marker = self._done_marker(batch_id)
-        if _exists(spark, marker):
+        if batch_id <= self._last_batch(spark):
             return
         b = self.transform(batch) if self.transform else batch
         b = D.keep_last(b, self.keys, self.seq)
-        b = b.withColumn("_part", F.date_format("fecha", self.partition_format))
-        parts = b.select("_part").distinct()
+        b = b.withColumn("_part", F.date_format("fecha", self.partition_format)).checkpoint(eager=True)
+        # partition names, not rows: the days (or months) of one micro-batch
+        parts = [r[0] for r in b.select("_part").distinct().collect()]
         if _exists(spark, f"{self.path}/data"):
-            cur = spark.read.parquet(f"{self.path}/data").join(F.broadcast(parts), "_part", "left_semi")
+            touched = F.col("_part").cast("string").isin([p for p in parts if p is not None])
+            if None in parts:            # rows without a date have a partition too
+                touched = F.coalesce(touched, F.lit(True))
+            cur = spark.read.parquet(f"{self.path}/data").where(touched).withColumn("_part", F.col("_part").cast("string"))
             if self.prefer == "arrival":
                 merged = D.precedence_merge([cur.select(*b.columns), b], self.keys, self.seq)
             else:
                 merged = D.keep_last(D.union_aligned(cur.select(*b.columns), b), self.keys, self.seq)
+            merged = merged.checkpoint(eager=True)
         else:
             merged = b
-        merged = merged.checkpoint(eager=True)
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        merged.write.mode("overwrite").partitionBy("_part").parquet(f"{self.path}/data")
-        spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("overwrite").parquet(marker)
+        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_part")
+         .parquet(f"{self.path}/data"))
+        spark.createDataFrame([(batch_id,)], "batch_id long").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_last_batch")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
