@@ -54,11 +54,15 @@ def exact_duplicate_groups(df: DataFrame) -> DataFrame:
 def exact_duplicate_members(df: DataFrame) -> DataFrame:
     """D3: every member of a group of identical rows (``duplicated(keep=False)``).
 
-    Members are identical, so they are regenerated from (row, n) — the
-    grouping combines map-side and no group is ever gathered into one task.
+    Members are identical, so they are regenerated from (row, n): the grouping combines
+    map-side, and a large group is cut into pieces of at most 1,024 members that are dealt
+    out before they are expanded, so neither a task nor an array holds a whole group.
     """
+    piece = 1024
     g = exact_duplicate_groups(df)
-    return g.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("n")))).drop("_i", "n")
+    starts = g.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(piece))))
+    dealt = starts.withColumn("_m", F.least(F.col("n") - F.col("_i"), F.lit(piece))).repartition(F.xxhash64(*df.columns, "_i"))
+    return dealt.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_m")))).select(*df.columns)
 
 
 def exact_duplicate_count(df: DataFrame) -> DataFrame:
@@ -97,5 +101,7 @@ def append_keep_latest(existing: DataFrame, new: DataFrame, keys: list[str] = DE
 
 
 def columnwise_append(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """U4: attach the columns of an aligned frame by key (no positional zip)."""
-    return left.join(right, on=keys, how="left")
+    """U4: attach the columns of an aligned frame by key (no positional zip); the right side is measured
+    before it is broadcast."""
+    from waitcast.operators.joins import size_checked_join
+    return size_checked_join(left, right, keys, "left", materialize=True)

@@ -115,22 +115,48 @@ def fill_by_family(df: DataFrame, train: DataFrame, value: str = WAIT) -> DataFr
     return j.withColumns(fills).drop(*g.columns)
 
 
-def attach_weather(df: DataFrame, weather: DataFrame, keys=("fecha", "hora_int")) -> DataFrame:
-    """Attach hourly weather on (date, hour); one weather row per key."""
-    return df.join(weather, on=list(keys), how="left")
+WEATHER_COLS = ["temperatura", "humedad", "codigo_clima", "sensacion_termica"]
+
+
+def one_row_per_key(df: DataFrame, keys) -> DataFrame:
+    """One row per key: repeats would multiply readings. Of several, the largest by its columns in order stays."""
+    others = [c for c in df.columns if c not in keys]
+    if not others:
+        return df.distinct()
+    return df.groupBy(*keys).agg(F.max(F.struct(*others)).alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others])
 
 
-WEATHER_COLS = ["temperatura", "humedad", "codigo_clima"]
+def weather_table(weather: DataFrame, keys=("fecha", "hora_int")) -> tuple[DataFrame, int]:
+    """The weather, one row per key, written once (checkpoint), and its measured row count: the static side of
+    batch joins and of every micro-batch of a stream."""
+    w = one_row_per_key(weather, list(keys)).checkpoint(eager=True)
+    return w, w.count()
+
+
+def attach_weather(df: DataFrame, weather: DataFrame, keys=("fecha", "hora_int")) -> DataFrame:
+    """Attach the columns of an hourly weather table on (date, hour); repeated keys count once."""
+    w, n = weather_table(weather, keys)
+    return size_checked_join(df, w, list(keys), "left", n_rows=n)
 
 
 def fill_missing_weather(df: DataFrame, weather: DataFrame, keys=("fecha", "hora_int"),
-                         cols=WEATHER_COLS, gate: str = "temperatura") -> DataFrame:
-    """Only rows whose ``gate`` column is NULL take weather; all columns move together."""
+                         cols=None, gate: str = "temperatura", n_rows: int | None = None) -> DataFrame:
+    """Only rows whose ``gate`` column is NULL take weather; all columns move together.
+
+    ``cols`` defaults to the weather columns that both tables have. Only rows that miss weather enter the join.
+    ``n_rows``: ``weather`` comes from :func:`weather_table`; else it is prepared here.
+    """
+    if n_rows is None:
+        weather, n_rows = weather_table(weather, keys)
+    cols = list(cols) if cols is not None else [c for c in WEATHER_COLS if c in weather.columns and c in df.columns]
     w = weather.select(*keys, *[F.col(c).alias(f"_w_{c}") for c in cols])
-    j = df.join(w, on=list(keys), how="left")
-    missing = F.col(gate).isNull()
-    return j.withColumns({c: F.when(missing, F.col(f"_w_{c}")).otherwise(F.col(c)) for c in cols}) \
-        .drop(*[f"_w_{c}" for c in cols])
+    if df.isStreaming:          # one read of the stream: the gate is in the projection
+        j = size_checked_join(df, w, list(keys), "left", n_rows=n_rows)
+        fills = {c: F.when(F.col(gate).isNull(), F.col(f"_w_{c}")).otherwise(F.col(c)) for c in cols}
+        return j.withColumns(fills).select(*df.columns)
+    need = size_checked_join(df.where(F.col(gate).isNull()), w, list(keys), "left", n_rows=n_rows)
+    need = need.withColumns({c: F.col(f"_w_{c}").cast(df.schema[c].dataType) for c in cols}).select(*df.columns)
+    return df.where(F.col(gate).isNotNull()).unionByName(need)
 
 
 def weather_keys_needed(df: DataFrame, weather: DataFrame, keys=("fecha", "hora_int"),

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from waitcast.operators import joins as J
 from waitcast.functions import calendar as cal
 from waitcast.functions.hours import parse_hour
 from waitcast.operators import history as H
@@ -201,12 +202,12 @@ def x4(spark, sf):
     weather fill (J4 against a static table, X5) -> season (F7 c) -> keep-last merge (X3)."""
     d = FS.staging_dir(spark, "orders-in")
     tb.readings_orders(spark, sf).repartition(6).write.json(d)
-    weather = tb.weather_hourly(spark, sf)
+    weather, n_weather = J.weather_table(tb.weather_hourly(spark, sf))
 
     def chain(batch):
         b = X.clean_batch(batch)
         b = b.withColumn("hora_int", parse_hour("hora", default=12.0).cast("int"))
-        b = X.enrich_static(b, weather)
+        b = X.enrich_static(b, weather, n_rows=n_weather)
         b = b.withColumns({"dia_semana": cal.day_name("fecha"), "mes": F.month("fecha"),
                            "fin_de_semana": F.weekday("fecha").isin(5, 6),
                            "temporada": cal.season(F.month("fecha"), "c")})

@@ -38,7 +38,7 @@ def s4(spark, sf):
 
 @query("s6_weather_flatten", f"""
 select fecha, hora_int, temperatura, cast(trunc(humedad) as double) humedad,
-       round(temperatura - 1.5, 6) sensacion_termica, codigo_clima from {WH_SQL}""")
+       sensacion_termica, codigo_clima from {WH_SQL}""")
 def s6(spark, sf):
     """Hourly weather replies (parallel arrays, one per date) -> one row per hour."""
     replies = N.build_weather_replies(tb.weather_hourly(spark, sf))
@@ -76,30 +76,33 @@ def a27(spark, sf):
 
 
 @query("j3_attach_weather", f"""
-select r.row_id, r.fecha, r.hora_int, w.temperatura w_temperatura, w.humedad w_humedad, w.codigo_clima w_codigo
+select r.row_id, r.fecha, r.hora_int, w.temperatura w_temperatura, w.humedad w_humedad, w.codigo_clima w_codigo, w.sensacion_termica w_sensacion
 from {RO_HI_SQL} r left join {WH_SQL} w using (fecha, hora_int)""")
 def j3(spark, sf):
     w = tb.weather_hourly(spark, sf).select("fecha", "hora_int", F.col("temperatura").alias("w_temperatura"),
-                                            F.col("humedad").alias("w_humedad"), F.col("codigo_clima").alias("w_codigo"))
+                                            F.col("humedad").alias("w_humedad"), F.col("codigo_clima").alias("w_codigo"), F.col("sensacion_termica").alias("w_sensacion"))
     return J.attach_weather(_orders_hi(spark, sf).select("row_id", "fecha", "hora_int"), w)
 
 
 @query("j4_fill_missing_weather", f"""
 select r.row_id, case when r.temperatura is null then w.temperatura else r.temperatura end temperatura,
        case when r.temperatura is null then w.humedad else r.humedad end humedad,
-       case when r.temperatura is null then w.codigo_clima else r.codigo_clima end codigo_clima
+       case when r.temperatura is null then w.codigo_clima else r.codigo_clima end codigo_clima,
+       case when r.temperatura is null then w.sensacion_termica else r.temperatura - 1 end sensacion_termica
 from {RO_HI_SQL} r left join {WH_SQL} w using (fecha, hora_int)""")
 def j4(spark, sf):
     r = _orders_hi(spark, sf).select("row_id", "fecha", "hora_int", "temperatura", "humedad", "codigo_clima")
-    out = J.fill_missing_weather(r, tb.weather_hourly(spark, sf))
-    return out.select("row_id", "temperatura", "humedad", "codigo_clima")
+    r = r.withColumn("sensacion_termica", F.col("temperatura") - 1)
+    return J.fill_missing_weather(r, tb.weather_hourly(spark, sf)).drop("fecha", "hora_int")
 
 
 @query("j5_weather_keys_needed", f"""
 select distinct fecha, hora_int from {RO_HI_SQL} r where temperatura is null
-and not exists (select 1 from {WH_SQL} w where w.fecha = r.fecha and w.hora_int = r.hora_int)""")
+and not exists (select 1 from {WH_SQL} w where w.fecha = r.fecha and w.hora_int = r.hora_int and w.fecha < date '2000-01-01')""")
 def j5(spark, sf):
-    return J.weather_keys_needed(_orders_hi(spark, sf), tb.weather_hourly(spark, sf))
+    """J5 against a weather table that ends with 1999: the keys still to fetch."""
+    known = tb.weather_hourly(spark, sf).where(F.col("fecha") < F.to_date(F.lit("2000-01-01")))
+    return J.weather_keys_needed(_orders_hi(spark, sf), known)
 
 
 @query("p19_missing_weather", "select row_id, fecha from @RO where temperatura is null")

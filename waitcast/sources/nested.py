@@ -94,7 +94,7 @@ def build_weather_replies(hourly: DataFrame) -> DataFrame:
                  F.lit(":00"))
     e = F.struct(F.col("hora_int").alias("h"), t.alias("time"), F.col("temperatura").alias("temperature_2m"),
                  F.col("humedad").cast("int").alias("relative_humidity_2m"),
-                 (F.col("temperatura") - 1.5).alias("apparent_temperature"),
+                 F.col("sensacion_termica").alias("apparent_temperature"),
                  F.col("codigo_clima").alias("weathercode"))
     g = hourly.groupBy("fecha").agg(F.sort_array(F.collect_list(e)).alias("_e"))
     hourly_struct = F.struct(*[F.col("_e." + f).alias(f) for f in

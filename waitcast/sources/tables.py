@@ -73,14 +73,15 @@ def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (li.groupBy(F.to_date("l_shipdate").alias("fecha"))
             .agg(F.round(F.avg("l_quantity"), 6).alias("temperatura"),
                  F.round(F.avg("l_discount") * 1000, 6).alias("humedad"),
-                 (F.count(F.lit(1)) % 5 + 1).cast("int").alias("codigo_clima")))
+                 (F.count(F.lit(1)) % 5 + 1).cast("int").alias("codigo_clima"),
+                 F.round(F.round(F.avg("l_quantity"), 6) - 1.5, 6).alias("sensacion_termica")))
 
 
 def weather_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily weather crossed with the 24 hours of the day (generate, not a join)."""
     w = weather_daily(spark, sf_dir)
     return w.select("fecha", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hora_int"),
-                    "temperatura", "humedad", "codigo_clima")
+                    "temperatura", "humedad", "codigo_clima", "sensacion_termica")
 
 
 # DuckDB twins of the mappings (views are pre-registered by the oracle runner).
@@ -110,6 +111,7 @@ SQL = {
         from lineitem""",
     "weather_daily": """
         select cast(l_shipdate as date) fecha, round(avg(l_quantity), 6) temperatura,
-               round(avg(l_discount) * 1000, 6) humedad, cast(count(*) % 5 + 1 as integer) codigo_clima
+               round(avg(l_discount) * 1000, 6) humedad, cast(count(*) % 5 + 1 as integer) codigo_clima,
+               round(round(avg(l_quantity), 6) - 1.5, 6) sensacion_termica
         from lineitem group by 1""",
 }

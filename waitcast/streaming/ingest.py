@@ -61,11 +61,13 @@ def tick_rollup(stream: DataFrame, event_time: str = "ts", delay: str = "30 minu
                  F.max("tiempo_espera").alias("max_wait")))
 
 
-def enrich_static(stream: DataFrame, weather: DataFrame | None = None, keys=("fecha", "hora_int")) -> DataFrame:
-    """Stream-static enrichment (weather only where missing, J4)."""
+def enrich_static(stream: DataFrame, weather: DataFrame | None = None, keys=("fecha", "hora_int"),
+                  n_rows: int | None = None) -> DataFrame:
+    """Stream-static enrichment (weather only where missing, J4). Inside ``foreachBatch`` pass the table and
+    the count of ``joins.weather_table``, so that the static side is not computed for each micro-batch."""
     if weather is None:
         return stream
-    return J.fill_missing_weather(stream, weather, keys)
+    return J.fill_missing_weather(stream, weather, keys, n_rows=n_rows)
 
 
 def clean_batch(batch: DataFrame) -> DataFrame:
