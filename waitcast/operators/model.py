@@ -49,10 +49,12 @@ def scaler(inp: str = "features_raw", out: str = "features") -> StandardScaler:
     return StandardScaler(inputCol=inp, outputCol=out, withMean=True, withStd=True)
 
 
-def gbt(config: str = "spark_100_005_8", label: str = "tiempo_espera", seed: int = 42) -> GBTRegressor:
-    """Gradient-boosted trees with one of the reference's configurations."""
+def gbt(config: str = "spark_100_005_8", label: str = "tiempo_espera", seed: int = 42, iterations: int | None = None) -> GBTRegressor:
+    """Gradient-boosted trees with one of the reference's configurations; ``iterations``
+    replaces its number of trees."""
+    params = GBT_CONFIGS[config] | ({"maxIter": iterations} if iterations else {})
     return GBTRegressor(featuresCol="features", labelCol=label, predictionCol="pred_base", seed=seed,
-                        cacheNodeIds=True, checkpointInterval=10, **GBT_CONFIGS[config])
+                        cacheNodeIds=True, checkpointInterval=10, **params)
 
 
 def random_forest(label: str = "clase_min") -> RandomForestRegressor:

@@ -1,5 +1,5 @@
-"""Model queries (M8-M13, M21, M22, M23 with the fitted model, K2). Rows-only checks:
-model outputs have no SQL twin."""
+"""Model queries (M8-M13, M21, M22, M23 with the fitted model, K2). Model outputs have no SQL twin;
+the queries named facts, and S11 and M23, return what must hold for any sound fit."""
 
 from __future__ import annotations
 
@@ -13,7 +13,9 @@ from waitcast.operators import history as H
 from waitcast.operators import model as MD
 from waitcast.plans import scoring as S
 from waitcast.plans import training as TR
+from waitcast.operators.scalars import with_scalars
 from waitcast.plans.catalog import query, rounded
+from waitcast.plans.queries_history import SPLIT_SQL
 from waitcast.sources import tables as tb
 
 FEATURED = "1-URGENT"
@@ -49,10 +51,17 @@ def m9(spark, sf):
     return MD.as_array(sc.transform(a.transform(fte)), "features").select("row_id", "features")
 
 
+_FITTED: dict = {}
+
+
 def _gbt(spark, sf):
-    _, ftr, fte, cols = _features(spark, sf)
-    model = TR.fitted_gbt(spark, ftr, cols)
-    return model, fte, cols
+    """Model, test features and columns. Several queries look at the same model of the same read-only tables, so
+    within an application it is fitted once for each ``sf``; the library's own fit never remembers anything."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FITTED:
+        _, ftr, fte, cols = _features(spark, sf)
+        _FITTED[key] = TR.fitted_gbt(spark, ftr, cols), fte, cols
+    return _FITTED[key]
 
 
 @query("m10_gbt_regressor")
@@ -73,6 +82,32 @@ def m10m(spark, sf):
     return rounded(regression_metrics(p))
 
 
+@query("m10_gbt_facts", f"select count(tiempo_espera) n, true beats_the_mean, true finite from @RO where {SPLIT_SQL}")
+def m10f(spark, sf):
+    """What any sound fit must show on the rows it was fitted on: a finite prediction for every row, and an
+    error below that of their mean."""
+    model, _, _ = _gbt(spark, sf)
+    tr, ftr, _, _ = _features(spark, sf)
+    p = model.transform(ftr).select(F.col("tiempo_espera").alias("y"), F.col("pred_base").alias("pred")).where("y IS NOT NULL")
+    p = with_scalars(p, tr.agg(F.avg("tiempo_espera").alias("mean")))
+    return p.agg(F.count("pred").alias("n"), (F.avg(F.pow(F.col("y") - F.col("pred"), 2)) < F.avg(F.pow(F.col("y") - F.col("mean"), 2))).alias("beats_the_mean"),
+                 F.every(~F.isnan("pred") & (F.abs("pred") < 1e9)).alias("finite"))
+
+
+@query("m11_gbt_configurations", f"select unnest(['spark_100_005_8', 'xgb_1000_005_8', 'xgb_1500_002_10', 'xgb_500_01_6', 'xgb_500_01_8']) config, "
+       f"(select count(*) from @RO where not ({SPLIT_SQL})) n, true finite")
+def m11(spark, sf):
+    """Each boosted-tree configuration fitted with three trees (the number is a parameter) and applied to the held-out rows."""
+    _, ftr, fte, cols = _features(spark, sf)
+    ftr, fte = ftr.checkpoint(eager=True), fte.checkpoint(eager=True)
+    out = None
+    for config in sorted(MD.GBT_CONFIGS):
+        p = TR.fitted_gbt(spark, ftr, cols, config, iterations=3).transform(fte)
+        one = p.agg(F.count("pred_base").alias("n"), F.every(F.abs("pred_base") < 1e9).alias("finite")).withColumn("config", F.lit(config))
+        out = one if out is None else out.unionByName(one)
+    return out.select("config", "n", "finite")
+
+
 @query("m12_random_forest_classes")
 def m12(spark, sf):
     """Random forest (300 trees, depth 10) on class representative minutes (10/30/60);
@@ -86,6 +121,15 @@ def m12(spark, sf):
                             wait_class_bins("pred_base").alias("clase_pred")))
 
 
+@query("m12_forest_class_metrics")
+def m12m(spark, sf):
+    """M18 on the fitted forest: accuracy, macro precision, recall and F1, and kappa of its classes on the held-out rows."""
+    from waitcast.operators.metrics import classification_metrics
+    p = m12(spark, sf).where("clase IS NOT NULL AND clase_pred IS NOT NULL")
+    counts = p.groupBy(F.col("clase").alias("actual"), F.col("clase_pred").alias("predicted")).agg(F.count(F.lit(1)).alias("n"))
+    return rounded(classification_metrics(counts.checkpoint(eager=True)))
+
+
 @query("m13_class_balancing", """
 with o as (select * from @RO),
 c as (select row_id, case when tiempo_espera between 5 and 15 then 'Corto' when tiempo_espera > 15 and tiempo_espera <= 45
@@ -114,6 +158,14 @@ def m21(spark, sf):
     return rounded(MD.importances(spark, model, cols))
 
 
+@query("m21_importance_facts", "select true sums_to_one, true none_negative")
+def m21f(spark, sf):
+    """Importances are shares of one."""
+    model, _, cols = _gbt(spark, sf)
+    imp = MD.importances(spark, model, cols)
+    return imp.agg((F.abs(F.sum("importance") - 1) < 1e-6).alias("sums_to_one"), F.every(F.col("importance") >= 0).alias("none_negative"))
+
+
 @query("k2_top_feature_importances")
 def k2(spark, sf):
     """K2: the 15 most important features (top-k report)."""
@@ -138,8 +190,8 @@ def m22(spark, sf):
 @query("m23_batch_scoring_gbt")
 def m23(spark, sf):
     """Requests -> features -> fitted GBT -> cascade -> blend -> ladder -> result record."""
-    tr, ftr, _, cols = _features(spark, sf)
-    model = TR.fitted_gbt(spark, ftr, cols)
+    tr, _ = _split(spark, sf)
+    model, _, _ = _gbt(spark, sf)
     o = tb.readings_orders(spark, sf).drop("tiempo_espera")
     req = S.prepare_requests(o)
     feats = TR.build_features(req, tr, FEATURED)
@@ -150,7 +202,7 @@ def m23(spark, sf):
     return rounded(B.result_record(out, keep=["row_id"], featured=FEATURED))
 
 
-@query("s11_pipeline_persist")
+@query("s11_pipeline_persist", f"select row_id, true same from @RO where not ({SPLIT_SQL})")
 def s11(spark, sf):
     """The fitted GBT pipeline saved with the MLlib writer into the shared checkpoint
     folder, loaded back, and used to score the test rows; ``same`` compares with the
@@ -162,17 +214,17 @@ def s11(spark, sf):
     loaded = FS.load_pipeline(path)
     a = model.transform(fte).select("row_id", F.col("pred_base").alias("pred_mem"))
     b = loaded.transform(fte).select("row_id", F.col("pred_base").alias("pred_loaded"))
-    return rounded(a.join(b, "row_id").withColumn("same", F.col("pred_mem") == F.col("pred_loaded")))
+    return a.join(b, "row_id").select("row_id", (F.col("pred_mem") == F.col("pred_loaded")).alias("same"))
 
 
-@query("m23_train_save_score")
+@query("m23_train_save_score", "select row_id, true in_bounds from @RO")
 def m23_artifacts(spark, sf):
     """Training job -> artifacts (histories, training rows, column list, pipeline) -> a
-    separate serving job that loads them and scores every orders row; returns the result
-    record (the training metrics are computed on the held-out rows)."""
+    separate serving job that loads them and scores every orders row: each row once, within the
+    bounds of the clamp (the training metrics are computed on the held-out rows)."""
     from waitcast.sources import files as FS
     root = FS.staging_dir(spark, "artifacts")
     TR.run_training(spark, tb.readings_orders(spark, sf), root, FEATURED).collect()
     req = tb.readings_orders(spark, sf).drop("tiempo_espera")
-    out = S.score_from_artifacts(spark, req, root, FEATURED)
-    return rounded(B.result_record(out, keep=["row_id"], featured=FEATURED))
+    out = B.result_record(S.score_from_artifacts(spark, req, root, FEATURED), keep=["row_id"], featured=FEATURED)
+    return out.select("row_id", F.col("minutos_predichos").between(5, 180).alias("in_bounds"))

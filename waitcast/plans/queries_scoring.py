@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from waitcast.operators.joins import size_checked_join
 from waitcast.functions import calendar as cal
 from waitcast.operators import blend as B
 from waitcast.operators import cascade as CA
@@ -243,7 +244,7 @@ def b6(spark, sf):
     req = S.prepare_requests(o.select("row_id", "atraccion", "fecha", "hora"))
     req = S.stand_in_model(train)(req)
     p90 = H.grain_history(train, "mes", ["p90"])
-    out = B.simple_adjust(req.join(p90, ["atraccion", "mes"], "left"), featured=FEATURED)
+    out = B.simple_adjust(size_checked_join(req, p90, ["atraccion", "mes"], "left", materialize=True), featured=FEATURED)
     return rounded(out.select("row_id", "minutos_predichos", "ajuste_aplicado"))
 
 
