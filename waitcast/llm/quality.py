@@ -132,7 +132,7 @@ def votes() -> dict[str, Column]:
     return {
         "word_length": against((F.col("n_words") > 0) & ((mean < 3) | (mean > 10))),
         "symbols": against(share("n_symbols", "n_words") > 0.1),
-        "dup_lines": against((F.col("n_lines") >= 6) & (share("n_dup_lines", "n_lines") > 0.3)),
+        "dup_lines": against((F.col("n_lines") >= 10) & (share("n_dup_lines", "n_lines") > 0.3)),
         "repeats": against(share("n_repeat_words", "n_words") > 0.3),
         "capitals": against(share("n_upper", "n_letters") > 0.3),
         "letters": against(share("n_letters", "word_chars") < 0.8),
