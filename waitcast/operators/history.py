@@ -234,6 +234,6 @@ def column_percentiles(df: DataFrame, cols: list[str], probs: list[float], prefi
     stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
     long = df.selectExpr(f"stack({len(cols)}, {stack}) AS (_c, _v)").where(F.col("_v").isNotNull())
     pre = long.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    q = exact_percentiles(pre, ["_c"], "_v", probs)
+    q = exact_percentiles(pre, ["_c"], "_v", probs, few_groups=True)
     return q.agg(*[F.max(F.when(F.col("_c") == c, F.col("_q")[i])).alias(f"{prefix}{c}__{i}")
                    for c in cols for i in range(len(probs))])
