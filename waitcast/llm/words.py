@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts of a batch are worked through in groups of about so many bytes, which bounds memory.
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 1 << 20
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
