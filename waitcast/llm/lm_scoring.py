@@ -112,7 +112,8 @@ def score(docs: DataFrame, target: DataFrame, order: int = ORDER, smoothing: flo
         raise ValueError("an n-gram has 2 to 7 bytes")
     chosen = target.select(F.col("doc_id").cast("long").alias("t_id")).where("t_id IS NOT NULL").distinct()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    rows = rows.join(chosen, F.col("doc_id") == F.col("t_id"), "left").select("doc_id", "text", F.col("t_id").isNotNull().alias("target"))
+    # the target list grows with the corpus: joined by shuffle at every size
+    rows = rows.join(chosen.hint("merge"), F.col("doc_id") == F.col("t_id"), "left").select("doc_id", "text", F.col("t_id").isNotNull().alias("target"))
     table = _batches(rows, order)
 
     found = table.where("grams IS NOT NULL").select("batch", F.explode(F.arrays_zip("grams", "in_target", "in_all")).alias("g"))
