@@ -124,7 +124,9 @@ def _windows(docs: DataFrame, taken: DataFrame, window: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, window: int = WINDOW, node: int = NODE) -> DataFrame:
     """(doc_id, r, first, size): spans of words that repeated windows cover; spans may overlap."""
     every = compacted_edges(docs, window, node)
+    # aggregated sides are written before the joins, so that AQE can split a hot anchor
     often = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    often = materialise(often, "substring-anchors")
     found = materialise(every.join(often, "anchor"), "substring-edges")
 
     source = F.struct("doc_id", "r", "first", "windows")
@@ -134,10 +136,12 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, node: int = NODE) -> D
         "doc_id", "r", "first", (F.col("windows") + (window - 1)).alias("size"))
 
     branching = compact.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    branching = materialise(branching, "substring-branching")
     taken = compact.join(branching, "anchor").select("anchor", "s.doc_id", "s.r", "s.first", "s.windows", "sources")
     apart = materialise(_windows(docs, taken, window), "substring-windows")
     # rows alike in id and text yield an edge's windows once each; they have two sources then anyway
     again = apart.groupBy("anchor", "hash").agg(F.sum("sources").alias("n")).where("n > 1").select("anchor", "hash")
+    again = materialise(again, "substring-again")
     single = apart.where("sources = 1").join(again, ["anchor", "hash"]).select("doc_id", "r", "first", F.lit(window).alias("size"))
     return spans.union(single)
 
