@@ -12,9 +12,11 @@ partial file, and any store that Spark writes will do.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -60,11 +62,31 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(model)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        pre = json.loads(model).get("pre_tokenizer") or {}
+        self.plain = (pre.get("type"), pre.get("add_prefix_space"), json.loads(model).get("normalizer")) == ("ByteLevel", False, None)
+        self.model = model
         self._clear()
 
     def _clear(self) -> None:
         self.numbers, self.start, self.size, self.ids = Numbered(), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
+    def _encode(self, fresh: list[str]) -> list[list[int]]:
+        """Ids of each string. A space and ASCII letters are one pre-token for certain; the model takes it as it is."""
+        found: list[list[int] | None] = [None] * len(fresh)
+        rest = []
+        if self.plain:
+            for i, c in enumerate(fresh):
+                if c[:1] == " " and c.isascii() and c[1:].isalpha():
+                    found[i] = [t.id for t in self.tokenizer.model.tokenize("\u0120" + c[1:])]
+                else:
+                    rest.append(i)
+        else:
+            rest = list(range(len(fresh)))
+        encoded = self.tokenizer.encode_batch_fast([fresh[i] for i in rest], add_special_tokens=False)
+        for i, e in zip(rest, encoded, strict=True):
+            found[i] = e.ids
+        return found
+
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.numbers) > CACHE_CHUNKS:
             self._clear()
@@ -72,15 +94,24 @@ class Encoder:
         for text in texts:
             first, *rest = chunks(text)
             sequences.append(np.array([get((first,)), *map(get, rest)], np.int64))  # a first chunk has no space before it
-        fresh = [c[0] if isinstance(c, tuple) else f" {c}" for c in list(self.numbers)[known:]]
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
+        found = self._encode([c[0] if isinstance(c, tuple) else f" {c}" for c in list(self.numbers)[known:]])
         size = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for f in found for i in f), np.uint32, int(size.sum()))
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum()))
         self.start = np.concatenate([self.start, np.cumsum(size) - size + len(self.ids)])
         self.size, self.ids = np.concatenate([self.size, size]), np.concatenate([self.ids, flat])
         return [self.ids[ragged(self.start[s], self.size[s])] for s in sequences]
 
 
+_worker: list[Encoder] = []
+
+
+def worker_encoder(model: str) -> Encoder:
+    """The encoder of this Python worker, which remembers chunks over its tasks, up to CACHE_CHUNKS."""
+    if not _worker or _worker[0].model != model:
+        _worker[:] = [Encoder(model)]
+    return _worker[0]
+
+
 @dataclass(frozen=True)
 class TokenFiles:
     """A token file set at ``path``."""
@@ -131,7 +162,7 @@ def write(docs: DataFrame, model: str, end_id: int = 0, path: str | None = None,
     rows = rows.repartitionByRange(partitions(spark), "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, block, ahead = Encoder(model), TaskContext.get().partitionId(), 0, 0
+        encoder, part, block, ahead = worker_encoder(model), TaskContext.get().partitionId(), 0, 0
         names, held, n = [], [], 0
 
         def row() -> pa.RecordBatch:
