@@ -118,7 +118,6 @@ def test_token_files(edge, clashing, edge_rows):
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
         model = f.read()
     tokenizer = Tokenizer.from_str(model)
-    tokenizer.encode_special_tokens = True
     want = collections.Counter((i, np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], "<u4").tobytes()) for i, t, _ in edge_rows)
     for docs in (edge, clashing):
         files = token_files.write(docs, model, block_ids=64)

@@ -12,11 +12,8 @@ partial file, and any store that Spark writes will do.
 
 from __future__ import annotations
 
-import json
-import os
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +23,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from waitcast.llm.bpe import Numbered, chunks, ragged
+from waitcast.llm.chunk_codes import large, pieces, worker_encoder
 from waitcast.llm.scratch import folder, partitions, text_or_empty
 
 BLOCK_IDS = 1 << 16
-#: A task's memory of encoded chunks is started anew at so many.
-CACHE_CHUNKS = 1 << 20
 BLOCK_SCHEMA = "part int, block int, ahead long, n_ids long, bits int, doc_ids array<long>, starts array<long>, data binary"
 
 
@@ -41,8 +36,18 @@ def width(vocabulary: int) -> int:
 
 
 def pack_bits(ids: np.ndarray, bits: int) -> bytes:
-    ids = ids.astype(np.uint32)
-    return np.packbits(((ids[:, None] >> np.arange(bits, dtype=np.uint32)) & 1).astype(np.uint8), axis=None, bitorder="little").tobytes()
+    """Eight ids fill ``bits`` bytes; each id is shifted into the bytes that it reaches over."""
+    n = len(ids)
+    eights = np.zeros((n + 7) // 8 * 8, np.uint64)
+    eights[:n] = ids
+    eights = eights.reshape(-1, 8)
+    out = np.zeros((len(eights), bits), np.uint8)
+    for k in range(8):
+        first, shift = divmod(k * bits, 8)
+        value = eights[:, k] << np.uint64(shift)
+        for j in range((shift + bits + 7) // 8):
+            out[:, first + j] |= (value >> np.uint64(8 * j)).astype(np.uint8)
+    return out.tobytes()[:(n * bits + 7) // 8]
 
 
 def unpack_bits(data: bytes | memoryview, bits: int, first: int, n: int) -> np.ndarray:
@@ -55,63 +60,6 @@ def unpack_bits(data: bytes | memoryview, bits: int, first: int, n: int) -> np.n
     return ((wide[at >> 3] >> (at & 7).astype(np.uint64)) & np.uint64((1 << bits) - 1)).astype("<u4")
 
 
-class Encoder:
-    """Encodes texts with a tokenizers model, each distinct chunk of a text once as long as it is remembered."""
-
-    def __init__(self, model: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_str(model)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        pre = json.loads(model).get("pre_tokenizer") or {}
-        self.plain = (pre.get("type"), pre.get("add_prefix_space"), json.loads(model).get("normalizer")) == ("ByteLevel", False, None)
-        self.model = model
-        self._clear()
-
-    def _clear(self) -> None:
-        self.numbers, self.start, self.size, self.ids = Numbered(), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
-    def _encode(self, fresh: list[str]) -> list[list[int]]:
-        """Ids of each string. A space and ASCII letters are one pre-token for certain; the model takes it as it is."""
-        found: list[list[int] | None] = [None] * len(fresh)
-        rest = []
-        if self.plain:
-            for i, c in enumerate(fresh):
-                if c[:1] == " " and c.isascii() and c[1:].isalpha():
-                    found[i] = [t.id for t in self.tokenizer.model.tokenize("\u0120" + c[1:])]
-                else:
-                    rest.append(i)
-        else:
-            rest = list(range(len(fresh)))
-        encoded = self.tokenizer.encode_batch_fast([fresh[i] for i in rest], add_special_tokens=False)
-        for i, e in zip(rest, encoded, strict=True):
-            found[i] = e.ids
-        return found
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.numbers) > CACHE_CHUNKS:
-            self._clear()
-        get, known, sequences = self.numbers.__getitem__, len(self.numbers), []
-        for text in texts:
-            first, *rest = chunks(text)
-            sequences.append(np.array([get((first,)), *map(get, rest)], np.int64))  # a first chunk has no space before it
-        found = self._encode([c[0] if isinstance(c, tuple) else f" {c}" for c in list(self.numbers)[known:]])
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum()))
-        self.start = np.concatenate([self.start, np.cumsum(size) - size + len(self.ids)])
-        self.size, self.ids = np.concatenate([self.size, size]), np.concatenate([self.ids, flat])
-        return [self.ids[ragged(self.start[s], self.size[s])] for s in sequences]
-
-
-_worker: list[Encoder] = []
-
-
-def worker_encoder(model: str) -> Encoder:
-    """The encoder of this Python worker, which remembers chunks over its tasks, up to CACHE_CHUNKS."""
-    if not _worker or _worker[0].model != model:
-        _worker[:] = [Encoder(model)]
-    return _worker[0]
-
-
 @dataclass(frozen=True)
 class TokenFiles:
     """A token file set at ``path``."""
@@ -148,7 +96,8 @@ class TokenFiles:
 
 
 def write(docs: DataFrame, model: str, end_id: int = 0, path: str | None = None, block_ids: int = BLOCK_IDS) -> TokenFiles:
-    """Encode ``docs`` (doc_id, text) with the tokenizers model (its JSON), end each document with ``end_id``,
+    """Encode ``docs`` (doc_id, text) with the tokenizers model (its JSON; no special tokens are added, and the
+    string of an added token in a text is that token, as in the library), end each document with ``end_id``,
     and write them in ascending order of doc_id.
 
     Documents without doc_id come first; rows that share a doc_id follow each other in the order of a
@@ -173,18 +122,18 @@ def write(docs: DataFrame, model: str, end_id: int = 0, path: str | None = None,
                  pa.array([names], pa.list_(pa.int64())), pa.array([np.cumsum(sizes) - sizes], pa.list_(pa.int64())), pa.array([data], pa.binary())],
                 names=["part", "block", "ahead", "n_ids", "bits", "doc_ids", "starts", "data"])
 
-        end = np.array([end_id], np.uint32)
         for b in batches:
-            for lo in range(0, len(b), 512):
-                piece = b.slice(lo, 512)
-                for name, ids in zip(piece.column(0).to_pylist(), encoder(piece.column(1).to_pylist()), strict=True):
+            at = 0
+            for piece in pieces(large(b.column(1))):
+                for name, ids in zip(b.column(0).slice(at, len(piece)).to_pylist(), encoder(piece).ended(end_id).each(), strict=True):
                     names.append(name)
-                    held.append(np.concatenate([ids, end]))
-                    n += len(ids) + 1
+                    held.append(ids)
+                    n += len(ids)
                     if n >= block_ids:
                         yield row()
                         block, ahead = block + 1, ahead + n
                         names, held, n = [], [], 0
+                at += len(piece)
         if names:
             yield row()
 
