@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitcast.llm import bpe, exact_dedup, licenses, line_dedup, lm_scoring, mixing, near_dedup, quality, substring_dedup, token_files
+from waitcast.llm import (bpe, collocations, conversations, exact_dedup, licenses, line_dedup, lm_scoring, mixing, near_dedup, packing, quality,
+                          substring_dedup, token_files)
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -96,6 +97,25 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation with its faults after damage, and its cheapest repair."""
+    return conversations.damaged_and_repaired(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query
+def op12_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of 4,096 tokens."""
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        return packing.pack(documents(spark, sf_dir), f.read(), end_id=2).drop("ids")
+
+
+@query
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first phrases of two to five words by association."""
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the training-data pipeline over the whole table."""
@@ -125,3 +145,28 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM j GROUP BY doc_id
 """
+
+ORACLES["op13_phrase_collocations"] = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS ws FROM d),
+g AS (SELECT lang, ws, unnest([1, 2, 3, 4, 5]) AS k FROM w WHERE len(ws) > 0),
+p AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase FROM g WHERE len(ws) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM p GROUP BY ALL),
+t AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2 AND f >= 100),
+s AS (SELECT *, unnest(range(1, k)) AS j FROM c),
+x AS (
+  SELECT s.lang, s.phrase, s.a, s.j, l.f AS l, r.f AS r, t.n, (1000::HUGEINT * s.a * t.n // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM s JOIN f l ON l.lang = s.lang AND l.k = s.j AND l.phrase = array_to_string(s.ws[1:s.j], ' ')
+  JOIN f r ON r.lang = s.lang AND r.k = s.k - s.j AND r.phrase = array_to_string(s.ws[s.j + 1:s.k], ' ')
+  JOIN t ON t.lang = s.lang),
+b AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+i AS (SELECT lang, a, ws, k, unnest([2, 3, 4]) AS m FROM c),
+o AS (SELECT lang, a, unnest(list_transform(range(1, k - m + 2), lambda z: array_to_string(ws[z:z + m - 1], ' '))) AS phrase FROM i WHERE m < k),
+u AS (SELECT lang, phrase, max(a) AS longer FROM o GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM b LEFT JOIN u USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a
+QUALIFY rank <= 2000
+"""
