@@ -21,7 +21,7 @@ from tokenizers import Tokenizer
 from waitcast.llm.bpe import chunks, ragged
 
 #: A worker's memory of chunks is started anew at so many.
-CACHE_CHUNKS = 1 << 20
+CACHE_CHUNKS = 3 << 19
 #: Texts are worked through in pieces of about so many bytes.
 PIECE_BYTES = 1 << 23
 

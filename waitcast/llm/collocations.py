@@ -141,6 +141,16 @@ def count_words(docs: DataFrame, hashing: Hashing) -> DataFrame:
     return docs.mapInArrow(run, "id long, lang string, word string, n long")
 
 
+def maybe_frequent(named: DataFrame, frequent_words: object) -> DataFrame:
+    """The rows (id, lang, word) whose words may be frequent."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(member(frequent_words.value, b.column(0).to_numpy().view(np.uint64))))
+
+    return named.mapInArrow(run, "id long, lang string, word string")
+
+
 def count_pairs(docs: DataFrame, hashing: Hashing, frequent_words: object) -> DataFrame:
     """(w1, w2, n): neighbouring words that may both be frequent, by Arrow batch."""
 
@@ -283,14 +293,15 @@ def phrases(docs: DataFrame, least: int = LEAST, hot: int = HOT) -> tuple[DataFr
         hashing = Hashing(seed)
         counted = materialise(count_words(docs, hashing), "collocation-words")
         frequent = materialise(counted.groupBy("id").agg(F.sum("n").alias("f")).where(F.col("f") >= least), "collocation-frequent")
-        names = materialise(counted.select("id", "lang", "word").join(frequent.select("id"), "id").distinct(), "collocation-names")
+        held = spark.sparkContext.broadcast(bit_set(spark, frequent.select("id")))
+        names = maybe_frequent(counted.select("id", "lang", "word"), held).distinct().join(frequent.select("id"), "id")
+        names = materialise(names, "collocation-names")
         if names.groupBy("id").count().where("count > 1").isEmpty():
             break
     else:
         raise RuntimeError("every hash function tried gives a frequent word and another word one number")
     totals = counted.groupBy("lang").agg(F.sum("n").alias("n"))
 
-    held = spark.sparkContext.broadcast(bit_set(spark, frequent.select("id")))
     pairs = count_pairs(docs, hashing, held).groupBy("w1", "w2").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
     pairs = materialise(pairs, "collocation-pairs")
     number = pair_number(F.col("w1"), F.col("w2")).alias("number")
