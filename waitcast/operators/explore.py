@@ -8,7 +8,7 @@ per-column statistics are computed in one ``agg`` and turned long with
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waitcast.operators.quantiles import exact_percentiles
@@ -102,25 +102,43 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
                     (F.col("_mn") + (F.col("bin") + 1) * w).alias("hi"), "n")
 
 
-def box_summary(df: DataFrame, keys: list[str] | None = None, value: str = WAIT) -> DataFrame:
-    """q1, median, q3, whiskers (furthest points within 1.5 IQR) and outlier count."""
+#: Different values of a group up to which one task may rank them.
+GROUP_VALUES = 1 << 20
+
+
+def box_summary(df: DataFrame, keys: list[str] | None = None, value: str = WAIT, group_values: int = GROUP_VALUES) -> DataFrame:
+    """q1, median, q3, whiskers (furthest points within 1.5 IQR) and outlier count.
+
+    Where no group has more than ``group_values`` different values (measured on the counted rows), they are ranked by
+    windows over the group, in one shuffle and without a join; else by value range over many tasks."""
     keys = keys or []
-    base = df.where(F.col(value).isNotNull())
-    pre = base.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    v, n = F.col(value), F.col("_n")
+    pre = df.where(v.isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    if keys:
+        pre = pre.checkpoint(eager=True)
+        largest = pre.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        if largest <= group_values:
+            w = Window.partitionBy(*keys).orderBy(value)
+            every = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+            j = pre.withColumns({"_cum": F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)), "_tot": F.sum(n).over(every)})
+            at = {q: (F.col("_tot") - 1) * F.lit(p) for q, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))}
+            ends = {f"_{e}_{q}": F.min(F.when(F.col("_cum") > r(h), v)).over(every) for q, h in at.items() for e, r in (("lo", F.floor), ("hi", F.ceil))}
+            j = j.withColumns(ends).withColumns({q: F.col(f"_lo_{q}") + (h - F.floor(h)) * (F.col(f"_hi_{q}") - F.col(f"_lo_{q}")) for q, h in at.items()})
+            return _boxes(j, keys, value)
     q = exact_percentiles(pre, keys, value, [0.25, 0.5, 0.75]).select(*keys, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
-    q = q.withColumns({"_lo": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
-                       "_hi": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
     if keys:
         from waitcast.operators.joins import size_checked_join
-        j = size_checked_join(pre, q, keys, "inner", materialize=True, null_safe=True)
-    else:
-        j = with_scalars(pre, q)
-    v = F.col(value)
-    inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
-    out = (j.groupBy(*keys, "q1", "median", "q3") if keys else j.groupBy("q1", "median", "q3")).agg(
-        F.min(F.when(inside, v)).alias("whisker_lo"), F.max(F.when(inside, v)).alias("whisker_hi"),
-        F.sum(F.when(~inside, F.col("_n")).otherwise(0)).alias("n_outliers"))
-    return out
+        return _boxes(size_checked_join(pre, q, keys, "inner", materialize=True, null_safe=True), keys, value)
+    return _boxes(with_scalars(pre, q), keys, value)
+
+
+def _boxes(counted: DataFrame, keys: list[str], value: str) -> DataFrame:
+    v, reach = F.col(value), 1.5 * (F.col("q3") - F.col("q1"))
+    inside = (v >= F.col("q1") - reach) & (v <= F.col("q3") + reach)
+    quartiles = [F.first(q).alias(q) for q in ("q1", "median", "q3")]
+    out = counted.groupBy(*keys).agg(*quartiles, F.min(F.when(inside, v)).alias("whisker_lo"), F.max(F.when(inside, v)).alias("whisker_hi"),
+                                     F.sum(F.when(~inside, F.col("_n")).otherwise(0)).alias("n_outliers"))
+    return out if keys else out.where(F.col("q1").isNotNull())
 
 
 def month_comparison(df: DataFrame, month: int, top: int = 10) -> DataFrame:

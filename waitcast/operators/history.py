@@ -21,6 +21,8 @@ rolled-up key.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,6 +53,8 @@ CASCADE_GRAINS: dict[str, list[str]] = {
     "atraccion": ["atraccion"],
     "global": [],
 }
+# different values of one group up to which a task may rank them
+GROUP_VALUES = 1 << 20
 _PCT = {"p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95}
 
 
@@ -80,9 +84,13 @@ def stats_from_counts(pre: DataFrame, keys: list[str], stats: list[str], suffix:
     """
     assert keys, "use history() for key-less (global) statistics"
     v, n = F.col(value), F.col("_n")
-    w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    group = Window.partitionBy(*keys)
-    d = pre.withColumns({"_cum": F.sum(n).over(w), "_tot": F.sum(n).over(group), "_c": F.min(v).over(group)})
+    # a hash of the keys first: sorting compares eight bytes instead of strings
+    own = ["_group", *keys]
+    pre = pre.withColumn("_group", F.xxhash64(*keys))
+    w = Window.partitionBy(*own).orderBy(value)
+    to_here = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    every = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    d = pre.withColumns({"_cum": F.sum(n).over(to_here), "_c": F.first(v).over(to_here), "_tot": F.sum(n).over(every)})
     # sums around the group's smallest value: squares of raw values cancel when they are large
     x = v - F.col("_c")
     pcts = [p for p in stats if p in _PCT]
@@ -91,7 +99,12 @@ def stats_from_counts(pre: DataFrame, keys: list[str], stats: list[str], suffix:
         h = (F.col("_tot") - 1) * F.lit(_PCT[p])
         aggs.append(F.min(F.when(F.col("_cum") > F.floor(h), v)).alias(f"_lo_{p}"))
         aggs.append(F.min(F.when(F.col("_cum") > F.ceil(h), v)).alias(f"_hi_{p}"))
-    g = d.groupBy(*keys).agg(*aggs)
+    g = d.groupBy(*own).agg(*aggs)
+    return g.select(*keys, *_finished(stats, suffix))
+
+
+def _finished(stats: list[str], suffix: str = "") -> list[Column]:
+    """Statistics from a group's count, sums around ``_c`` and the values next to each wanted rank."""
     cnt, s1, s2 = F.col("_cnt"), F.col("_s1"), F.col("_s2")
     out = []
     for st in stats:
@@ -108,27 +121,48 @@ def stats_from_counts(pre: DataFrame, keys: list[str], stats: list[str], suffix:
             out.append((lo + (h - F.floor(h)) * (hi - lo)).alias(name))
         else:
             raise ValueError(st)
-    return g.select(*keys, *out)
+    return out
+
+
+def stats_of_all(counts: DataFrame, stats: list[str], value: str = WAIT) -> DataFrame:
+    """The same for all rows as one group, from counts (value, _n): one row, or none without rows. Percentiles are
+    ranked by value range (:mod:`waitcast.operators.quantiles`), so no task sorts all values."""
+    v, n = F.col(value), F.col("_n")
+    pcts = [p for p in stats if p in _PCT]
+    around = with_scalars(counts, counts.agg(F.min(v).alias("_c")))
+    x = v - F.col("_c")
+    moments = around.agg(F.sum(n).alias("_cnt"), F.min("_c").alias("_c"), F.sum(x * n).alias("_s1"), F.sum(x * x * n).alias("_s2"))
+    moments = moments.where(F.col("_cnt") > 0)
+    if pcts:
+        moments = with_scalars(moments, exact_percentiles(counts, [], value, [_PCT[p] for p in pcts]))
+        # _q is interpolated: no rest to the next value
+        moments = moments.withColumns({f"_{e}_{p}": F.col("_q")[i] for i, p in enumerate(pcts) for e in ("lo", "hi")})
+    return moments.select(*_finished(stats))
 
 
 def history(df: DataFrame, keys: list[str], stats: list[str], suffix: str = "",
             value: str = WAIT, exact: bool = True) -> DataFrame:
-    """Generic keyed history: pre-count, then weighted statistics; without keys, moments of the raw rows
-    and percentiles split over tasks (:mod:`waitcast.operators.quantiles`)."""
+    """Generic history: pre-count, then weighted statistics; without keys see :func:`whole_history`."""
     if exact and keys:
         return stats_from_counts(precount(df, keys, value), keys, stats, suffix, value)
     rows = df.where(F.col(value).isNotNull())
     if not exact:
         return rows.groupBy(*keys).agg(*_raw_stats(value, stats, suffix, lambda st: F.percentile_approx(value, F.lit(_PCT[st]), F.lit(10000))))
-    pcts = [p for p in stats if p in _PCT]
-    moments = rows.agg(*_raw_stats(value, [s for s in stats if s not in _PCT], suffix, None))
-    q = exact_percentiles(precount(df, [], value), [], value, [_PCT[p] for p in pcts]) if pcts else None
-    named = {f"{p}_{suffix}" if suffix else p: i for i, p in enumerate(pcts)}
-    if q is None:
-        return moments
-    both = with_scalars(moments, q)
-    return both.select(*[(F.col("_q")[named[c]].alias(c) if c in named else F.col(c))
-                         for c in (f"{st}_{suffix}" if suffix else st for st in stats)])
+    return whole_history(df, stats, value).select(*[F.col(st).alias(f"{st}_{suffix}" if suffix else st) for st in stats])
+
+
+def whole_history(df: DataFrame, stats: list[str], value: str = WAIT, group_values: int = GROUP_VALUES) -> DataFrame:
+    """Statistics of all rows: always one row, count 0 and NULLs without values.
+
+    The different values are counted and written (one scan, one small job). Up to ``group_values`` of them are
+    ranked by one window; more are ranked by value range over many tasks (:func:`stats_of_all`). Both are exact."""
+    counts = precount(df, [], value).checkpoint(eager=True)
+    n = counts.count()
+    if not n:
+        return counts.agg(*[(F.count(value) if st == "count" else F.max(F.lit(None).cast("double"))).alias(st) for st in stats])
+    if n > group_values:
+        return stats_of_all(counts, stats, value)
+    return stats_from_counts(counts.withColumn("_all", F.lit(0)), ["_all"], stats, value=value).select(*stats)
 
 
 def grain_history(df: DataFrame, grain: str, stats: list[str] | None = None, exact: bool = True) -> DataFrame:
@@ -155,10 +189,9 @@ def all_histories(df: DataFrame, grains: list[str] | None = None, value: str = W
 
     1. pre-count ``(ride, month, hour, weekday, wait) -> n`` (map-side combined);
     2. GROUPING SETS over ``(grain keys, wait)`` summing ``n`` — a plain hash
-       aggregate whose partial step collapses coarse grains right after the
-       Expand, so the percentile stage never sees 9x the fine rows;
-    3. per (grain, keys): weighted count / mean / std and exact percentiles from running counts;
-       the global grain, one group of all rows, comes from :func:`history` without keys.
+       aggregate whose partial step collapses coarse grains right after the Expand;
+    3. per (grain, keys): weighted count / mean / std and exact percentiles from running counts, in one
+       window node; the global grain, one group of all rows, comes from :func:`whole_history`.
 
     Output is long: ``grain, atraccion, mes, hora_int, dia_semana_num, n, mean, std,
     p25, p50, p75, p90, p95``; keys outside the grain are NULL. The grain is tagged
@@ -167,29 +200,20 @@ def all_histories(df: DataFrame, grains: list[str] | None = None, value: str = W
     grains = grains or list(CASCADE_GRAINS)
     if not exact:
         return _all_histories_approx(df, grains, value, accuracy)
-    whole = "global" in grains
-    grains = [g for g in grains if g != "global"]
-    pre = precount(df, KEYS, value)
-    sets = [[F.col(k) for k in CASCADE_GRAINS[g]] + [F.col(value)] for g in grains]
-    mid = (pre.groupingSets(sets, *KEYS, value)
-           .agg(F.sum("_n").alias("_n"), *[F.grouping(k).alias(f"_g_{k}") for k in KEYS]))
-    tag = None
-    for g in grains:
-        ks = set(CASCADE_GRAINS[g])
-        cond = F.lit(True)
-        for k in KEYS:
-            cond = cond & (F.col(f"_g_{k}") == (0 if k in ks else 1))
-        tag = F.when(cond, F.lit(g)) if tag is None else tag.when(cond, F.lit(g))
-    mid = mid.select(tag.alias("grain"), *KEYS, value, "_n")
+    keyed = [g for g in grains if g != "global"]
     wanted = ["count", "mean", "std", "p25", "median", "p75", "p90", "p95"]
-    out = stats_from_counts(mid, ["grain", *KEYS], wanted, value=value)
-    if whole:                  # one group of all rows: no window over it
-        types = {k: df.schema[k].dataType for k in KEYS}
-        one = history(df, [], wanted, value=value).where(F.col("count") > 0).select(
-            F.lit("global").alias("grain"), *[F.lit(None).cast(t).alias(k) for k, t in types.items()], *wanted)
-        out = out.unionByName(one)
-    return out.select("grain", *KEYS, F.col("count").alias("n"), "mean", "std", "p25",
-                      F.col("median").alias("p50"), "p75", "p90", "p95")
+    out = []
+    if keyed:
+        sets = [[F.col(k) for k in CASCADE_GRAINS[g]] + [F.col(value)] for g in keyed]
+        mid = (precount(df, KEYS, value).groupingSets(sets, *KEYS, value)
+               .agg(F.sum("_n").alias("_n"), *[F.grouping(k).alias(f"_g_{k}") for k in KEYS]))
+        mid = mid.select(_grain_tag(keyed).alias("grain"), *KEYS, value, "_n")
+        out.append(stats_from_counts(mid, ["grain", *KEYS], wanted, value=value))
+    if "global" in grains:
+        none = [F.lit(None).cast(df.schema[k].dataType).alias(k) for k in KEYS]
+        out.append(whole_history(df, wanted, value).where("count > 0").select(F.lit("global").alias("grain"), *none, *wanted))
+    return reduce(DataFrame.unionByName, out).select("grain", *KEYS, F.col("count").alias("n"), "mean", "std", "p25",
+                                                     F.col("median").alias("p50"), "p75", "p90", "p95")
 
 
 def _grain_tag(grains: list[str]) -> Column:

@@ -92,14 +92,27 @@ def attach_histories(df: DataFrame, train: DataFrame, grains: list[str] | None =
     return out
 
 
-def fill_by_family(df: DataFrame, train: DataFrame, value: str = WAIT) -> DataFrame:
-    """fill history columns by name family from global statistics of ``train``.
+def global_row(hist: DataFrame) -> DataFrame:
+    """The global statistics as one row, NULL where ``hist`` has no global grain."""
+    rows = hist.where(F.col("grain") == "global")
+    return rows.agg(*[F.first(c).alias(a) for c, a in (("mean", "mean"), ("p50", "median"), ("std", "std"), ("p75", "p75"), ("p90", "p90"), ("p95", "p95"))])
+
+
+def attach_and_fill(df: DataFrame, train: DataFrame) -> DataFrame:
+    """J1 + F19: the six ride histories of ``train`` attached to ``df``, gaps filled by family; one pass over ``train``."""
+    hist = H.all_histories(train, grains=[*H.GRAINS, "global"]).checkpoint(eager=True)
+    return fill_by_family(attach_histories(df, train, hist=hist), train, hist=hist)
+
+
+def fill_by_family(df: DataFrame, train: DataFrame | None, value: str = WAIT, hist: DataFrame | None = None) -> DataFrame:
+    """fill history columns by name family from global statistics of ``train``, or from the global
+    grain of a materialised history ``hist`` that has it.
 
     ``count_*`` -> 0; ``*mean*`` -> mean; ``*median*`` -> median; ``*std*`` -> std;
     ``*p75*``/``*p90*``/``*p95*`` -> the global percentile. The one-row global
     statistics are bound as a scalar subquery.
     """
-    g = H.global_stats(train, value).select(
+    g = (H.global_stats(train, value) if hist is None else global_row(hist)).select(
         F.col("mean").alias("_g_mean"), F.col("median").alias("_g_median"), F.col("std").alias("_g_std"),
         F.col("p75").alias("_g_p75"), F.col("p90").alias("_g_p90"), F.col("p95").alias("_g_p95"))
     j = with_scalars(df, g)

@@ -132,7 +132,7 @@ def class_neighbours(df: DataFrame, key: str, label: str, features: list[str], k
     found = asked.join(others, [*cell, "_block"]).where("_key <> _other")
     for a in _AXES:  # cheap test before the distance
         found = found.where(F.abs(F.col(f"_a{a}") - F.col(f"_x{a}")) <= F.col("_reach") + SLACK * (1 + F.abs(F.col(f"_a{a}"))))
-    found = found.select("_label", "_key", *[f"_c{a}" for a in _AXES], "_block", "_other", square.alias("_d2"))
+    found = found.select("_label", "_key", *[f"_c{a}" for a in _AXES], "_block", "_other", "_reach", square.alias("_d2")).where(F.col("_d2") <= F.col("_reach") * F.col("_reach"))
     least = F.slice(F.array_sort(F.collect_list(F.struct("_d2", "_other"))), 1, k)
     in_block = found.groupBy("_label", "_key", *[f"_c{a}" for a in _AXES], "_block").agg(least.alias("_l"))  # a block's positions at most
     merged = F.slice(F.array_sort(F.flatten(F.collect_list("_l"))), 1, k)

@@ -150,7 +150,7 @@ def j1(spark, sf):
     missing values filled by column family from train-wide statistics."""
     o = orders_split(spark, sf)
     tr, te = o.where("is_train"), o.where("not is_train")
-    out = J.fill_by_family(J.attach_histories(te, tr), tr)
+    out = J.attach_and_fill(te, tr)
     stat_cols = [f"{s}_{g}" for g, (_, stats) in H.GRAINS.items() for s in stats]
     return rounded(out.select("row_id", *stat_cols))
 
@@ -175,7 +175,7 @@ def j9(spark, sf):
     feature groups fitted on train rows, with family defaults (F19) where a request has no history."""
     o = orders_split(spark, sf, hours="requests")
     tr = orders_split(spark, sf).where("is_train")
-    out = J.fill_by_family(J.attach_histories(o, tr), tr)
+    out = J.attach_and_fill(o, tr)
     stat_cols = [f"{s}_{g}" for g, (_, stats) in H.GRAINS.items() for s in stats]
     return rounded(out.select("row_id", *stat_cols))
 

@@ -11,6 +11,7 @@ from waitcast.operators import encode as E
 from waitcast.operators import explore as X
 from waitcast.operators import history as H
 from waitcast.operators import model as MD
+from waitcast.operators import neighbours as N
 from waitcast.plans import scoring as S
 from waitcast.plans import training as TR
 from waitcast.operators.scalars import with_scalars
@@ -151,6 +152,54 @@ def m13(spark, sf):
     return before.join(after, "clase")
 
 
+_NEAR = {"humedad": 16.0, "temperatura": 8.0, "codigo_clima": 1.0, "mes": 2.0, "dia_semana_num": 2.0}
+_NEAR_SQL = f"""
+t as (select row_id, case when tiempo_espera between 5 and 15 then 'Corto' when tiempo_espera > 15 and tiempo_espera <= 45
+                          then 'Medio' else 'Largo' end clase, temperatura,
+             humedad / 16 f0, temperatura / 8 f1, codigo_clima / 1 f2, month(fecha) / 2 f3, (isodow(fecha) - 1) / 2 f4
+      from @RO where {SPLIT_SQL} and tiempo_espera is not null)"""
+
+
+def _near_rows(spark, sf):
+    tr, _ = E.hash_split(tb.readings_orders(spark, sf).where("tiempo_espera IS NOT NULL"), "row_id")
+    return MD.class_targets(tr.withColumns({"mes": F.month("fecha"), "dia_semana_num": F.weekday("fecha")}))
+
+
+@query("m13_class_neighbours", f"""
+with {_NEAR_SQL},
+p as (select clase, f0, f1, f2, f3, f4, min(row_id) row_id from t where temperatura is not null group by all),
+d as (select a.clase, a.row_id, min({{'d': (((a.f0 - b.f0) * (a.f0 - b.f0) + (a.f1 - b.f1) * (a.f1 - b.f1)) + (a.f2 - b.f2) * (a.f2 - b.f2)
+        + (a.f3 - b.f3) * (a.f3 - b.f3)) + (a.f4 - b.f4) * (a.f4 - b.f4), 'o': b.row_id}}, 5) near
+      from p a join p b on a.clase = b.clase and a.row_id <> b.row_id group by all),
+u as (select clase, row_id, unnest(near) e, generate_subscripts(near, 1) rank from d)
+select clase, row_id, rank, e.o neighbour, round(e.d, 6) distance2 from u""")
+def m13n(spark, sf):
+    """The five nearest in-class positions of every position of the train rows, by weather and calendar."""
+    return rounded(N.class_neighbours(_near_rows(spark, sf), "row_id", "clase", list(_NEAR), scale=list(_NEAR.values())))
+
+
+@query("m13_neighbour_balancing", f"""
+with {_NEAR_SQL},
+cnt as (select clase, count(*) nc from t group by clase), mx as (select max(nc) nmax from cnt),
+r as (select t.*, cast(nmax as double) / nc r from t join cnt using (clase) cross join mx),
+cp as (select clase, temperatura, greatest(cast(floor(r) as integer) + cast(((((row_id + 104729) % 2147483648) * 2654435761) % 4294967296)
+                     / 4294967296.0 < r - floor(r) as integer), 1) copies from r)
+select clase, count(*) n_original, sum(copies) n_balanced, coalesce(sum(copies - 1) filter (where temperatura is not null), 0) n_between from cp group by clase""")
+def m13b(spark, sf):
+    """Class sizes before and after balancing by interpolation; n_between counts the synthetic rows whose every feature lies
+    between the base row's and the neighbour's."""
+    rows = _near_rows(spark, sf)
+    made = N.balance_by_neighbours(rows, "row_id", "clase", list(_NEAR), scale=list(_NEAR.values()))
+    known = rows.select("row_id", *[F.col(c).alias(f"base_{c}") for c in _NEAR])
+    ends = rows.select(F.col("row_id").alias("neighbour"), *[F.col(c).alias(f"end_{c}") for c in _NEAR])
+    both = made.join(known, "row_id").join(ends, "neighbour", "left")
+    between = F.col("synthetic") > 0
+    for c in _NEAR:
+        between = between & F.col(c).between(F.least(f"base_{c}", f"end_{c}"), F.greatest(f"base_{c}", f"end_{c}")) & F.col(f"end_{c}").isNotNull()
+    return both.groupBy("clase").agg(F.sum((F.col("synthetic") == 0).cast("int")).alias("n_original"), F.count(F.lit(1)).alias("n_balanced"),
+                                     F.sum(F.coalesce(between, F.lit(False)).cast("int")).alias("n_between"))
+
+
 @query("m21_feature_importances")
 def m21(spark, sf):
     """Importance of every feature of the fitted GBT."""

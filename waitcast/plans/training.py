@@ -45,7 +45,7 @@ def build_features(df: DataFrame, train: DataFrame, featured: str = FEATURED_RID
     d = d.withColumn("sensacion_termica", F.coalesce(*felt, F.col("temperatura")))
     d = calendar_features(d, hora="hora_num", featured=featured)
     tr = calendar_features(train, hora="hora_num", featured=featured)
-    d = J.fill_by_family(J.attach_histories(d, tr), tr)
+    d = J.attach_and_fill(d, tr)
     for col in ("zona", "atraccion"):
         if col not in d.columns:
             d = d.withColumn(col, F.lit(None).cast("string"))
