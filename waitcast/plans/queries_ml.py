@@ -266,14 +266,20 @@ def s11(spark, sf):
     return a.join(b, "row_id").select("row_id", (F.col("pred_mem") == F.col("pred_loaded")).alias("same"))
 
 
-@query("m23_train_save_score", "select row_id, true in_bounds from @RO")
+@query("m23_train_save_score", "select row_id, true in_bounds, true same from @RO")
 def m23_artifacts(spark, sf):
-    """Training job -> artifacts (histories, training rows, column list, pipeline) -> a
-    separate serving job that loads them and scores every orders row: each row once, within the
-    bounds of the clamp (the training metrics are computed on the held-out rows)."""
+    """Training job -> a published version of the artifacts -> a separate serving job that reads only that version and scores
+    every orders row: each row once, within the bounds of the clamp; ``same``: with the prediction of the saved pipeline on features
+    fitted on the training rows themselves."""
+    from waitcast.sources import artifacts as A
     from waitcast.sources import files as FS
     root = FS.staging_dir(spark, "artifacts")
     TR.run_training(spark, tb.readings_orders(spark, sf), root, FEATURED).collect()
-    req = tb.readings_orders(spark, sf).drop("tiempo_espera")
-    out = B.result_record(S.score_from_artifacts(spark, req, root, FEATURED), keep=["row_id"], featured=FEATURED)
-    return out.select("row_id", F.col("minutos_predichos").between(5, 180).alias("in_bounds"))
+    orders = tb.readings_orders(spark, sf).drop("tiempo_espera")
+    served = S.score_from_artifacts(spark, orders, root, FEATURED)
+    out = B.result_record(served, keep=["row_id"], featured=FEATURED).select("row_id", F.col("minutos_predichos").between(5, 180).alias("in_bounds"))
+    tr, _ = _split(spark, sf)
+    feats = TR.build_features(S.prepare_requests(orders), tr, FEATURED, serving=True)
+    direct = A.open_version(spark, root).pipeline("pipeline").transform(feats).select("row_id", F.col("pred_base").alias("direct"))
+    both = served.select("row_id", "pred_base").join(direct, "row_id").select("row_id", (F.abs(F.col("pred_base") - F.col("direct")) < 1e-6).alias("same"))
+    return out.join(both, "row_id")

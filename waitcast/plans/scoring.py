@@ -90,25 +90,26 @@ def score(requests: DataFrame, train: DataFrame, predict: Callable[[DataFrame],
 
 
 def score_from_artifacts(spark, requests: DataFrame, root: str, featured: str = cal.FEATURED_RIDE,
-                         variant: str = "predict", today: str | None = None) -> DataFrame:
-    """Serving path re-aimed to tables (M23 with S12/S11): load the artifacts written by
-    :func:`waitcast.plans.training.run_training`, build the request features against the
-    saved training rows, align them to the saved column list (M22), predict with the saved
-    pipeline, then cascade, blend and ladder. Only the column list (one row per feature)
-    is read on the driver. Request defaults are F26's: a bad date becomes ``today`` (by default the
+                         variant: str = "predict", today: str | None = None, version: int | None = None) -> DataFrame:
+    """Serving path re-aimed to tables (M23 with S12/S11): open the newest version (or ``version``) of the artifacts
+    published by :func:`waitcast.plans.training.run_training`, build the request features from the saved tables, align them
+    to the saved column list (M22), predict with the saved pipeline, then cascade, blend and ladder. No training row is read; only
+    the manifest and the column list (one row per feature) come to the driver. A version without encodings or medians serves
+    defaults. Request defaults are F26's: a bad date becomes ``today`` (by default the
     day of the call), a bad hour 12.0, a missing weather code 3, missing feels-like the temperature."""
+    from waitcast.operators import joins as J
     from waitcast.operators import model as MD
     from waitcast.plans import training as TR
-    from waitcast.sources import files as FS
+    from waitcast.sources import artifacts as A
 
-    tr = spark.read.parquet(f"{root}/train_rows")
-    hist = spark.read.parquet(f"{root}/histories")
-    cols = [r["feature"] for r in spark.read.parquet(f"{root}/columns").orderBy("pos").collect()]
-    model = FS.load_pipeline(f"{root}/pipeline")
+    saved = A.open_version(spark, root, version)
+    fitted = {name: saved.table(name) for name in ("medians", "histories", "target", "enc_zona", "enc_atraccion") if name in saved.entries}
+    hist = fitted["histories"]
+    cols = [r["feature"] for r in saved.table("columns").orderBy("pos").collect()]
+    model = saved.pipeline("pipeline")
     req = prepare_requests(requests, today=today or str(datetime.date.today()))
-    feats = TR.build_features(req, tr, featured, serving=True)
-    g = H.global_stats(tr).select("mean", "median", "std", "p75", "p90", "p95")
-    feats = MD.align_columns(feats, cols, g)
+    feats = TR.apply_features(req, fitted, featured, serving=True)
+    feats = MD.align_columns(feats, cols, J.global_row(hist))
     scored = model.transform(feats).drop("features_raw", "features")
     c = CA.cascade(scored, hist)
     return B.calendar_ladder(B.history_base(c, low_fallback=variant != "train"), variant=variant, featured=featured)

@@ -22,21 +22,37 @@ WEATHER = ["temperatura", "humedad", "codigo_clima"]
 _NUM = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 
 
-def build_features(df: DataFrame, train: DataFrame, featured: str = FEATURED_RIDE, serving: bool = False) -> DataFrame:
-    """All model features for ``df`` (prepared rows with fecha, hora_num, atraccion, zona,
-    weather columns), with every data-dependent piece fitted on ``train``. ``serving``: rows are
-    requests, whose missing weather code takes the fixed default, not the median (F26). Missing
-    feels-like is the temperature."""
-    from waitcast.functions.fill import REQUEST_DEFAULTS
-    from waitcast.operators.history import column_percentiles
-    # requests may come without weather: absent columns are NULL and take the training median;
-    # a weather column absent from the training rows takes the reference's fixed default
-    df = df.withColumns({c: F.lit(None).cast("double") for c in WEATHER if c not in df.columns})
+def fit_features(train: DataFrame, featured: str = FEATURED_RIDE) -> dict[str, DataFrame]:
+    """Everything that :func:`apply_features` takes from the training rows, as tables to save (S10):
+    ``medians`` (one row: weather columns that ``train`` has), ``histories`` (A7, with the global grain), ``target`` (one row: the mean
+    wait), and for zone and ride ``enc_<column>``: category, smoothed target mean (M4) and rows with a wait (M6)."""
+    from waitcast.operators import history as H
     in_train = [c for c in WEATHER if c in train.columns]
-    d = df
+    fitted = {"medians": H.column_percentiles(train, in_train, [0.5])} if in_train else {}
+    fitted["histories"] = H.all_histories(calendar_features(train, hora="hora_num", featured=featured))
+    known = train.where(F.col("tiempo_espera").isNotNull())
+    target = known.agg(F.avg("tiempo_espera").alias("mean_wait"))
+    fitted["target"] = target
+    for col in ("zona", "atraccion"):
+        if col in train.columns:
+            stats = known.where(F.col(col).isNotNull()).groupBy(col).agg(F.avg("tiempo_espera").alias("_m"), F.count(F.lit(1)).alias(f"{col}_freq"))
+            n = F.col(f"{col}_freq")
+            smooth = (n * F.col("_m") + F.lit(float(E.SMOOTHING)) * F.col("mean_wait")) / (n + F.lit(float(E.SMOOTHING)))
+            fitted[f"enc_{col}"] = with_scalars(stats, target).select(col, smooth.alias(f"{col}_enc"), f"{col}_freq")
+    return fitted
+
+
+def apply_features(df: DataFrame, fitted: dict[str, DataFrame], featured: str = FEATURED_RIDE, serving: bool = False) -> DataFrame:
+    """All model features for ``df`` (prepared rows with fecha, hora_num, atraccion, zona, weather columns) from the tables
+    of :func:`fit_features`, materialised or saved. ``serving``: rows are requests, whose missing weather code takes the fixed
+    default, not the median (F26). Missing feels-like is the temperature. A weather column that the training rows lacked takes the
+    fixed default; an unseen or NULL category the mean wait and frequency 0."""
+    from waitcast.functions.fill import REQUEST_DEFAULTS
+    d = df.withColumns({c: F.lit(None).cast("double") for c in WEATHER if c not in df.columns})
+    medians = fitted.get("medians")
+    in_train = [c for c in WEATHER if medians is not None and f"{c}__0" in medians.columns]
     if in_train:
-        med = column_percentiles(train, in_train, [0.5], prefix="_m_")    # one row
-        d = with_scalars(d, med)
+        d = with_scalars(d, medians.select(*[F.col(f"{c}__0").alias(f"_m_{c}__0") for c in in_train]))
     fills = {c: F.coalesce(F.col(c).cast("double"),
                            F.col(f"_m_{c}__0") if c in in_train and not (serving and c == "codigo_clima") else F.lit(float(REQUEST_DEFAULTS[c])))
              for c in WEATHER}
@@ -44,20 +60,30 @@ def build_features(df: DataFrame, train: DataFrame, featured: str = FEATURED_RID
     felt = [F.col("sensacion_termica").cast("double")] if "sensacion_termica" in d.columns else []
     d = d.withColumn("sensacion_termica", F.coalesce(*felt, F.col("temperatura")))
     d = calendar_features(d, hora="hora_num", featured=featured)
-    tr = calendar_features(train, hora="hora_num", featured=featured)
-    d = J.attach_and_fill(d, tr)
+    hist = fitted["histories"]
+    d = J.fill_by_family(J.attach_histories(d, None, hist=hist), None, hist=hist)
     for col in ("zona", "atraccion"):
         if col not in d.columns:
             d = d.withColumn(col, F.lit(None).cast("string"))
-        if col in train.columns:
-            d = E.target_mean_encoding(d, train, col, smoothing=E.SMOOTHING)
-            d = J.frequency_lookup(d, train.where(F.col("tiempo_espera").isNotNull()), col)
-        else:                      # no training column: global mean encoding, zero frequency
-            g = train.agg(F.avg("tiempo_espera").alias(f"{col}_enc"))
-            d = with_scalars(d, g).withColumn(f"{col}_freq", F.lit(0))
+        if f"enc_{col}" in fitted:
+            d = J.size_checked_join(d, fitted[f"enc_{col}"], col, "left")
+        else:
+            d = d.withColumns({f"{col}_enc": F.lit(None).cast("double"), f"{col}_freq": F.lit(None).cast("long")})
+        d = with_scalars(d, fitted["target"])
+        d = d.withColumns({f"{col}_enc": F.coalesce(f"{col}_enc", "mean_wait"), f"{col}_freq": F.coalesce(f"{col}_freq", F.lit(0))}).drop("mean_wait")
     return d
 
 
+def materialised(fitted: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The fitted tables, each computed once (reliable checkpoint)."""
+    return {name: df.checkpoint(eager=True) for name, df in fitted.items()}
+
+
+def build_features(df: DataFrame, train: DataFrame, featured: str = FEATURED_RIDE, serving: bool = False) -> DataFrame:
+    """:func:`apply_features` with every data-dependent piece fitted on ``train``."""
+    return apply_features(df, materialised(fit_features(train, featured)), featured, serving)
+
+
 def feature_columns(features: DataFrame) -> list[str]:
     """M22's saved column list: numeric columns except ids and targets, in table order."""
     return [f.name for f in features.schema.fields
@@ -74,26 +100,24 @@ def run_training(spark: SparkSession, readings: DataFrame, root: str, featured:
                  config: str = "spark_100_005_8") -> DataFrame:
     """End-to-end training job (the reference's training script as one Spark plan).
 
-    Hash split (M1) -> training rows (median hour fill) / held-out rows -> features fitted
-    on the train rows -> M8+M9+GBT pipeline -> artifacts under ``root`` (S10/S11):
-    ``histories`` (one-pass A7 table), ``train_rows`` (the processed training table the
-    encodings and fills are fitted on), ``columns`` (M22 column list with positions) and
-    ``pipeline``. Returns the held-out regression metrics (M14/M15) as a one-row frame.
+    Hash split (M1) -> training rows (median hour fill) / held-out rows -> features fitted on the train rows
+    -> M8+M9+GBT pipeline -> a published version of the artifact store at ``root`` (S10/S11): the tables of
+    :func:`fit_features`, ``columns`` (M22 column list with positions), ``train_rows`` (the processed training table,
+    which serving does not read) and ``pipeline``. Returns the held-out regression metrics (M14/M15) as a one-row frame.
     """
-    from waitcast.operators import history as H
     from waitcast.operators.metrics import regression_metrics
     from waitcast.plans import scoring as S
-    from waitcast.sources import files as FS
+    from waitcast.sources import artifacts as A
 
     raw_tr, raw_te = E.hash_split(readings, "row_id")
-    # the training rows feed ~8 materialisations (histories, encodings, fills, features):
+    # the training rows feed several materialisations (histories, encodings, fills, features):
     # checkpoint them once instead of re-deriving them from the source each time
     tr, te = S.prepare_training(raw_tr).checkpoint(eager=True), S.prepare_requests(raw_te)
-    ftr, fte = build_features(tr, tr, featured), build_features(te, tr, featured)
+    fitted = materialised(fit_features(tr, featured))
+    ftr, fte = apply_features(tr, fitted, featured), apply_features(te, fitted, featured)
     cols = feature_columns(ftr)
     model = fitted_gbt(spark, ftr, cols, config)
     colframe = spark.createDataFrame(list(enumerate(cols)), "pos int, feature string")
-    FS.save_artifacts({"histories": H.all_histories(tr), "train_rows": tr, "columns": colframe}, root)
-    FS.save_pipeline(model, f"{root}/pipeline")
+    A.publish(spark, root, {**fitted, "train_rows": tr, "columns": colframe}, {"pipeline": model})
     pred = model.transform(fte).select(F.col("tiempo_espera").alias("y"), F.col("pred_base").alias("pred"))
     return regression_metrics(pred)
