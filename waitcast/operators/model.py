@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waitcast.functions.labels import CLASS_MINUTES, wait_class_rule
-from waitcast.operators.encode import hash_u32
+from waitcast.operators.encode import hash_split_flag, hash_u32
 from waitcast.operators.joins import size_checked_join
 from waitcast.session import ensure_checkpoint_dir
 from waitcast.operators.scalars import with_scalars
@@ -76,6 +76,30 @@ def fit_pipeline(spark: SparkSession, train: DataFrame, cols: list[str], estimat
     return Pipeline(stages=[assembler(cols), scaler(), estimator]).fit(data)
 
 
+def fit_validated(spark: SparkSession, train: DataFrame, cols: list[str], key: str, estimator: GBTRegressor, val_frac: float = 0.2,
+                  tolerance: float = 0.01) -> tuple[PipelineModel, DataFrame]:
+    """M1 + M10/M11: boosted trees fitted with a validation part of the train rows, and the loss curve.
+
+    A hash of ``key`` sets ``val_frac`` of the rows aside (the nested split of :func:`waitcast.operators.encode.nested_split`). Assembler and
+    scaler see all train rows, as the reference scales before it splits. Trees are added while the validation loss falls by more than
+    ``tolerance`` (MLlib's rule), up to the estimator's number; those up to the least loss are kept. Returns the pipeline and (trees,
+    loss_fit, loss_validation): mean squared errors after each kept tree.
+    """
+    ensure_checkpoint_dir(spark)
+    label = estimator.getLabelCol()
+    part = ~hash_split_flag(key, 1 - val_frac, seed=7919)
+    data = train.select(*cols, *[c for c in (label,) if c not in cols], part.alias("_validation")).checkpoint(eager=True)
+    estimator = estimator.copy({estimator.validationIndicatorCol: "_validation", estimator.validationTol: tolerance})
+    model = Pipeline(stages=[assembler(cols), scaler(), estimator]).fit(data)
+    features = data
+    for stage in model.stages[:-1]:
+        features = stage.transform(features)
+    losses = [model.stages[-1].evaluateEachIteration(features.where(which), "squared") for which in ("NOT _validation", "_validation")]
+    # a model property: one row per tree
+    curve = [(i, float(a), float(b)) for i, (a, b) in enumerate(zip(*losses, strict=True), 1)]
+    return model, spark.createDataFrame(curve, "trees int, loss_fit double, loss_validation double")
+
+
 def as_array(df: DataFrame, col: str = "features", out: str | None = None) -> DataFrame:
     return df.withColumn(out or col, vector_to_array(F.col(col)))
 

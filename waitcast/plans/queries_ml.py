@@ -109,6 +109,27 @@ def m11(spark, sf):
     return out.select("config", "n", "finite")
 
 
+_INNER_SQL = "((((row_id + 7919) % 2147483648) * 2654435761) % 4294967296 < 0.8 * 4294967296)"
+
+
+@query("m1_validated_fit", f"select count(*) filter (where {_INNER_SQL}) n_fit, count(*) filter (where not {_INNER_SQL}) n_validation, true beats_the_mean, "
+       f"true last_is_least, true fewer_than_asked from @RO where {SPLIT_SQL} and tiempo_espera is not null")
+def m1v(spark, sf):
+    """M1 nested split: boosted trees (500 at most, depth 6, step 0.1) fitted against a validation fifth of the train rows. The loss on it
+    is below that of the fitted part's mean, the kept trees end at the least loss, and the fit stopped before its limit."""
+    tr, ftr, _, cols = _features(spark, sf)
+    model, curve = MD.fit_validated(spark, ftr, cols, "row_id", MD.gbt("xgb_500_01_6"))
+    inner = tr.withColumn("fit", E.hash_split_flag("row_id", 0.8, seed=7919))
+    y = F.col("tiempo_espera")
+    inner = with_scalars(inner, inner.where("fit").agg(F.avg(y).alias("mean")))
+    sizes = inner.agg(F.sum(F.col("fit").cast("int")).alias("n_fit"), F.sum((~F.col("fit")).cast("int")).alias("n_validation"),
+                      F.avg(F.when(~F.col("fit"), F.pow(y - F.col("mean"), 2))).alias("of_mean"))
+    ends = curve.agg(F.min("loss_validation").alias("least"), F.max_by("loss_validation", "trees").alias("last"), F.max("trees").alias("trees"))
+    both = with_scalars(sizes, ends)
+    return both.select("n_fit", "n_validation", (F.col("least") < F.col("of_mean")).alias("beats_the_mean"),
+                       (F.col("last") == F.col("least")).alias("last_is_least"), (F.col("trees") < 500).alias("fewer_than_asked"))
+
+
 @query("m12_random_forest_classes")
 def m12(spark, sf):
     """Random forest (300 trees, depth 10) on class representative minutes (10/30/60);

@@ -10,20 +10,22 @@ same flow is a file stream:
       (keep-first; bounded state);
 * X3  keep-last merge into the curated table inside ``foreachBatch``: only the
       date-range partitions present in the micro-batch are read, merged and
-      overwritten (dynamic partition overwrite, set on the write), so a tick costs O(batch), not
+      written as new versions, and one commit file switches to them, so a tick costs O(batch), not
       O(table). A replayed batch id is a no-op (idempotent sink);
 * X4  the batch cleaning/enrichment chain applied to each micro-batch;
 * X5  stream-static left joins (weather, histories);
 * X6  15-minute tick rollup per ride with a watermark (append mode, or update mode into
       an append log whose newest version per key is the result).
 
-The merged partitions are checkpointed (reliable checkpoint in
-``spark.checkpoint.dir``) before being written back, so a micro-batch never
-reads and overwrites the same files in one job.
+Merged partitions go to new files and old ones are never touched, so a micro-batch
+never reads and overwrites the same files.
 """
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,11 +80,12 @@ def clean_batch(batch: DataFrame) -> DataFrame:
 class CuratedMerge:
     """``foreachBatch`` sink that keeps the newest reading per key.
 
-    The curated table is parquet partitioned by the day of ``fecha`` (``_part``;
-    ``partition_format`` sets the grain). Each micro-batch:
-    de-duplicate the batch (keep last by ``seq``), read only the curated
-    partitions of the batch's dates, merge, checkpoint, and overwrite just
-    those partitions. The id of the last batch is kept, so a replayed batch is a no-op.
+    The curated table is parquet in partitions by the day of ``fecha`` (``partition_format`` sets the grain). Each
+    micro-batch: de-duplicate the batch (keep last by ``seq``), read only the curated partitions of the batch's dates,
+    merge, and write the merged partitions as new versions below ``parts/_held=<batch id>``. One commit file,
+    ``commits/b=<batch id>.json``, then names the version that holds each partition, and the batch id with them.
+    It is the only step that readers see: a failure before it leaves the old table, a replay writes over what was
+    left, and a batch id that is committed is a no-op. Versions are never changed, so a reader keeps its table.
 
     ``prefer="seq"`` (default) keeps the row with the largest ``seq`` whatever
     batch it came in: the result does not depend on file arrival order.
@@ -99,45 +102,72 @@ class CuratedMerge:
         # of thousands of small daily ones
         self.partition_format = partition_format
 
-    def _last_batch(self, spark: SparkSession) -> int:
-        marker = f"{self.path}/_last_batch"
-        if not _exists(spark, marker):
-            return -1
-        return spark.read.schema("batch_id long").parquet(marker).agg(F.max("batch_id")).first()[0]
-
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if batch_id <= self._last_batch(spark):
+        last = last_commit(spark, self.path)
+        if last is not None and batch_id <= last.batch_id:
             return
         b = self.transform(batch) if self.transform else batch
         b = D.keep_last(b, self.keys, self.seq)
         b = b.withColumn("_part", F.date_format("fecha", self.partition_format)).checkpoint(eager=True)
         # partition names, not rows: the days (or months) of one micro-batch
-        parts = [r[0] for r in b.select("_part").distinct().collect()]
-        if _exists(spark, f"{self.path}/data"):
-            touched = F.col("_part").cast("string").isin([p for p in parts if p is not None])
-            if None in parts:            # rows without a date have a partition too
-                touched = F.coalesce(touched, F.lit(True))
-            cur = spark.read.parquet(f"{self.path}/data").where(touched).withColumn("_part", F.col("_part").cast("string"))
+        parts = {r[0] for r in b.select("_part").distinct().collect()}
+        held = last.held if last else {}
+        old = last.read(spark, parts & set(held)) if parts & set(held) else None
+        merged = b
+        if old is not None:
+            old = old.withColumn("_part", F.date_format("fecha", self.partition_format)).select(*b.columns)
             if self.prefer == "arrival":
-                merged = D.precedence_merge([cur.select(*b.columns), b], self.keys, self.seq)
+                merged = D.precedence_merge([old, b], self.keys, self.seq)
             else:
-                merged = D.keep_last(D.union_aligned(cur.select(*b.columns), b), self.keys, self.seq)
-            merged = merged.checkpoint(eager=True)
-        else:
-            merged = b
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_part")
-         .parquet(f"{self.path}/data"))
-        spark.createDataFrame([(batch_id,)], "batch_id long").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_last_batch")
+                merged = D.keep_last(D.union_aligned(old, b), self.keys, self.seq)
+        if parts:
+            merged.write.mode("overwrite").partitionBy("_part").parquet(f"{self.path}/parts/_held={batch_id}")
+        self._commit(spark, Commit(self.path, batch_id, {**held, **dict.fromkeys(parts, batch_id)}, b.drop("_part").schema))
+
+    def _commit(self, spark: SparkSession, commit: Commit) -> None:
+        rows = [(commit.batch_id, len(commit.held), part, holder, None) for part, holder in commit.held.items()]
+        rows.append((commit.batch_id, len(commit.held), None, None, commit.schema.json()))
+        spark.createDataFrame(rows, COMMIT).coalesce(1).write.mode("overwrite").json(f"{self.path}/commits/b={commit.batch_id}.json")
+
+
+#: Rows of a commit file: one per partition with the batch id that holds it, and one with the table's schema.
+COMMIT = "batch_id long, entries int, part string, holder long, schema string"
+
+
+@dataclass(frozen=True)
+class Commit:
+    """One state of a curated table: which version holds each partition (None: rows without a date)."""
+
+    path: str
+    batch_id: int
+    held: dict[str | None, int]
+    schema: T.StructType
+
+    def read(self, spark: SparkSession, parts: set[str | None] | None = None) -> DataFrame:
+        """The table, or some of its partitions."""
+        chosen = self.held if parts is None else {p: self.held[p] for p in parts}
+        if not chosen:
+            return spark.createDataFrame([], self.schema)
+        root = f"{self.path}/parts"
+        paths = [f"{root}/_held={holder}/_part={'__HIVE_DEFAULT_PARTITION__' if part is None else part}" for part, holder in sorted(chosen.items(), key=str)]
+        return spark.read.schema(self.schema).option("basePath", root).parquet(*paths).select(*self.schema.names)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """True when a parquet dataset exists at ``path`` (works for any Hadoop file system)."""
+def last_commit(spark: SparkSession, path: str) -> Commit | None:
+    """The newest commit of a curated table. Commit files are listed, only the newest is read."""
     try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves the path only
-        return True
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(f"{path}/commits")
     except AnalysisException:
-        return False
+        return None
+    newest = files.select(F.max(F.regexp_extract("path", r"/b=(\d+)\.json/", 1).cast("long"))).first()[0]
+    if newest is None:
+        return None
+    rows = spark.read.schema(COMMIT).json(f"{path}/commits/b={newest}.json").collect()  # a row per partition
+    held = {r["part"]: r["holder"] for r in rows if r["schema"] is None}
+    if not rows or len(held) != rows[0]["entries"]:
+        raise RuntimeError(f"commit {newest} of {path} is incomplete")
+    return Commit(path, newest, held, T.StructType.fromJson(json.loads(next(r["schema"] for r in rows if r["schema"] is not None))))
 
 
 class AppendLog:
@@ -175,5 +205,8 @@ def run_to_parquet(df: DataFrame, path: str, checkpoint: str, output_mode: str =
 
 
 def read_curated(spark: SparkSession, path: str) -> DataFrame:
-    """The curated table written by :class:`CuratedMerge` (partition helper column dropped)."""
-    return spark.read.parquet(f"{path}/data").drop("_part")
+    """The curated table written by :class:`CuratedMerge`, as of its newest commit."""
+    last = last_commit(spark, path)
+    if last is None:
+        raise FileNotFoundError(f"no commit in {path}")
+    return last.read(spark)
