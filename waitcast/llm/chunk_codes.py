@@ -23,7 +23,7 @@ from waitcast.llm.bpe import chunks, ragged
 #: A worker's memory of chunks is started anew at so many.
 CACHE_CHUNKS = 3 << 19
 #: Texts are worked through in pieces of about so many bytes.
-PIECE_BYTES = 1 << 23
+PIECE_BYTES = 1 << 22
 
 #: The two text schemes for which chunks between spaces are known to be independent.
 BYTE_LEVEL = (None, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True})
