@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -88,9 +89,32 @@ def test_bpe_round_trip(edge, clashing, edge_rows, ranks):
         assert table([(r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in got.collect()]) == table(want)
 
 
-def test_bpe_in_many_small_batches(spark, edge, edge_rows, ranks):
-    got = bpe.encode(edge.repartition(5), ranks, public_tokenizers.PATTERN, batch_chunks=40)
-    assert table([(r.doc_id, bytes(r.ids)) for r in got.collect()]) == table([(i, plain_ids(ranks, t)) for i, t, _ in edge_rows])
+def test_bpe_in_many_small_batches(edge, edge_rows, ranks, monkeypatch):
+    monkeypatch.setattr(bpe, "SEND_WORDS", 50)
+    for batch_bytes in (1, 300, 5000):
+        got = bpe.encode(edge.repartition(5), ranks, public_tokenizers.PATTERN, batch_bytes=batch_bytes)
+        assert table([(r.doc_id, bytes(r.ids)) for r in got.collect()]) == table([(i, plain_ids(ranks, t)) for i, t, _ in edge_rows])
+
+
+def test_positions_of_a_batch_in_several_rows(edge_rows, monkeypatch):
+    import regex
+    monkeypatch.setattr(bpe, "ROW_WORDS", 30)
+    monkeypatch.setattr(bpe, "GROUP_CHUNKS", 7)
+    batch = bpe.Batch()
+    for lo in range(0, len(edge_rows), 5):
+        some = edge_rows[lo:lo + 5]
+        batch.add(pa.array([i for i, _, _ in some], pa.int64()), pa.array([t or "" for _, t, _ in some], pa.large_string()))
+    rows = list(batch.rows(3, public_tokenizers.PATTERN))
+    words = {r["base"] + k: w for b in rows for r in b.to_pylist() for k, w in enumerate(r["words"])}
+    got = []
+    for b in rows:
+        (r,) = b.to_pylist()
+        at = bpe.unpack(r["positions"]).tolist()
+        for doc_id, n in zip(r["ids"], r["sizes"], strict=True):
+            got.append((doc_id, [words[k] for k in at[:n]]))
+            at = at[n:]
+    assert len(rows) > 5 and len(set(words.values())) == len(words) and {r["batch"] for b in rows for r in b.to_pylist()} == {3}
+    assert got == [(i, regex.findall(public_tokenizers.PATTERN, t or "")) for i, t, _ in edge_rows]
 
 
 def test_chunks_never_cut_a_pretoken():
@@ -104,6 +128,11 @@ def test_chunks_never_cut_a_pretoken():
         first, *rest = bpe.chunks(text)
         assert first + "".join(f" {c}" for c in rest) == text
         assert [w for c in (first, *[f" {c}" for c in rest]) for w in find(c)] == find(text)
+        some = [text, "plain words here", text[::-1], ""]
+        flat, sizes = bpe.cut(pa.array(some, pa.large_string()))
+        cut, ends = flat.to_pylist(), np.cumsum(sizes).tolist()
+        for a, b, t in zip([0, *ends], ends, some, strict=False):
+            assert [w for i, c in enumerate(cut[a:b]) for w in find(f" {c}" if i else c)] == find(t)
 
 
 def test_decode_refuses_unknown_ids_and_keeps_nulls(spark, ranks):

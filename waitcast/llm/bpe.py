@@ -17,9 +17,11 @@ import base64
 import re
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 import zstandard
@@ -30,9 +32,11 @@ from pyspark.sql import types as T
 
 from waitcast.llm.scratch import folder, partitions
 
-#: A batch ends when it holds so many distinct chunks, or words in all; bounds a task's memory.
-BATCH_CHUNKS = 1 << 20
-BATCH_WORDS = 1 << 24
+#: A batch ends at so many bytes of text, or after one longer text; bounds a task's memory.
+BATCH_BYTES = 1 << 25
+#: Texts are cut in groups of about so many bytes, and so many distinct chunks are cut further at a time.
+GROUP_BYTES = 1 << 21
+GROUP_CHUNKS = 1 << 14
 #: Words whose ids are sent back in one row at most.
 SEND_WORDS = 1 << 20
 #: Documents of a batch stored in one row: up to about so many positions.
@@ -45,16 +49,10 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
-class Numbered(dict):
-    """Numbers keys in the order in which they are first asked for."""
-
-    def __missing__(self, key: object) -> int:
-        n = self[key] = len(self)
-        return n
-
-
 _LOOSE_SPACE = re.compile(r" (?:\s|\Z)")
 _CHUNK = re.compile(r"(?= \S)")
+#: The same for Arrow, whose white space is a superset of Python's.
+_MAYBE_LOOSE = r" (?:[\s\x0b\x1c-\x1f\x{85}\p{Z}]|$)"
 
 
 def chunks(text: str) -> list[str]:
@@ -78,6 +76,27 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1]) + np.repeat(starts - (ends - sizes), sizes)
 
 
+def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """chunks() of some texts (large strings without nulls), one text after another, and how many each text has."""
+    loose = pc.match_substring_regex(texts, _MAYBE_LOOSE).to_numpy(zero_copy_only=False)
+    strict = pc.split_pattern(texts.filter(pa.array(~loose)), " ")
+    flat, sizes = strict.flatten(), np.diff(strict.offsets.to_numpy())
+    if not loose.any():
+        return flat, sizes
+    lists = [chunks(t) for t in texts.filter(pa.array(loose)).to_pylist()]
+    flat = pa.concat_arrays([flat, pa.array(chain.from_iterable(lists), pa.large_string())])
+    sizes = np.concatenate([sizes, np.fromiter(map(len, lists), np.int64, len(lists))])
+    order = np.argsort(np.concatenate([np.flatnonzero(~loose), np.flatnonzero(loose)]))
+    return flat.take(pa.array(ragged((np.cumsum(sizes) - sizes)[order], sizes[order]))), sizes[order]
+
+
+def numbered(parts: list[pa.DictionaryArray]) -> tuple[pa.Array, np.ndarray]:
+    """The different values of all parts, and the number of each entry's value. Empties the list."""
+    one = pa.chunked_array(parts).unify_dictionaries()
+    parts.clear()
+    return one.chunk(0).dictionary, np.concatenate([c.indices.to_numpy() for c in one.chunks])
+
+
 def pack(numbers: np.ndarray) -> bytes:
     """Unsigned 32-bit numbers, byte plane by byte plane, in Zstandard."""
     planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
@@ -90,65 +109,88 @@ def unpack(data: bytes) -> np.ndarray:
 
 
 class Batch:
-    """Documents cut into chunks, by number."""
-
-    def __init__(self, most_chunks: int) -> None:
-        self.numbers, self.ids, self.documents, self.n, self.most_chunks = Numbered(), [], [], 0, most_chunks
-
-    def add(self, doc_id: int | None, text: str) -> None:
-        first, *rest = chunks(text)
-        get = self.numbers.__getitem__
-        self.ids.append(doc_id)
-        self.documents.append(np.array([get((first,)), *map(get, rest)], np.int64))  # a first chunk has no space before it
-        self.n += len(rest) + 1
-
-    @property
-    def full(self) -> bool:
-        return len(self.numbers) >= self.most_chunks or self.n >= BATCH_WORDS
+    """Documents cut into chunks. Chunks are held once for each group of texts, texts as numbers of their chunks."""
+
+    def __init__(self) -> None:
+        self.ids, self.sizes, self.chunks, self.bytes = [], [], [], 0
+
+    def add(self, ids: pa.Array, texts: pa.Array) -> None:
+        flat, sizes = cut(texts)
+        self.ids.append(ids)
+        self.sizes.append(sizes)
+        self.chunks.append(flat.dictionary_encode())
+        self.bytes += texts.nbytes
+
+    def words(self, pattern: str) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        """The batch's pre-tokens; which of them each different chunk has, one chunk after another; how many it has; and the
+        chunks of all texts by number."""
+        known, code = numbered(self.chunks)
+        # a text's first chunk has no space before it and is another one than the same chunk after a space
+        code *= 2
+        code += 1
+        n = np.concatenate(self.sizes)
+        code[np.cumsum(n) - n] -= 1
+        used = np.zeros(2 * len(known), bool)
+        used[code] = True
+        sequence = (np.cumsum(used, dtype=np.int32) - 1)[code]
+        del code
+        used = np.flatnonzero(used)
+        find, sizes, parts = regex.compile(pattern).findall, [], []
+        for lo in range(0, len(used), GROUP_CHUNKS):
+            some = used[lo:lo + GROUP_CHUNKS]
+            found = [find(f" {c}" if spaced else c) for c, spaced in zip(known.take(pa.array(some >> 1)).to_pylist(), (some & 1).tolist(), strict=True)]
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+            parts.append(pa.array(chain.from_iterable(found), pa.string()).dictionary_encode())
+        return *numbered(parts), np.concatenate(sizes), sequence
 
     def rows(self, name: int, pattern: str) -> Iterator[pa.RecordBatch]:
-        find, words = regex.compile(pattern).findall, Numbered()
-        cut = [[words[w] for w in find(c[0] if isinstance(c, tuple) else f" {c}")] for c in self.numbers]
-        size = np.fromiter(map(len, cut), np.int64, len(cut))
-        flat = np.fromiter((w for c in cut for w in c), np.int64, int(size.sum()))
+        words, flat, size, sequence = self.words(pattern)
         at = np.cumsum(size) - size
-        # positions of some documents in each row, the words with the first
-        lengths = np.fromiter(map(len, self.documents), np.int64, len(self.documents))
-        group = (np.cumsum(lengths) - lengths) // ROW_WORDS
+        ids, lengths = pa.concat_arrays(self.ids), np.concatenate(self.sizes)
+        # positions of some documents in each row, and some of the words
+        ends = np.cumsum(lengths)
+        group = (ends - lengths) // ROW_WORDS
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(lengths)]
+        share = -(-len(words) // (len(cuts) - 1))
         for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-            sequence = np.concatenate(self.documents[a:b])
-            ends = np.cumsum(np.concatenate([[0], size[sequence]]))[np.cumsum(lengths[a:b])]
-            sizes = np.diff(np.concatenate([[0], ends]))
-            positions = flat[ragged(at[sequence], size[sequence])]
+            part = sequence[ends[a] - lengths[a]:ends[b - 1]]
+            last = np.cumsum(np.concatenate([[0], size[part]]))[np.cumsum(lengths[a:b])]
+            sizes = np.diff(np.concatenate([[0], last]))
+            own = words.slice(i * share, share)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name], pa.int64()), pa.array([self.ids[a:b]], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())),
-                 pa.array([pack(positions)], pa.binary()), pa.array([list(words) if i == 0 else None], pa.list_(pa.string()))],
-                names=["batch", "ids", "sizes", "positions", "words"])
+                [pa.array([name], pa.int64()), pa.ListArray.from_arrays([0, b - a], ids.slice(a, b - a)), pa.ListArray.from_arrays([0, b - a], pa.array(sizes)),
+                 pa.array([pack(flat[ragged(at[part], size[part])])], pa.binary()), pa.array([i * share], pa.int64()), pa.ListArray.from_arrays([0, len(own)], own)],
+                names=["batch", "ids", "sizes", "positions", "base", "words"])
 
 
-def split(docs: DataFrame, pattern: str, batch_chunks: int = BATCH_CHUNKS) -> DataFrame:
+def split(docs: DataFrame, pattern: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Positions of the pre-tokens of ``docs`` (doc_id, text), batch by batch, as a table bucketed by batch.
 
     batch; ids, sizes: doc_id and number of pre-tokens of some documents; positions: the numbers of their
-    pre-tokens, packed; words: the batch's pre-tokens by number, on one row of each batch.
+    pre-tokens, packed; words: some of the batch's pre-tokens, numbered from base.
     """
     spark: SparkSession = docs.sparkSession
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = TaskContext.get().partitionId() << 32
-        batch = Batch(batch_chunks)
+        batch, most = Batch(), min(GROUP_BYTES, batch_bytes)
         for b in batches:
-            for doc_id, text in zip(b.column(0), b.column(1), strict=True):
-                batch.add(doc_id.as_py(), text.as_py() or "")
-                if batch.full:
+            texts, at = pc.fill_null(b.column(1).cast(pa.large_string()), ""), 0
+            ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+            while at < len(b):
+                upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
+                batch.add(b.column(0).slice(at, upto - at), texts.slice(at, upto - at))
+                at = upto
+                if batch.bytes >= batch_bytes:
                     yield from batch.rows(name, pattern)
-                    name, batch = name + 1, Batch(batch_chunks)
+                    name, batch = name + 1, Batch()
         if batch.ids:
             yield from batch.rows(name, pattern)
+        del batch
+        pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "batch long, ids array<long>, sizes array<long>, positions binary, words array<string>")
+        run, "batch long, ids array<long>, sizes array<long>, positions binary, base long, words array<string>")
     table = f"positions_{uuid.uuid4().hex}"
     (rows.write.format("parquet").option("compression", "zstd").bucketBy(partitions(spark), "batch").sortBy("batch")
      .saveAsTable(table, path=folder(spark, "positions")))
@@ -158,13 +200,13 @@ def split(docs: DataFrame, pattern: str, batch_chunks: int = BATCH_CHUNKS) -> Da
 def encode_words(split_rows: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """(batch, at, sizes, ids): the ids of each batch's pre-tokens, packed, in some rows of many words each."""
     n = partitions(split_rows.sparkSession)
-    words = split_rows.where("words IS NOT NULL").select("batch", F.posexplode("words").alias("at", "word"))
+    words = split_rows.select("batch", "base", F.posexplode("words").alias("at", "word")).withColumn("at", (F.col("base") + F.col("at")).cast("int"))
     words = words.repartition(n, "word").sortWithinPartitions("word")
 
-    def send(batch: np.ndarray, at: np.ndarray, which: np.ndarray, encoded: list[list[int]]) -> Iterator[pa.RecordBatch]:
-        size = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        flat = np.fromiter((i for e in encoded for i in e), np.int64, int(size.sum()))
+    def send(held: list[tuple[np.ndarray, ...]], encoded: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        size, flat = map(np.concatenate, zip(*encoded, strict=True))
         start = np.cumsum(size) - size
+        batch, at, which = map(np.concatenate, zip(*held, strict=True))
         order = np.lexsort((at, batch))
         batch, at, which = batch[order], at[order], which[order]
         cuts = [0, *(np.flatnonzero(np.diff(batch)) + 1).tolist(), len(batch)]
@@ -176,26 +218,35 @@ def encode_words(split_rows: DataFrame, ranks: dict[bytes, int], pattern: str) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        last, encoded, held = None, [], []
+        last, last_ids, known, n_rows, encoded, held = None, [], 0, 0, [], []
         for b in batches:
-            word = b.column(2)
-            codes = word.dictionary_encode()
             # rows come sorted, so equal words follow each other, over batches too
+            codes = b.column(2).dictionary_encode()
             fresh = codes.dictionary.to_pylist()
-            skip = bool(fresh) and fresh[0] == last and bool(encoded)
-            base = len(encoded) - skip
-            encoded += [encode(w) for w in fresh[skip:]]
-            last = fresh[-1] if fresh else last
-            held.append((b.column(0).to_numpy(), b.column(1).to_numpy().astype(np.int64), codes.indices.to_numpy().astype(np.int64) + base))
-            if sum(len(h[0]) for h in held) >= SEND_WORDS:
-                yield from send(*map(np.concatenate, zip(*held, strict=True)), encoded)
-                encoded, held = [], []
+            if not fresh:
+                continue
+            if fresh[0] == last and not known:
+                encoded, known = [_flat([last_ids])], 1
+            again = int(fresh[0] == last)
+            lists = [encode(w) for w in fresh[again:]]
+            held.append((b.column(0).to_numpy(), b.column(1).to_numpy(), codes.indices.to_numpy() + (known - again)))
+            encoded.append(_flat(lists))
+            last, last_ids, known, n_rows = fresh[-1], lists[-1] if lists else last_ids, known + len(lists), n_rows + len(b)
+            if n_rows >= SEND_WORDS:
+                yield from send(held, encoded)
+                known, n_rows, encoded, held = 0, 0, [], []
         if held:
-            yield from send(*map(np.concatenate, zip(*held, strict=True)), encoded)
+            yield from send(held, encoded)
 
     return words.select("batch", "at", "word").mapInArrow(run, "batch long, at binary, sizes binary, ids binary")
 
 
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of some lists, and their entries."""
+    size = np.fromiter(map(len, lists), np.int64, len(lists))
+    return size, np.fromiter(chain.from_iterable(lists), np.uint32, int(size.sum()))
+
+
 def _reassemble(positions: pa.Table, words: pa.Table) -> pa.Table:
     """(doc_id, ids) of one batch: each document's ids by position, as little-endian unsigned 32-bit integers."""
     place, size, ids = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (
@@ -204,24 +255,31 @@ def _reassemble(positions: pa.Table, words: pa.Table) -> pa.Table:
         [unpack(v.as_py()) for v in words.column("ids")]))
     start_of, size_of = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
     start_of[place], size_of[place] = np.cumsum(size) - size, size
-    names, out = [], []
+    out = []
     for row in range(positions.num_rows):
-        sequence = unpack(positions.column("positions")[row].as_py()).astype(np.int64)
-        found = ids[ragged(start_of[sequence], size_of[sequence])].astype("<u4")
-        ends = np.concatenate([[0], np.cumsum(size_of[sequence])])[np.concatenate([[0], np.cumsum(positions.column("sizes")[row].values.to_numpy())])]
-        names += positions.column("ids")[row].as_py()
-        out += [found[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)]
-    return pa.table({"doc_id": pa.array(names, pa.int64()), "ids": pa.array(out, pa.binary())})
+        sequence = unpack(positions.column("positions")[row].as_py())
+        n_ids, n_words = size_of[sequence], positions.column("sizes")[row].values.to_numpy()
+        found = ids[ragged(start_of[sequence], n_ids)].astype("<u4")
+        ends = np.concatenate([[0], np.cumsum(n_ids)])[np.concatenate([[0], np.cumsum(n_words)])]
+        names = positions.column("ids")[row].values
+        out.append(pa.RecordBatch.from_arrays([names, _binary(4 * ends, found)], names=["doc_id", "ids"]))
+    return pa.Table.from_batches(out, pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())]))
+
+
+def _binary(ends: np.ndarray, data: np.ndarray) -> pa.Array:
+    """Binary values that follow each other in ``data``; ``ends``: 0 and the end of each in bytes."""
+    wide = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)])
+    return wide.cast(pa.binary())
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, batch_chunks: int = BATCH_CHUNKS) -> DataFrame:
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id and ids.
 
     ids: little-endian unsigned 32-bit integers, as the tiktoken library gives them for the whole text with
     these ranks and pattern and no special tokens. A null text is empty and has no ids. The pattern must let
     a space go with what follows it and leave the last one of several to it, as patterns of byte-level BPE do.
     """
-    rows = split(docs, pattern, batch_chunks)
+    rows = split(docs, pattern, batch_bytes)
     found = encode_words(rows, ranks, pattern)
     both = rows.select("batch", "ids", "sizes", "positions").groupBy("batch").cogroup(found.groupBy("batch"))
     return both.applyInArrow(_reassemble, "doc_id long, ids binary")
@@ -241,18 +299,20 @@ def decode(tokens: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     tokens = tokens.drop("decoded") if "decoded" in tokens.columns else tokens
     names, at = tokens.columns, tokens.columns.index("ids")
 
-    def one(value: pa.Scalar) -> bytes | None:
-        if not value.is_valid:
-            return None
-        found = np.frombuffer(value.as_buffer(), "<u4").astype(np.int64)
+    def bytes_of(texts: pa.Array) -> pa.Array:
+        lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) // 4
+        found = np.frombuffer(b"".join(v.as_buffer() for v in texts if v.is_valid), "<u4")
         if len(found) and (found.max() >= len(size) or size[found].min() < 0):
             raise ValueError("an id is not in the vocabulary")
-        return data[ragged(start[found], size[found])].tobytes()
+        n = size[found]
+        ends = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(lengths)])]
+        decoded = _binary(ends, data[ragged(start[found], n)])
+        return decoded if not texts.null_count else pc.if_else(pc.is_valid(texts), decoded, pa.scalar(None, pa.binary()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, len(b), 256):  # a few texts at a time
                 part = b.slice(lo, 256)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([one(v) for v in part.column(at)], pa.binary())], names=[*names, "decoded"])
+                yield pa.RecordBatch.from_arrays([*part.columns, bytes_of(part.column(at))], names=[*names, "decoded"])
 
     return tokens.mapInArrow(run, T.StructType([*tokens.schema.fields, T.StructField("decoded", T.BinaryType())]))
