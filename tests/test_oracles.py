@@ -13,7 +13,8 @@ SAMPLE = ["flagship_top_rides", "p6_quantile_trim", "d2_dedup_keep_last", "u3_pr
           "f1_parse_hour", "f15_bridge_day", "f22_clamp_round", "features_full_layer", "a7_history_all_grains",
           "j1_attach_histories", "j7_history_cascade", "b7_result_record", "b9_best_hour", "s4_feed_flatten",
           "s7_chart_extract", "a18_box_summary_by_ride", "m2_stratified_split", "m18_classification_metrics",
-          "x1_x3_stream_merge", "x6_tick_rollup"]
+          "x1_x3_stream_merge", "x6_tick_rollup", "m8_vector_entries", "m9_scaled_entries", "m22_aligned_requests",
+          "s13_qualified_path"]
 
 
 @pytest.fixture(scope="module")

@@ -42,6 +42,17 @@ def s1(spark, sf):
     return FS.read_csv(spark, f"{path}/*.csv", ORDERS_CSV_SCHEMA)
 
 
+@query("s13_qualified_path", f"select {_RO_COLS} from @RO")
+def s13(spark, sf):
+    """Two folders below a path with a scheme and a space, as of an object store, read by one glob."""
+    path = FS.staging_dir(spark, "store")
+    uri = path if ":/" in path else f"file://{path}"
+    rows = tb.readings_orders(spark, sf)
+    for name, part in (("a", rows.where("row_id % 2 = 0")), ("b", rows.where("row_id % 2 = 1"))):
+        FS.write_csv(part.select(*[f.name for f in ORDERS_CSV_SCHEMA.fields]), f"{uri}/raw 2025/{name}")
+    return FS.read_csv(spark, f"{uri}/raw 2025/{{a,b}}/*.csv", ORDERS_CSV_SCHEMA)
+
+
 @query("s3_tolerant_scan", """
 select zona, atraccion, round(tiempo_espera, 6) tiempo_espera, abierta, cast(null as timestamp) ultima_actualizacion,
        fecha, hora, cast(null as varchar) dia_semana, cast(null as timestamp) "timestamp", cast(null as integer) mes,

@@ -52,17 +52,43 @@ def m9(spark, sf):
     return MD.as_array(sc.transform(a.transform(fte)), "features").select("row_id", "features")
 
 
-_FITTED: dict = {}
+_NUMBERS = ["mes", "dia_semana_num", "temperatura", "humedad", "codigo_clima"]
+_NUMBERS_SQL = "(select row_id, tiempo_espera, month(fecha) mes, isodow(fecha) - 1 dia_semana_num, temperatura, humedad, codigo_clima from @RO)"
+
+
+def _number_rows(spark, sf):
+    rows = tb.readings_orders(spark, sf).withColumns({"mes": F.month("fecha"), "dia_semana_num": F.weekday("fecha")})
+    return E.hash_split(rows, "row_id")
+
+
+def _entries(array):
+    """The entries of a feature array as columns again, NaN as NULL."""
+    return [F.nanvl(F.element_at(array, i), F.lit(None).cast("double")).alias(c) for i, c in enumerate(_NUMBERS, 1)]
+
+
+@query("m8_vector_entries", f"select row_id, {len(_NUMBERS)} n_features, {', '.join(f'cast({c} as double) {c}' for c in _NUMBERS)} "
+       f"from {_NUMBERS_SQL} where not ({SPLIT_SQL})")
+def m8e(spark, sf):
+    """M8: calendar and weather numbers of the test rows assembled into a vector; its entries, NULL where the input is."""
+    _, te = _number_rows(spark, sf)
+    v = MD.as_array(MD.assembler(_NUMBERS).transform(te.select("row_id", *_NUMBERS)), "features_raw")
+    return rounded(v.select("row_id", F.size("features_raw").alias("n_features"), *_entries("features_raw")))
+
+
+@query("m9_scaled_entries", f"with n as (select row_id, {', '.join(f'coalesce({c}, 0) {c}' for c in _NUMBERS)} from {_NUMBERS_SQL}), "
+       f"s as (select {', '.join(f'avg({c}) a_{c}, stddev_samp({c}) s_{c}' for c in _NUMBERS)} from n where {SPLIT_SQL}) "
+       f"select row_id, {', '.join(f'round(({c} - a_{c}) / s_{c}, 6) {c}' for c in _NUMBERS)} from n, s where not ({SPLIT_SQL})")
+def m9e(spark, sf):
+    """M9: the same numbers, 0 where unknown, centred and scaled by mean and sample deviation of the train rows."""
+    tr, te = (MD.assembler(_NUMBERS).transform(d.select("row_id", *_NUMBERS).fillna(0)) for d in _number_rows(spark, sf))
+    v = MD.as_array(MD.scaler().fit(tr).transform(te), "features")
+    return rounded(v.select("row_id", *_entries("features")))
 
 
 def _gbt(spark, sf):
-    """Model, test features and columns. Several queries look at the same model of the same read-only tables, so
-    within an application it is fitted once for each ``sf``; the library's own fit never remembers anything."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _FITTED:
-        _, ftr, fte, cols = _features(spark, sf)
-        _FITTED[key] = TR.fitted_gbt(spark, ftr, cols), fte, cols
-    return _FITTED[key]
+    """Model, test features and columns; fitted anew for each query that asks."""
+    _, ftr, fte, cols = _features(spark, sf)
+    return TR.fitted_gbt(spark, ftr, cols), fte, cols
 
 
 @query("m10_gbt_regressor")
@@ -257,6 +283,22 @@ def m22(spark, sf):
     return MD.align_columns(freq.select("row_id", *[c for c in freq.columns if c in cols]), cols, g)
 
 
+@query("m22_aligned_requests", f"""
+with t as (select avg(tiempo_espera) mean, median(tiempo_espera) median, quantile_cont(tiempo_espera, 0.9) p90 from {_NUMBERS_SQL} where {SPLIT_SQL})
+select row_id, humedad, round(mean, 6) mean_hora, temperatura, cast(0 as double) count_mes, round(p90, 6) p90_dia, cast(0 as double) franja,
+       round(median, 6) median_atraccion from {_NUMBERS_SQL}, t where not ({SPLIT_SQL})""")
+def m22a(spark, sf):
+    """Requests with two of seven training columns, in another order, aligned to them: counts and unknown families 0, other history
+    columns by their family's global statistic of the train rows; columns the model does not know stay ahead."""
+    tr, te = _number_rows(spark, sf)
+    cols = ["humedad", "mean_hora", "temperatura", "count_mes", "p90_dia", "franja", "median_atraccion"]
+    g = H.global_stats(tr).select("mean", "median", "std", "p75", "p90", "p95")
+    out = MD.align_columns(te.select("temperatura", "row_id", "humedad"), cols, g)
+    if out.columns != ["row_id", *cols]:
+        raise ValueError(f"columns out of order: {out.columns}")
+    return rounded(out)
+
+
 @query("m23_batch_scoring_gbt")
 def m23(spark, sf):
     """Requests -> features -> fitted GBT -> cascade -> blend -> ladder -> result record."""
