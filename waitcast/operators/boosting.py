@@ -90,7 +90,7 @@ class Model:
     base: float
     depth: int
     trees: list[Tree] = field(default_factory=list)
-    #: (trees, loss_fit, loss_validation) after each tree that was grown; None without validation rows
+    #: (trees, loss_fit, loss_validation) from no tree to all that were grown; None without validation rows
     losses: list[tuple[int, float, float | None]] = field(default_factory=list)
 
     def importances(self) -> dict[str, int]:
@@ -142,8 +142,8 @@ def _with_trees(bins: np.ndarray, prediction: np.ndarray, trees: list[Tree], dep
     return prediction
 
 
-def _prepare(df: DataFrame, model: Model, label: str, key: str, validation: Column) -> DataFrame:
-    """The state table: bins of every row with a label, and the mean as prediction."""
+def _prepare(rows: DataFrame, model: Model) -> DataFrame:
+    """The state table of rows (key, label, validation, features): their bins, and the mean as prediction."""
     cuts, base = model.cuts, model.base
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,8 +153,6 @@ def _prepare(df: DataFrame, model: Model, label: str, key: str, validation: Colu
             yield pa.RecordBatch.from_arrays([bins, *b.columns[:3], pa.array(np.full(b.num_rows, base))],
                                              names=["bins", "key", "label", "validation", "prediction"])
 
-    rows = df.select(F.xxhash64(key).alias("_key"), F.col(label).cast("double").alias("_label"), F.coalesce(validation, F.lit(False)).alias("_part"),
-                     *[F.col(c).cast("double").alias(f"_f{i}") for i, c in enumerate(model.columns)])
     return rows.mapInArrow(run, _STATE).checkpoint(eager=True)
 
 
@@ -256,13 +254,16 @@ def fit(df: DataFrame, columns: list[str], label: str, key: str, config: Config,
     """
     ensure_checkpoint_dir(df.sparkSession)
     validation = F.lit(False) if validation is None else validation
-    rows = df.where(F.col(label).isNotNull() & ~F.isnan(F.col(label).cast("double")))
-    fitted = rows.where(~F.coalesce(validation, F.lit(False)))
-    mean = fitted.agg(F.sum(F.rint(F.col(label).cast("double") * UNIT).cast("long")).alias("s"), F.count(F.lit(1)).alias("n")).first()
+    numbers = [F.col(c).cast("double").alias(f"_f{i}") for i, c in enumerate(columns)]
+    rows = df.select(F.xxhash64(key).alias("_key"), F.col(label).cast("double").alias("_label"), F.coalesce(validation, F.lit(False)).alias("_part"), *numbers)
+    # read three times: computed once
+    rows = rows.where("_label IS NOT NULL AND NOT isnan(_label)").checkpoint(eager=True)
+    fitted = rows.where("NOT _part")
+    mean = fitted.agg(F.sum(F.rint(F.col("_label") * UNIT).cast("long")).alias("s"), F.count(F.lit(1)).alias("n")).first()
     if not mean.n:
         raise ValueError("no row to fit")
-    model = Model(list(columns), _cuts(fitted, columns), mean.s / mean.n / UNIT, config.depth)
-    state, since, width = _prepare(rows, model, label, key, validation), [], len(columns)
+    model = Model(list(columns), _cuts(fitted, fitted.columns[3:]), mean.s / mean.n / UNIT, config.depth)
+    state, since, width = _prepare(rows, model), [], len(columns)
     best, kept = np.inf, 0
     for number in range(config.trees + 1):
         tree, sums = Tree.empty(config.depth), {}
@@ -272,8 +273,7 @@ def fit(df: DataFrame, columns: list[str], label: str, key: str, config: Config,
             if not level:
                 loss, held_out = (found.pop(part, None) for part in (FIT_LOSS, VALIDATION_LOSS))
                 after = held_out.g / held_out.n / UNIT if held_out is not None and held_out.n else None
-                if number:
-                    model.losses.append((number, loss.g / loss.n / UNIT, after))
+                model.losses.append((number, loss.g / loss.n / UNIT, after))
                 if after is not None and after < best:
                     best, kept = after, number
                 if number == config.trees or patience is not None and number - kept >= patience:
