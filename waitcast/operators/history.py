@@ -55,6 +55,8 @@ CASCADE_GRAINS: dict[str, list[str]] = {
 }
 # different values of one group up to which a task may rank them
 GROUP_VALUES = 1 << 20
+# statistics of the long histories, in their order
+LONG_STATS = ["count", "mean", "std", "p25", "median", "p75", "p90", "p95"]
 _PCT = {"p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95}
 
 
@@ -201,19 +203,22 @@ def all_histories(df: DataFrame, grains: list[str] | None = None, value: str = W
     if not exact:
         return _all_histories_approx(df, grains, value, accuracy)
     keyed = [g for g in grains if g != "global"]
-    wanted = ["count", "mean", "std", "p25", "median", "p75", "p90", "p95"]
     out = []
     if keyed:
-        sets = [[F.col(k) for k in CASCADE_GRAINS[g]] + [F.col(value)] for g in keyed]
-        mid = (precount(df, KEYS, value).groupingSets(sets, *KEYS, value)
-               .agg(F.sum("_n").alias("_n"), *[F.grouping(k).alias(f"_g_{k}") for k in KEYS]))
-        mid = mid.select(_grain_tag(keyed).alias("grain"), *KEYS, value, "_n")
-        out.append(stats_from_counts(mid, ["grain", *KEYS], wanted, value=value))
+        out.append(histories_from_counts(precount(df, KEYS, value), keyed, value))
     if "global" in grains:
         none = [F.lit(None).cast(df.schema[k].dataType).alias(k) for k in KEYS]
-        out.append(whole_history(df, wanted, value).where("count > 0").select(F.lit("global").alias("grain"), *none, *wanted))
-    return reduce(DataFrame.unionByName, out).select("grain", *KEYS, F.col("count").alias("n"), "mean", "std", "p25",
-                                                     F.col("median").alias("p50"), "p75", "p90", "p95")
+        whole = whole_history(df, LONG_STATS, value).where("count > 0").select(F.lit("global").alias("grain"), *none, *LONG_STATS)
+        out.append(whole.withColumnsRenamed({"count": "n", "median": "p50"}))
+    return reduce(DataFrame.unionByName, out)
+
+
+def histories_from_counts(pre: DataFrame, grains: list[str], value: str = WAIT) -> DataFrame:
+    """The histories of :func:`all_histories`, but the global one, from counts (KEYS, value, _n)."""
+    sets = [[F.col(k) for k in CASCADE_GRAINS[g]] + [F.col(value)] for g in grains]
+    mid = pre.groupingSets(sets, *KEYS, value).agg(F.sum("_n").alias("_n"), *[F.grouping(k).alias(f"_g_{k}") for k in KEYS])
+    mid = mid.select(_grain_tag(grains).alias("grain"), *KEYS, value, "_n")
+    return stats_from_counts(mid, ["grain", *KEYS], LONG_STATS, value=value).withColumnsRenamed({"count": "n", "median": "p50"})
 
 
 def _grain_tag(grains: list[str]) -> Column:

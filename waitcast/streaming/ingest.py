@@ -126,9 +126,7 @@ class CuratedMerge:
         self._commit(spark, Commit(self.path, batch_id, {**held, **dict.fromkeys(parts, batch_id)}, b.drop("_part").schema))
 
     def _commit(self, spark: SparkSession, commit: Commit) -> None:
-        rows = [(commit.batch_id, len(commit.held), part, holder, None) for part, holder in commit.held.items()]
-        rows.append((commit.batch_id, len(commit.held), None, None, commit.schema.json()))
-        spark.createDataFrame(rows, COMMIT).coalesce(1).write.mode("overwrite").json(f"{self.path}/commits/b={commit.batch_id}.json")
+        write_commit(spark, commit)
 
 
 #: Rows of a commit file: one per partition with the batch id that holds it, and one with the table's schema.
@@ -154,6 +152,13 @@ class Commit:
         return spark.read.schema(self.schema).option("basePath", root).parquet(*paths).select(*self.schema.names)
 
 
+def write_commit(spark: SparkSession, commit: Commit) -> None:
+    """Make ``commit`` the newest one, by one file."""
+    rows = [(commit.batch_id, len(commit.held), part, holder, None) for part, holder in commit.held.items()]
+    rows.append((commit.batch_id, len(commit.held), None, None, commit.schema.json()))
+    spark.createDataFrame(rows, COMMIT).coalesce(1).write.mode("overwrite").json(f"{commit.path}/commits/b={commit.batch_id}.json")
+
+
 def last_commit(spark: SparkSession, path: str) -> Commit | None:
     """The newest commit of a curated table. Commit files are listed, only the newest is read."""
     try:
