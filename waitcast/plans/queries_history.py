@@ -10,8 +10,10 @@ from waitcast.operators import history as H
 from waitcast.operators import joins as J
 from waitcast.plans.catalog import query, rounded
 from waitcast.plans.features import basic_calendar
+from waitcast.sources import files as FS
 from waitcast.sources import tables as tb
 from waitcast.operators.scalars import with_scalars
+from waitcast.streaming import histories as HS
 
 RL_CAL = "(select *, month(fecha) mes, isodow(fecha) - 1 dia_semana_num from @RL)"
 _AGG_SQL = {
@@ -72,6 +74,17 @@ def a7(spark, sf):
     return rounded(H.all_histories(_rl(spark, sf)))
 
 
+@query("a7_history_from_batches", _a7_sql())
+def a7b(spark, sf):
+    """A1-A9 kept up to date: the readings come in three batches, the second one twice, and each merges its counts into the
+    persisted ones; histories of touched parts are derived anew. Equal to the histories of all readings at once."""
+    state = HS.HistoryState(FS.staging_dir(spark, "histories"), buckets=8)
+    rows = _rl(spark, sf).select("fecha", *H.KEYS, H.WAIT)
+    for batch in (0, 1, 1, 2):
+        state(rows.where(F.pmod(F.xxhash64("fecha", "hora_int"), F.lit(3)) == batch), batch)
+    return rounded(HS.read_histories(spark, state.path))
+
+
 @query("a8_reduced_history_month", history_sql(["atraccion", "mes"], ["count", "median", "p75", "p90"], "mes"))
 def a8m(spark, sf):
     return rounded(H.reduced_histories(_rl(spark, sf))["mes"])
