@@ -141,32 +141,52 @@ def count_words(docs: DataFrame, hashing: Hashing) -> DataFrame:
     return docs.mapInArrow(run, "id long, lang string, word string, n long")
 
 
-def maybe_frequent(named: DataFrame, frequent_words: object) -> DataFrame:
-    """The rows (id, lang, word) whose words may be frequent."""
+def maybe_frequent(named: DataFrame, frequent_words: object, held_rows: int = 1 << 18) -> DataFrame:
+    """The rows (id, lang, word) whose words may be frequent, mostly once a task: equal rows are dropped after ``held_rows``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, unlike = [], 0
         for b in batches:
-            yield b.filter(pa.array(member(frequent_words.value, b.column(0).to_numpy().view(np.uint64))))
+            kept.append(b.filter(pa.array(member(frequent_words.value, b.column(0).to_numpy().view(np.uint64)))))
+            if sum(map(len, kept)) >= unlike + held_rows:
+                kept = pa.Table.from_batches(kept).group_by(["id", "lang", "word"]).aggregate([]).combine_chunks().to_batches()
+                unlike = sum(map(len, kept))
+        if kept:
+            yield from pa.Table.from_batches(kept).group_by(["id", "lang", "word"]).aggregate([]).to_batches(max_chunksize=10_000)
 
     return named.mapInArrow(run, "id long, lang string, word string")
 
 
-def count_pairs(docs: DataFrame, hashing: Hashing, frequent_words: object) -> DataFrame:
-    """(w1, w2, n): neighbouring words that may both be frequent, by Arrow batch."""
+def count_pairs(docs: DataFrame, hashing: Hashing, frequent_words: object, hot_words: object) -> DataFrame:
+    """(w1, w2, f): neighbouring words that may both be frequent.
+
+    The second words of a first word in an Arrow batch travel as one row, so that the first is named once. Rows of a very frequent
+    first word are divided by the second word's leading bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = frequent_words.value
+        held, hot = frequent_words.value, hot_words.value
         for b in batches:
             kept = []
             for _, _, number, follows in hashing.batch(b):
                 ok = member(held, number)
                 at = np.flatnonzero(follows[:-1] & ok[:-1] & ok[1:])
                 kept.append(combined(np.stack([number[at], number[at + 1]], axis=1), np.ones(len(at), np.int64)))
-            if kept:
-                rows, n = combined(*(np.concatenate(x) for x in zip(*kept, strict=True)))
-                yield pa.RecordBatch.from_arrays([longs(rows[:, 0]), longs(rows[:, 1]), pa.array(n)], names=["w1", "w2", "n"])
+            rows, n = (np.concatenate(x) for x in zip(*kept, strict=True)) if kept else (np.zeros((0, 2), np.uint64), None)
+            if not len(rows):
+                continue
+            order = np.lexsort((rows[:, 1], rows[:, 0]))
+            w1, w2 = rows[order, 0], rows[order, 1]
+            first = np.flatnonzero(np.concatenate([[True], (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])]))
+            w1, w2, n = w1[first], w2[first], np.add.reduceat(n[order], first)
+            salt = np.where(member(hot, w1), 1 + (w2 >> np.uint64(58)).astype(np.int32), 0).astype(np.int32)
+            start = np.flatnonzero(np.concatenate([[True], (w1[1:] != w1[:-1]) | (salt[1:] != salt[:-1])]))
+            offsets = pa.array(np.concatenate([start, [len(w1)]]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([longs(w1[start]), pa.array(salt[start]), pa.ListArray.from_arrays(offsets, longs(w2)),
+                                              pa.ListArray.from_arrays(offsets, pa.array(n.astype(np.int32)))], names=["w1", "salt", "w2", "n"])
 
-    return docs.mapInArrow(run, "w1 long, w2 long, n long")
+    packed = docs.mapInArrow(run, "w1 long, salt int, w2 array<long>, n array<int>").repartition("w1", "salt")
+    # one shuffle: rows of one w1 and salt are together, so the counts of (w1, salt, w2) are too
+    return packed.select("w1", "salt", F.inline(F.arrays_zip("w2", "n"))).groupBy("w1", "salt", "w2").agg(F.sum("n").alias("f")).drop("salt")
 
 
 def pair_number(w1: Column, w2: Column) -> Column:
@@ -179,7 +199,7 @@ def pair_numbers(w1: np.ndarray, w2: np.ndarray) -> np.ndarray:
 
 
 def suffixes(docs: DataFrame, hashing: Hashing, frequent_pairs: object, hot_pairs: object) -> DataFrame:
-    """(route, split, w1 ... w5, n): suffixes of three to five words, 0 where they end, with the number of their route."""
+    """(split, w1 ... w5, n): suffixes of three to five words, 0 where they end, and whether their route is split."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, hot = frequent_pairs.value, hot_pairs.value
@@ -201,11 +221,10 @@ def suffixes(docs: DataFrame, hashing: Hashing, frequent_pairs: object, hot_pair
                 continue
             rows, n = combined(*(np.concatenate(x) for x in zip(*kept, strict=True)))
             split = member(hot, pair_numbers(rows[:, 0], rows[:, 1])) & member(hot, pair_numbers(rows[:, 1], rows[:, 2]))
-            route = np.where(split, row_hash(rows), row_hash(rows[:, :3]))
-            yield pa.RecordBatch.from_arrays([longs(route), pa.array(split), *[longs(rows[:, k]) for k in range(LONGEST)], pa.array(n)],
-                                             names=["route", "split", *[f"w{k + 1}" for k in range(LONGEST)], "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(split), *[longs(rows[:, k]) for k in range(LONGEST)], pa.array(n)],
+                                             names=["split", *[f"w{k + 1}" for k in range(LONGEST)], "n"])
 
-    return docs.mapInArrow(run, "route long, split boolean, " + ", ".join(f"w{k + 1} long" for k in range(LONGEST)) + ", n long")
+    return docs.mapInArrow(run, "split boolean, " + ", ".join(f"w{k + 1} long" for k in range(LONGEST)) + ", n long")
 
 
 def multikey_sort(rows: np.ndarray, weight: np.ndarray, least: int, shortest: int = 3) -> Iterator[tuple[int, int, int]]:
@@ -241,7 +260,9 @@ def partial_counts(rows: np.ndarray, weight: np.ndarray) -> Iterator[tuple[np.nd
 def mine(routed: DataFrame, least: int, run_rows: int) -> DataFrame:
     """(ids, n): phrases of three words or more and their counts, in parts where a route is split."""
     spark = routed.sparkSession
-    rows = routed.repartition(partitions(spark), "route").sortWithinPartitions("split", "route")
+    # not a column of the shuffled rows, which would be eight bytes more each
+    route = F.when(F.col("split"), F.xxhash64(*[f"w{k + 1}" for k in range(LONGEST)])).otherwise(F.xxhash64("w1", "w2", "w3"))
+    rows = routed.repartition(partitions(spark), route).withColumn("route", route).sortWithinPartitions("split", "route")
 
     def lists(found: list[tuple[np.ndarray, int]]) -> pa.RecordBatch:
         size = np.array([len(r) for r, _ in found], np.int32)
@@ -302,8 +323,8 @@ def phrases(docs: DataFrame, least: int = LEAST, hot: int = HOT) -> tuple[DataFr
         raise RuntimeError("every hash function tried gives a frequent word and another word one number")
     totals = counted.groupBy("lang").agg(F.sum("n").alias("n"))
 
-    pairs = count_pairs(docs, hashing, held).groupBy("w1", "w2").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    pairs = materialise(pairs, "collocation-pairs")
+    hot_words = spark.sparkContext.broadcast(bit_set(spark, frequent.where(F.col("f") >= hot).select("id")))
+    pairs = materialise(count_pairs(docs, hashing, held, hot_words).where(F.col("f") >= least), "collocation-pairs")
     number = pair_number(F.col("w1"), F.col("w2")).alias("number")
     held_pairs, hot_pairs = (spark.sparkContext.broadcast(bit_set(spark, pairs.where(F.col("f") >= m).select(number))) for m in (least, hot))
     longer = mine(suffixes(docs, hashing, held_pairs, hot_pairs), least, hot)
