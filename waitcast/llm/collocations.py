@@ -160,8 +160,9 @@ def maybe_frequent(named: DataFrame, frequent_words: object, held_rows: int = 1
 def count_pairs(docs: DataFrame, hashing: Hashing, frequent_words: object, hot_words: object) -> DataFrame:
     """(w1, w2, f): neighbouring words that may both be frequent.
 
-    The second words of a first word in an Arrow batch travel as one row, so that the first is named once. Rows of a very frequent
-    first word are divided by the second word's leading bits."""
+    The pairs of an Arrow batch travel in blocks, sorted, so that a first word repeats in a run. Pairs are dealt to blocks by their
+    first word, those of a very frequent first word by the second word's leading bits too."""
+    blocks = 4 * partitions(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, hot = frequent_words.value, hot_words.value
@@ -172,21 +173,24 @@ def count_pairs(docs: DataFrame, hashing: Hashing, frequent_words: object, hot_w
                 at = np.flatnonzero(follows[:-1] & ok[:-1] & ok[1:])
                 kept.append(combined(np.stack([number[at], number[at + 1]], axis=1), np.ones(len(at), np.int64)))
             rows, n = (np.concatenate(x) for x in zip(*kept, strict=True)) if kept else (np.zeros((0, 2), np.uint64), None)
+            del kept
             if not len(rows):
                 continue
-            order = np.lexsort((rows[:, 1], rows[:, 0]))
-            w1, w2 = rows[order, 0], rows[order, 1]
+            part = np.where(member(hot, rows[:, 0]), rows[:, 1] >> np.uint64(58), np.uint64(0))
+            block = (words.mixed(rows[:, 0] ^ part) % np.uint64(blocks)).astype(np.int32)
+            order = np.lexsort((rows[:, 1], rows[:, 0], block))
+            block, w1, w2 = block[order], rows[order, 0], rows[order, 1]
+            del rows
             first = np.flatnonzero(np.concatenate([[True], (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])]))
-            w1, w2, n = w1[first], w2[first], np.add.reduceat(n[order], first)
-            salt = np.where(member(hot, w1), 1 + (w2 >> np.uint64(58)).astype(np.int32), 0).astype(np.int32)
-            start = np.flatnonzero(np.concatenate([[True], (w1[1:] != w1[:-1]) | (salt[1:] != salt[:-1])]))
+            block, w1, w2, n = block[first], w1[first], w2[first], np.add.reduceat(n[order], first)
+            start = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
             offsets = pa.array(np.concatenate([start, [len(w1)]]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([longs(w1[start]), pa.array(salt[start]), pa.ListArray.from_arrays(offsets, longs(w2)),
-                                              pa.ListArray.from_arrays(offsets, pa.array(n.astype(np.int32)))], names=["w1", "salt", "w2", "n"])
+            columns = [pa.ListArray.from_arrays(offsets, x) for x in (longs(w1), longs(w2), pa.array(n.astype(np.int32)))]
+            yield pa.RecordBatch.from_arrays([pa.array(block[start]), *columns], names=["block", "w1", "w2", "n"])
 
-    packed = docs.mapInArrow(run, "w1 long, salt int, w2 array<long>, n array<int>").repartition("w1", "salt")
-    # one shuffle: rows of one w1 and salt are together, so the counts of (w1, salt, w2) are too
-    return packed.select("w1", "salt", F.inline(F.arrays_zip("w2", "n"))).groupBy("w1", "salt", "w2").agg(F.sum("n").alias("f")).drop("salt")
+    packed = docs.mapInArrow(run, "block int, w1 array<long>, w2 array<long>, n array<int>").repartition("block")
+    # one shuffle: equal pairs lie in the same block, so the counts of (block, w1, w2) need no other
+    return packed.select("block", F.inline(F.arrays_zip("w1", "w2", "n"))).groupBy("block", "w1", "w2").agg(F.sum("n").alias("f")).drop("block")
 
 
 def pair_number(w1: Column, w2: Column) -> Column:
