@@ -141,7 +141,7 @@ def count_words(docs: DataFrame, hashing: Hashing) -> DataFrame:
     return docs.mapInArrow(run, "id long, lang string, word string, n long")
 
 
-def maybe_frequent(named: DataFrame, frequent_words: object, held_rows: int = 1 << 18) -> DataFrame:
+def maybe_frequent(named: DataFrame, frequent_words: object, held_rows: int = 1 << 15) -> DataFrame:
     """The rows (id, lang, word) whose words may be frequent, mostly once a task: equal rows are dropped after ``held_rows``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,10 +149,10 @@ def maybe_frequent(named: DataFrame, frequent_words: object, held_rows: int = 1
         for b in batches:
             kept.append(b.filter(pa.array(member(frequent_words.value, b.column(0).to_numpy().view(np.uint64)))))
             if sum(map(len, kept)) >= unlike + held_rows:
-                kept = pa.Table.from_batches(kept).group_by(["id", "lang", "word"]).aggregate([]).combine_chunks().to_batches()
+                kept = pa.Table.from_batches(kept).group_by(["id", "lang", "word"], use_threads=False).aggregate([]).combine_chunks().to_batches()
                 unlike = sum(map(len, kept))
         if kept:
-            yield from pa.Table.from_batches(kept).group_by(["id", "lang", "word"]).aggregate([]).to_batches(max_chunksize=10_000)
+            yield from pa.Table.from_batches(kept).group_by(["id", "lang", "word"], use_threads=False).aggregate([]).to_batches(max_chunksize=10_000)
 
     return named.mapInArrow(run, "id long, lang string, word string")
 
