@@ -57,18 +57,27 @@ def _readable(spark: SparkSession, path: str) -> bool:
 
 
 def file_headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
-    """Header line -> files, from one distributed job: the first line of each file is the
-    first row of its split starting at byte 0. Only (file, header) pairs reach the driver
-    (file-listing metadata, as Spark's own file index)."""
+    """Header line -> files: the first line of each file is the first row of its split starting at byte 0. One
+    distributed job finds the numbers of these rows, a second one their lines; a hash aggregate of numbers holds one row a file,
+    where one of lines would sort all lines. Only (file, header) pairs reach the driver (file-listing metadata, as
+    Spark's own file index)."""
+    # both jobs scan the same files in the same splits, so rows have the same numbers
     lines = spark.read.text(paths).select(F.input_file_name().alias("f"), F.input_file_block_start().alias("b"),
-                                          F.col("value"))
-    heads = lines.where(F.col("b") == 0).groupBy("f").agg(F.first("value").alias("h")).collect()
+                                          F.monotonically_increasing_id().alias("i"), F.col("value"))
+    heads = lines.where(F.col("b") == 0)
+    first = first_rows(heads).checkpoint(eager=True)
+    heads = heads.join(F.broadcast(first.select("i")), "i").select("f", "value").collect()
     out: dict[str, list[str]] = {}
     for r in heads:
-        out.setdefault(r["h"], []).append(r["f"])
+        out.setdefault(r["value"], []).append(r["f"])
     return out
 
 
+def first_rows(lines: DataFrame) -> DataFrame:
+    """The least row number ``i`` of each file ``f``."""
+    return lines.groupBy("f").agg(F.min("i").alias("i"))
+
+
 def tolerant_scan(spark: SparkSession, paths: list[str], required: tuple[str, ...] = ("zona", "atraccion"),
                   columns=READINGS_COLUMNS) -> DataFrame:
     """S3: many CSV files whose column sets and orders differ.
