@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from waitcast.session import ensure_checkpoint_dir
+from waitcast.session import spread
 
 #: Bins of present values; the number after the last is the bin of NULL and NaN.
 BINS = 255
@@ -252,12 +252,11 @@ def fit(df: DataFrame, columns: list[str], label: str, key: str, config: Config,
     ``patience``, growing ends when that many trees in a row bring no smaller loss on the validation rows, and the trees up to the
     least loss are kept. Without rows to fit: ValueError. Columns of ``df`` that are not named are not read.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     validation = F.lit(False) if validation is None else validation
     numbers = [F.col(c).cast("double").alias(f"_f{i}") for i, c in enumerate(columns)]
     rows = df.select(F.xxhash64(key).alias("_key"), F.col(label).cast("double").alias("_label"), F.coalesce(validation, F.lit(False)).alias("_part"), *numbers)
-    # read three times: computed once
-    rows = rows.where("_label IS NOT NULL AND NOT isnan(_label)").checkpoint(eager=True)
+    # read three times, and its state once a level: computed once, over all cores
+    rows = spread(rows.where("_label IS NOT NULL AND NOT isnan(_label)"))
     fitted = rows.where("NOT _part")
     mean = fitted.agg(F.sum(F.rint(F.col("_label") * UNIT).cast("long")).alias("s"), F.count(F.lit(1)).alias("n")).first()
     if not mean.n:
