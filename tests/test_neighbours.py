@@ -81,3 +81,18 @@ def test_default_scale_and_small_classes(spark):
     assert got == {(1, 1): 2, (1, 2): 3, (2, 1): 1, (2, 2): 3, (3, 1): 2, (3, 2): 1}
     assert N.class_neighbours(df.limit(0), "row_id", "clase", ["a", "b"]).count() == 0
     assert N.balance_by_neighbours(df.limit(0), "row_id", "clase", ["a", "b"]).count() == 0
+
+
+def test_few_positions_are_compared_with_each(spark):
+    r = random.Random(3)
+    rows = sorted({(r.randint(0, 40) / 8, r.randint(0, 100) / 16, float(r.randint(1, 5)), r.randint(1, 12) / 2, r.randint(0, 6) / 2) for _ in range(8000)})
+    df = spark.createDataFrame([(i, "x", *f) for i, f in enumerate(rows)], "row_id long, clase string, a double, b double, c double, d double, e double")
+    places = N.positions(df, "row_id", "clase", list("abcde"), [1.0] * 5)
+    cells, counts, _, _, _ = N._in_cells(places, 5, 128)
+    held = [x["count"] for x in cells.groupBy(*[f"_c{a}" for a in range(5)]).count().collect()]
+    assert len(held) == counts.count() and sum(held) == len(rows) and max(held) < 512 and len(held) >= len(rows) / 512
+    near = N.class_neighbours(df, "row_id", "clase", list("abcde"), 5, [1.0] * 5)
+    far = max(x.distance2 for x in near.where("rank = 5").collect()) ** 0.5
+    # a position's cell is little longer than the distances looked for, in every direction
+    sides = cells.groupBy(*[f"_c{a}" for a in range(5)]).agg(*[(N.F.max(f"_f{a}") - N.F.min(f"_f{a}")).alias(f"s{a}") for a in range(5)])
+    assert max(max(x[f"s{a}"] for a in range(5)) for x in sides.collect()) <= 4 * far

@@ -3,11 +3,10 @@
 Exact k nearest neighbours without comparing all pairs and without a cap on candidates:
 
 1. Rows of a class at the same place count as one position, so a place that holds a third of all rows costs one.
-2. Each position gets three coordinates, its distances to three pivots of its class (the mean, the
-   position farthest from it, the one farthest from that). By the triangle inequality two positions are at least
-   as far apart as any of their coordinates.
-3. Coordinates are cut at percentiles into up to 32 parts each; three parts are a cell. A cell with many
-   positions is split into blocks of about ``leaf``.
+2. Each position gets up to five coordinates, the features that differ most. Two positions are at least
+   as far apart as in any of their coordinates.
+3. Coordinates are cut at the class's percentiles, the widest ones into the most parts, so that cells are about as long as
+   wide and hold ``leaf`` positions; one part of each is a cell. A cell with many positions is split into blocks of about ``leaf``.
 4. The k-th distance to positions of the own cell, or to a bounded sample of the class, bounds the wanted ones. Only
    cells that reach into that bound are searched, all of them, so the result is proven.
 """
@@ -23,9 +22,11 @@ from pyspark.sql import functions as F
 from waitcast.operators.encode import hash_u32
 from waitcast.operators.joins import size_checked_join
 from waitcast.operators.scalars import with_scalars
+from waitcast.session import spread
 
-#: Parts of a coordinate at most; a power of two.
-PARTS = 32
+#: Coordinates at most, and parts of each by their number (powers of two; with more coordinates, the last).
+AXES = 5
+PARTS = (1024, 128, 32)
 #: Positions of a block, and the mean number of positions of a cell aimed at.
 LEAF = 128
 #: Positions of a class that bound the distance where a cell holds too few.
@@ -33,8 +34,6 @@ SAMPLE = 32
 #: Distances carry rounding errors; bounds are widened by this share.
 SLACK = 1e-9
 
-_AXES = (0, 1, 2)
-
 
 def _square(a: list[Column], b: list[Column]) -> Column:
     return reduce(add, [(x - y) * (x - y) for x, y in zip(a, b, strict=True)])
@@ -51,8 +50,8 @@ def positions(df: DataFrame, key: str, label: str, features: list[str], scale: l
     known = reduce(lambda a, b: a & b, [v.isNotNull() & ~F.isnan(v) for v in values], F.col(label).isNotNull() & F.col(key).isNotNull())
     rows = df.where(known)
     if scale is None:
-        spread = rows.agg(*[F.stddev_samp(v).alias(f"_s{i}") for i, v in enumerate(values)])
-        rows = with_scalars(rows, spread)
+        deviations = rows.agg(*[F.stddev_samp(v).alias(f"_s{i}") for i, v in enumerate(values)])
+        rows = with_scalars(rows, deviations)
         divisors = [F.when(F.col(f"_s{i}") > 0, F.col(f"_s{i}")).otherwise(1.0) for i in range(len(values))]
     else:
         divisors = [F.lit(float(s)) for s in scale]
@@ -61,22 +60,50 @@ def positions(df: DataFrame, key: str, label: str, features: list[str], scale: l
     return placed.groupBy("_label", *[f"_f{i}" for i in range(len(values))]).agg(F.min("_key").alias("_key"))
 
 
-def _with_coordinates(places: DataFrame, n: int) -> DataFrame:
-    """``places`` with _a0, _a1, _a2: distances to three pivots of the class."""
-    f = _columns("_f", n)
-    out = places
-    pivot = places.groupBy("_label").agg(*[F.avg(c).alias(f"_p{i}") for i, c in enumerate(f)])
-    for axis in _AXES:
-        out = size_checked_join(out, pivot, "_label", "inner", materialize=True)
-        out = out.withColumn(f"_a{axis}", F.sqrt(_square(f, _columns("_p", n)))).drop(*[f"_p{i}" for i in range(n)])
-        far = out.groupBy("_label").agg(F.max_by(F.struct(*f), F.struct(f"_a{axis}", "_key")).alias("_far"))
-        pivot = far.select("_label", *[F.col(f"_far._f{i}").alias(f"_p{i}") for i in range(n)])
-    return out
-
-
-def _part(bounds: Column, x: Column, m: Column) -> Column:
-    """The part that a coordinate lies in: percentiles up to it, of PARTS, brought down to ``m`` parts."""
-    return F.floor(F.size(F.filter(bounds, lambda b: b <= x)) * m / PARTS).cast("int")
+def _axes(places: DataFrame, n: int) -> list[int]:
+    """The features that serve as coordinates: all, or those AXES that differ most."""
+    if n <= AXES:
+        return list(range(n))
+    found = places.agg(*[F.coalesce(F.stddev_pop(c), F.lit(0.0)).alias(f"_s{i}") for i, c in enumerate(_columns("_f", n))]).first()
+    return sorted(sorted(range(n), key=lambda i: -found[i])[:AXES])
+
+
+def _parts(widths: Column, halvings: Column) -> Column:
+    """Into how many parts to cut coordinates of such widths: the widest part is cut in two, ``halvings`` times."""
+    def halve(now: Column, _: Column) -> Column:
+        return F.transform(now, lambda w, i: F.when(i + 1 == F.array_position(now, F.array_max(now)), w / 2).otherwise(w))
+    after = F.aggregate(F.array_repeat(F.lit(0), halvings), widths, halve)
+    return F.transform(F.arrays_zip(widths.alias("a"), after.alias("b")), lambda w: F.when(w["b"] > 0, F.round(w["a"] / w["b"])).otherwise(1.0))
+
+
+def _part(bounds: Column, x: Column, m: Column, parts: int) -> Column:
+    """The part that a coordinate lies in: percentiles up to it, of ``parts``, brought down to ``m`` parts."""
+    return F.floor(F.size(F.filter(bounds, lambda b: b <= x)) * m / parts).cast("int")
+
+
+def _in_cells(places: DataFrame, n: int, leaf: int) -> tuple[DataFrame, DataFrame, DataFrame, int, int]:
+    """``places`` with coordinates _a0 ..., the cell _c0 ... and the block; (cell, _blocks); the cuts of each class; number of coordinates and of
+    percentiles."""
+    chosen = _axes(places, n)
+    axes = range(len(chosen))
+    parts = PARTS[min(len(chosen), len(PARTS)) - 1]
+    places = places.withColumns({f"_a{a}": F.col(f"_f{i}") for a, i in enumerate(chosen)})
+    # one row per class: percentiles of the coordinates, and parts
+    probabilities = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    widths = F.array(*[F.coalesce(F.stddev_pop(f"_a{a}"), F.lit(0.0)) for a in axes])
+    classes = places.groupBy("_label").agg(F.count("*").alias("_n"), widths.alias("_w"),
+                                           *[F.percentile_approx(f"_a{a}", probabilities, F.lit(max(2000, 4 * parts))).alias(f"_b{a}") for a in axes])
+    halvings = F.floor(F.log2(F.greatest(F.col("_n") / F.lit(float(leaf)), F.lit(1.0)))).cast("int")
+    classes = classes.withColumn("_m", _parts(F.col("_w"), halvings))
+    classes = classes.withColumns({f"_m{a}": F.least(F.col("_m")[a], F.lit(float(parts))) for a in axes}).drop("_m", "_w").checkpoint(eager=True)
+    rows = size_checked_join(places, classes, "_label", "inner")
+    rows = rows.withColumns({f"_c{a}": _part(F.col(f"_b{a}"), F.col(f"_a{a}"), F.col(f"_m{a}"), parts) for a in axes})
+    # the cuts are long: they do not travel with the rows
+    rows = rows.drop("_n", *[f"_{x}{a}" for x in "bm" for a in axes])
+    cell = ["_label", *[f"_c{a}" for a in axes]]
+    counts = rows.groupBy(*cell).agg(F.ceil(F.count("*") / leaf).alias("_blocks")).checkpoint(eager=True)
+    rows = size_checked_join(rows, counts, cell, "inner").withColumn("_block", F.pmod(F.xxhash64("_key"), F.col("_blocks")))
+    return rows.checkpoint(eager=True), counts, classes, len(chosen), parts
 
 
 def class_neighbours(df: DataFrame, key: str, label: str, features: list[str], k: int = 5, scale: list[float] | None = None,
@@ -88,22 +115,13 @@ def class_neighbours(df: DataFrame, key: str, label: str, features: list[str], k
     """
     n = len(features)
     f, g = _columns("_f", n), _columns("_g", n)
-    places = _with_coordinates(positions(df, key, label, features, scale), n).checkpoint(eager=True)
-
-    # one row per class: percentiles of the coordinates, parts, and a sample by hash
-    probabilities = F.array(*[F.lit(i / PARTS) for i in range(1, PARTS)])
-    classes = places.groupBy("_label").agg(F.count("*").alias("_n"), *[F.percentile_approx(f"_a{a}", probabilities, F.lit(2000)).alias(f"_b{a}") for a in _AXES])
-    level = F.floor(F.log2(F.greatest(F.col("_n") / F.lit(float(leaf)), F.lit(1.0))) / 3)
-    classes = classes.withColumn("_m", F.pow(F.lit(2.0), F.least(level, F.lit(PARTS.bit_length() - 1)))).checkpoint(eager=True)
-    rows = size_checked_join(places, classes, "_label", "inner")
-    rows = rows.withColumns({f"_c{a}": _part(F.col(f"_b{a}"), F.col(f"_a{a}"), F.col("_m")) for a in _AXES})
-    cell = ["_label", *[f"_c{a}" for a in _AXES]]
-    counts = rows.groupBy(*cell).agg(F.ceil(F.count("*") / leaf).alias("_blocks")).checkpoint(eager=True)
-    rows = size_checked_join(rows, counts, cell, "inner").withColumn("_block", F.pmod(F.xxhash64("_key"), F.col("_blocks")))
-    rows = rows.checkpoint(eager=True)
+    places = spread(positions(df, key, label, features, scale))
+    rows, counts, classes, n_axes, parts = _in_cells(places, n, leaf)
+    axes = range(n_axes)
+    cell = ["_label", *[f"_c{a}" for a in axes]]
 
-    others = rows.select("_label", *[F.col(f"_c{a}") for a in _AXES], "_block", F.col("_key").alias("_other"),
-                         *[F.col(f"_a{a}").alias(f"_x{a}") for a in _AXES], *[F.col(f"_f{i}").alias(f"_g{i}") for i in range(n)])
+    others = rows.select(*cell, "_block", F.col("_key").alias("_other"),
+                         *[F.col(f"_a{a}").alias(f"_x{a}") for a in axes], *[F.col(f"_f{i}").alias(f"_g{i}") for i in range(n)])
     square = _square(f, g)
 
     # a bound on the k-th distance: own block, and a sample of the class of a fixed size
@@ -118,24 +136,25 @@ def class_neighbours(df: DataFrame, key: str, label: str, features: list[str], k
     bounds = far.join(own, ["_label", "_key"], "full").select("_label", "_key", F.least("_kth", "_own").alias("_bound2"))
 
     # cells that reach into the bound
-    asked = rows.drop("_block", "_blocks", *[f"_c{a}" for a in _AXES]).join(bounds, ["_label", "_key"], "left")
+    asked = rows.drop("_block", "_blocks", *[f"_c{a}" for a in axes]).join(bounds, ["_label", "_key"], "left")
     reach = F.coalesce(F.sqrt("_bound2"), F.lit(float("inf")))
     asked = asked.withColumn("_reach", reach * (1 + SLACK) + SLACK)
-    for a in _AXES:
-        x, b, m = F.col(f"_a{a}"), F.col(f"_b{a}"), F.col("_m")
+    asked = size_checked_join(asked, classes, "_label", "inner")
+    for a in axes:
+        x, b, m = F.col(f"_a{a}"), F.col(f"_b{a}"), F.col(f"_m{a}")
         width = SLACK * (1 + F.abs(x)) + F.col("_reach")
-        asked = asked.withColumns({f"_lo{a}": _part(b, x - width, m), f"_hi{a}": _part(b, x + width, m)})
-    for a in _AXES:
+        asked = asked.withColumns({f"_lo{a}": _part(b, x - width, m, parts), f"_hi{a}": _part(b, x + width, m, parts)})
+    for a in axes:
         asked = asked.withColumn(f"_c{a}", F.explode(F.sequence(f"_lo{a}", f"_hi{a}")))
-    asked = size_checked_join(asked.select(*cell, "_key", "_reach", *[f"_a{a}" for a in _AXES], *f), counts, cell, "inner")
+    asked = size_checked_join(asked.select(*cell, "_key", "_reach", *[f"_a{a}" for a in axes], *f), counts, cell, "inner")
     asked = asked.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
     found = asked.join(others, [*cell, "_block"]).where("_key <> _other")
-    for a in _AXES:  # cheap test before the distance
+    for a in axes:  # cheap test before the distance
         found = found.where(F.abs(F.col(f"_a{a}") - F.col(f"_x{a}")) <= F.col("_reach") + SLACK * (1 + F.abs(F.col(f"_a{a}"))))
-    found = found.select("_label", "_key", *[f"_c{a}" for a in _AXES], "_block", "_other", "_reach", square.alias("_d2")).where(F.col("_d2") <= F.col("_reach") * F.col("_reach"))
-    least = F.slice(F.array_sort(F.collect_list(F.struct("_d2", "_other"))), 1, k)
-    in_block = found.groupBy("_label", "_key", *[f"_c{a}" for a in _AXES], "_block").agg(least.alias("_l"))  # a block's positions at most
-    merged = F.slice(F.array_sort(F.flatten(F.collect_list("_l"))), 1, k)
+    found = found.select("_label", "_key", *[f"_c{a}" for a in axes], "_block", "_other", "_reach", square.alias("_d2")).where(F.col("_d2") <= F.col("_reach") * F.col("_reach"))
+    least = F.slice(F.sort_array(F.collect_list(F.struct("_d2", "_other"))), 1, k)
+    in_block = found.groupBy("_label", "_key", *[f"_c{a}" for a in axes], "_block").agg(least.alias("_l"))  # a block's positions at most
+    merged = F.slice(F.sort_array(F.flatten(F.collect_list("_l"))), 1, k)
     best = in_block.groupBy("_label", "_key").agg(merged.alias("_l")).select("_label", "_key", F.posexplode("_l").alias("_rank", "_e"))
     return best.select(F.col("_label").alias(label), F.col("_key").alias(key), (F.col("_rank") + 1).alias("rank"), F.col("_e._other").alias("neighbour"),
                        F.col("_e._d2").alias("distance2"))
@@ -143,7 +162,7 @@ def class_neighbours(df: DataFrame, key: str, label: str, features: list[str], k
 
 def _kth(pairs: DataFrame, k: int) -> DataFrame:
     """(_label, _key, _kth): the k-th smallest _d2, where there are so many; pairs of a key come from one block."""
-    least = F.slice(F.array_sort(F.collect_list("_d2")), k, 1)
+    least = F.slice(F.sort_array(F.collect_list("_d2")), k, 1)
     kth = pairs.groupBy("_label", "_key").agg(least.alias("_l"))
     return kth.where(F.size("_l") == 1).select("_label", "_key", F.col("_l")[0].alias("_kth"))
 
