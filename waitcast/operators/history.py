@@ -14,21 +14,29 @@ range (:mod:`waitcast.operators.quantiles`), so no window runs over a whole tabl
 ``exact=False`` switches to ``percentile_approx`` (bounded memory).
 
 All six grains plus ride-only and global come from one pass
-(:func:`all_histories`) with GROUPING SETS over the pre-counted rows; the
-grain is tagged from ``grouping()`` so a NULL key is never mistaken for a
-rolled-up key.
+(:func:`all_histories`): the pre-counted rows are dealt by ride and every grain of
+some rides is derived at once (:mod:`waitcast.operators.ride_histories`). Rides with
+so many readings that one task should not hold their counts take GROUPING SETS over the
+pre-counted rows instead; there the grain is tagged from ``grouping()`` so a NULL key is
+never mistaken for a rolled-up key.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from waitcast.operators import ride_histories as R
 from waitcast.operators.quantiles import exact_percentiles
 from waitcast.operators.scalars import with_scalars
 
+# travels with the tasks: many jobs use histories, also where workers do not have this package
+cloudpickle.register_pickle_by_value(R)
+
 WAIT = "tiempo_espera"
 KEYS = ["atraccion", "mes", "hora_int", "dia_semana_num"]
 
@@ -55,6 +63,8 @@ CASCADE_GRAINS: dict[str, list[str]] = {
 }
 # different values of one group up to which a task may rank them
 GROUP_VALUES = 1 << 20
+# readings of one ride up to which a task may hold its counts (40 bytes each, and as much again some times over)
+RIDE_ROWS = 1 << 21
 # statistics of the long histories, in their order
 LONG_STATS = ["count", "mean", "std", "p25", "median", "p75", "p90", "p95"]
 _PCT = {"p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95}
@@ -190,10 +200,8 @@ def all_histories(df: DataFrame, grains: list[str] | None = None, value: str = W
     """Every cascade grain in one pass.
 
     1. pre-count ``(ride, month, hour, weekday, wait) -> n`` (map-side combined);
-    2. GROUPING SETS over ``(grain keys, wait)`` summing ``n`` — a plain hash
-       aggregate whose partial step collapses coarse grains right after the Expand;
-    3. per (grain, keys): weighted count / mean / std and exact percentiles from running counts, in one
-       window node; the global grain, one group of all rows, comes from :func:`whole_history`.
+    2. per ride and grain: weighted count / mean / std and exact percentiles from running counts
+       (:func:`histories_from_counts`); the global grain, one group of all rows, comes from :func:`whole_history`.
 
     Output is long: ``grain, atraccion, mes, hora_int, dia_semana_num, n, mean, std,
     p25, p50, p75, p90, p95``; keys outside the grain are NULL. The grain is tagged
@@ -205,7 +213,7 @@ def all_histories(df: DataFrame, grains: list[str] | None = None, value: str = W
     keyed = [g for g in grains if g != "global"]
     out = []
     if keyed:
-        out.append(histories_from_counts(precount(df, KEYS, value), keyed, value))
+        out.append(histories_from_counts(precount(df, KEYS, value), keyed, value, readings=df))
     if "global" in grains:
         none = [F.lit(None).cast(df.schema[k].dataType).alias(k) for k in KEYS]
         whole = whole_history(df, LONG_STATS, value).where("count > 0").select(F.lit("global").alias("grain"), *none, *LONG_STATS)
@@ -213,8 +221,33 @@ def all_histories(df: DataFrame, grains: list[str] | None = None, value: str = W
     return reduce(DataFrame.unionByName, out)
 
 
-def histories_from_counts(pre: DataFrame, grains: list[str], value: str = WAIT) -> DataFrame:
-    """The histories of :func:`all_histories`, but the global one, from counts (KEYS, value, _n)."""
+def histories_from_counts(pre: DataFrame, grains: list[str], value: str = WAIT, readings: DataFrame | None = None,
+                          ride_rows: int = RIDE_ROWS) -> DataFrame:
+    """The histories of :func:`all_histories`, but the global one, from counts (KEYS, value, _n).
+
+    Counts are dealt by ride, and a task derives every grain of some rides at once. Rides of more than ``ride_rows`` rows in
+    ``readings`` (by default ``pre``) go through :func:`_histories_by_window`, which holds no ride in a task."""
+    kind = pre.schema[value].dataType
+    if not isinstance(kind, (T.DoubleType, T.FloatType, T.IntegralType)):
+        return _histories_by_window(pre, grains, value)
+    ride = F.xxhash64(KEYS[0])  # not NULL, so that a NULL ride is a ride
+    sizes = (pre if readings is None else readings).groupBy(ride.alias("_ride")).count()
+    large = [r[0] for r in sizes.where(F.col("count") > ride_rows).select("_ride").collect()]  # at most rows / ride_rows
+    rows = pre.where(~ride.isin(large)) if large else pre
+    rows = rows.select(ride.alias("_ride"), *KEYS, F.col(value).cast("double").alias(value), "_n").repartition("_ride").sortWithinPartitions("_ride")
+    sets = {g: CASCADE_GRAINS[g] for g in grains}
+
+    def run(batches):
+        return R.histories(batches, sets, KEYS, value, list(_PCT.values()))
+
+    fields = [T.StructField("grain", T.StringType()), *[pre.schema[k] for k in KEYS], T.StructField("n", T.LongType()),
+              *[T.StructField(c, T.DoubleType()) for c in ("mean", "std", "p25", "p50", "p75", "p90", "p95")]]
+    out = rows.mapInArrow(run, T.StructType([T.StructField(f.name, f.dataType) for f in fields]))
+    return out.unionByName(_histories_by_window(pre.where(ride.isin(large)), grains, value)) if large else out
+
+
+def _histories_by_window(pre: DataFrame, grains: list[str], value: str) -> DataFrame:
+    """The same by GROUPING SETS and windows: a group is sorted, never held."""
     sets = [[F.col(k) for k in CASCADE_GRAINS[g]] + [F.col(value)] for g in grains]
     mid = pre.groupingSets(sets, *KEYS, value).agg(F.sum("_n").alias("_n"), *[F.grouping(k).alias(f"_g_{k}") for k in KEYS])
     mid = mid.select(_grain_tag(grains).alias("grain"), *KEYS, value, "_n")
