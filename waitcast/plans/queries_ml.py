@@ -115,8 +115,9 @@ def m10m(spark, sf):
 def m10f(spark, sf):
     """What any sound fit must show on the rows it was fitted on: a finite prediction for every row, and an
     error below that of their mean."""
-    model, _, _ = _gbt(spark, sf)
-    tr, ftr, _, _ = _features(spark, sf)
+    tr, ftr, _, cols = _features(spark, sf)
+    ftr = ftr.checkpoint(eager=True)  # fitted on and predicted
+    model = TR.fitted_gbt(spark, ftr, cols)
     p = model.transform(ftr).select(F.col("tiempo_espera").alias("y"), F.col("pred_base").alias("pred")).where("y IS NOT NULL")
     p = with_scalars(p, tr.agg(F.avg("tiempo_espera").alias("mean")))
     return p.agg(F.count("pred").alias("n"), (F.avg(F.pow(F.col("y") - F.col("pred"), 2)) < F.avg(F.pow(F.col("y") - F.col("mean"), 2))).alias("beats_the_mean"),
