@@ -81,10 +81,10 @@ class HistoryState:
             whole = whole.select(F.lit("global").alias("grain"), *none, *H.LONG_STATS).withColumnsRenamed({"count": "n", "median": "p50"})
             out = out.unionByName(whole.withColumn("_part", F.lit(ALL)))
         if stale:
-            out = out.checkpoint(eager=True)
+            written = f"{self.path}/histories/parts/_held={counts.batch_id}"
+            out.write.mode("overwrite").partitionBy("_part").parquet(written)
             # a part all of whose readings were taken back has no histories; it is derived again, to nothing, until it has some
-            left = {r[0] for r in out.select("_part").distinct().collect()}
-            out.write.mode("overwrite").partitionBy("_part").parquet(f"{self.path}/histories/parts/_held={counts.batch_id}")
+            left = {r[0] for r in spark.read.schema(out.schema).parquet(written).select("_part").distinct().collect()}
             held = {p: v for p, v in held.items() if p not in stale} | dict.fromkeys(left, counts.batch_id)
         write_commit(spark, Commit(f"{self.path}/histories", counts.batch_id, held, out.drop("_part").schema))
 
