@@ -346,10 +346,11 @@ def s11(spark, sf):
     folder, loaded back, and used to score the test rows; ``same`` compares with the
     in-memory model's prediction."""
     from waitcast.sources import files as FS
-    model, fte, _ = _gbt(spark, sf)
+    model, fte, cols = _gbt(spark, sf)
     path = FS.staging_dir(spark, "pipeline")
     FS.save_pipeline(model, path)
     loaded = FS.load_pipeline(path)
+    fte = fte.select("row_id", *cols).checkpoint(eager=True)  # scored by both
     a = model.transform(fte).select("row_id", F.col("pred_base").alias("pred_mem"))
     b = loaded.transform(fte).select("row_id", F.col("pred_base").alias("pred_loaded"))
     return a.join(b, "row_id").select("row_id", (F.col("pred_mem") == F.col("pred_loaded")).alias("same"))
