@@ -104,3 +104,20 @@ def test_words_of_one_language_have_other_numbers_in_another():
     h = collocations.Hashing(0)
     ((_, _, number, follows),) = h.batch(pa.RecordBatch.from_arrays([pa.array(["a", "b"]), pa.array(["x y. x", "x"])], names=["lang", "text"]))
     assert number[0] == number[2] != number[3] and follows.tolist() == [True, False, False, False]
+
+
+def test_suffixes_travel_in_blocks_of_whole_routes(spark):
+    """However many suffixes a batch has, it sends a bounded number of rows; each leading triple lies in one block, no place is lost."""
+    texts = [prose(i, 400).replace("\n", " ").replace(".", " ").replace(",", " ") for i in range(60)]
+    docs = spark.createDataFrame([("en", t) for t in texts], "lang string, text string").coalesce(1)
+    every, none = (spark.sparkContext.broadcast(np.full(collocations.SET_BITS // 64, fill, np.uint64)) for fill in (~np.uint64(0), np.uint64(0)))
+    blocks, h = 4 * int(spark.conf.get("spark.sql.shuffle.partitions")), collocations.Hashing(0)
+    places = sum(max(len(re.findall("[^ \t]+", piece)) - 2, 0) for t in texts for piece in re.split("[.,;:!?\x0a-\x0d]", t))
+    for hot, lead in ((none, 3), (every, 5)):
+        rows = collocations.suffixes(docs, h, every, hot).collect()
+        assert len(rows) <= blocks < places and {r.block % 2 for r in rows} == {lead // 5}
+        assert sum(sum(r.n) for r in rows) == places
+        home = {}
+        for r in rows:
+            for words in zip(r.w1, r.w2, r.w3, r.w4, r.w5, strict=True):
+                assert home.setdefault(words[:lead], r.block) == r.block

@@ -2,8 +2,8 @@
 
 1. Words are counted by language. Pairs of neighbouring frequent words are counted (the leading words).
 2. Every place from which three words follow in frequent pairs gives a suffix of at most five words, ended where
-   a pair is infrequent, since no frequent phrase reaches over such a place. Equal suffixes of a batch are one row
-   with a weight. Suffixes are routed over the cluster by their three leading words, so each
+   a pair is infrequent, since no frequent phrase reaches over such a place. Equal suffixes of a batch are one
+   with a weight. Suffixes are routed over the cluster by their three leading words, in sorted blocks of many routes, so each
    phrase of three words or more is counted in one place.
 3. Each route is partitioned by multikey three-way quicksort: words smaller than, equal to and larger than a pivot at
    one depth; the equal part goes on at the next depth, and its weight is the phrase's count. Parts lighter than the
@@ -203,7 +203,11 @@ def pair_numbers(w1: np.ndarray, w2: np.ndarray) -> np.ndarray:
 
 
 def suffixes(docs: DataFrame, hashing: Hashing, frequent_pairs: object, hot_pairs: object) -> DataFrame:
-    """(split, w1 ... w5, n): suffixes of three to five words, 0 where they end, and whether their route is split."""
+    """(block, w1 ... w5, n): suffixes of three to five words, 0 where they end, and their weights.
+
+    The suffixes of an Arrow batch travel in blocks, sorted, so that leading words repeat in a run. They are dealt to blocks by
+    their three leading words; those of a split route, whose blocks have odd numbers, by all words."""
+    blocks = 4 * partitions(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, hot = frequent_pairs.value, hot_pairs.value
@@ -224,11 +228,20 @@ def suffixes(docs: DataFrame, hashing: Hashing, frequent_pairs: object, hot_pair
             if not kept:
                 continue
             rows, n = combined(*(np.concatenate(x) for x in zip(*kept, strict=True)))
+            del kept
+            if not len(rows):
+                continue
             split = member(hot, pair_numbers(rows[:, 0], rows[:, 1])) & member(hot, pair_numbers(rows[:, 1], rows[:, 2]))
-            yield pa.RecordBatch.from_arrays([pa.array(split), *[longs(rows[:, k]) for k in range(LONGEST)], pa.array(n)],
-                                             names=["split", *[f"w{k + 1}" for k in range(LONGEST)], "n"])
+            route = np.where(split, row_hash(rows), row_hash(rows[:, :3]))
+            block = (route % np.uint64(blocks)).astype(np.int32) * 2 + split.astype(np.int32)
+            order = np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0], block))
+            block, rows, n = block[order], rows[order], n[order]
+            start = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+            offsets = pa.array(np.concatenate([start, [len(rows)]]).astype(np.int32))
+            columns = [pa.ListArray.from_arrays(offsets, x) for x in (*[longs(rows[:, k]) for k in range(LONGEST)], pa.array(n))]
+            yield pa.RecordBatch.from_arrays([pa.array(block[start]), *columns], names=["block", *[f"w{k + 1}" for k in range(LONGEST)], "n"])
 
-    return docs.mapInArrow(run, "split boolean, " + ", ".join(f"w{k + 1} long" for k in range(LONGEST)) + ", n long")
+    return docs.mapInArrow(run, "block int, " + ", ".join(f"w{k + 1} array<long>" for k in range(LONGEST)) + ", n array<long>")
 
 
 def multikey_sort(rows: np.ndarray, weight: np.ndarray, least: int, shortest: int = 3) -> Iterator[tuple[int, int, int]]:
@@ -264,9 +277,7 @@ def partial_counts(rows: np.ndarray, weight: np.ndarray) -> Iterator[tuple[np.nd
 def mine(routed: DataFrame, least: int, run_rows: int) -> DataFrame:
     """(ids, n): phrases of three words or more and their counts, in parts where a route is split."""
     spark = routed.sparkSession
-    # not a column of the shuffled rows, which would be eight bytes more each
-    route = F.when(F.col("split"), F.xxhash64(*[f"w{k + 1}" for k in range(LONGEST)])).otherwise(F.xxhash64("w1", "w2", "w3"))
-    rows = routed.repartition(partitions(spark), route).withColumn("route", route).sortWithinPartitions("split", "route")
+    rows = routed.repartition(partitions(spark), "block").sortWithinPartitions("block")
 
     def lists(found: list[tuple[np.ndarray, int]]) -> pa.RecordBatch:
         size = np.array([len(r) for r, _ in found], np.int32)
@@ -274,35 +285,36 @@ def mine(routed: DataFrame, least: int, run_rows: int) -> DataFrame:
         ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), longs(flat))
         return pa.RecordBatch.from_arrays([ids, pa.array([n for _, n in found], pa.int64())], names=["ids", "n"])
 
-    def flush(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = pa.Table.from_batches(held)
-        split = t.column("split").to_numpy()
-        data = np.stack([t.column(f"w{k + 1}").to_numpy().view(np.uint64) for k in range(LONGEST)], axis=1)
-        weight = t.column("n").to_numpy()
-        if (~split).any():
-            sound, w = combined(data[~split], weight[~split])
-            yield lists([(sound[i, :k], n) for i, k, n in multikey_sort(sound, w, least)])
-        if split.any():
-            for phrases, n in partial_counts(data[split], weight[split]):
-                for lo in range(0, len(phrases), 100_000):
-                    yield lists(list(zip(phrases[lo:lo + 100_000], n[lo:lo + 100_000].tolist(), strict=True)))
+    def whole(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        return combined(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    def flush(held: list[tuple[np.ndarray, np.ndarray]], split: bool) -> Iterator[pa.RecordBatch]:
+        data, weight = whole(held)
+        if not split:
+            yield lists([(data[i, :k], n) for i, k, n in multikey_sort(data, weight, least)])
+            return
+        for phrases, n in partial_counts(data, weight):
+            for lo in range(0, len(phrases), 100_000):
+                yield lists(list(zip(phrases[lo:lo + 100_000], n[lo:lo + 100_000].tolist(), strict=True)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
+        held, n, last, limit = [], 0, -1, run_rows
         for b in batches:
-            if n + len(b) > run_rows and n:
-                # up to the first row of another route than the last one held
-                last, route = held[-1].column("route")[-1].as_py(), b.column("route").to_numpy()
-                other = np.flatnonzero(route != last)
-                if len(other) or b.column("split")[0].as_py():
-                    upto = int(other[0]) if len(other) else len(b)
-                    yield from flush([*held, b.slice(0, upto)])
-                    held, n, b = [], 0, b.slice(upto)
-            if len(b):
-                held.append(b)
-                n += len(b)
+            for at, block in enumerate(b.column("block").to_pylist()):
+                # split routes are counted in parts, others wait for the end of their block
+                if held and (block != last or (last % 2 and n >= run_rows)):
+                    yield from flush(held, bool(last % 2))
+                    held, n, limit = [], 0, run_rows
+                one = b.slice(at, 1)
+                data = np.stack([one.column(f"w{k + 1}").flatten().to_numpy().view(np.uint64) for k in range(LONGEST)], axis=1)
+                held.append((data, one.column("n").flatten().to_numpy()))
+                n, last = n + len(data), block
+                if n >= limit:
+                    held = [whole(held)]
+                    n = len(held[0][0])
+                    limit = n + run_rows
         if held:
-            yield from flush(held)
+            yield from flush(held, bool(last % 2))
 
     return rows.mapInArrow(run, "ids array<long>, n long")
 
